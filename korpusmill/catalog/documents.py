@@ -49,7 +49,7 @@ def _side_lines(side, by_position):
 _register("lines_left_side", _side_lines("left", False), _sql_lines_of("side = 'left'", "lb"))
 _register(
     "lines_right_side_sorted", _side_lines("right", True),
-    _sql_lines_of("side = 'right'", "trunc(y0 * 10), trunc(x0 * 10), lb"),
+    _sql_lines_of("side = 'right' AND x0 + span_no + 0.5 >= 312", "trunc(y0 * 10), trunc(x0 * 10), lb"),
 )
 
 
@@ -260,6 +260,11 @@ ranked AS (SELECT *, sha1(lower({q.norm_space('content')})) AS h FROM sections),
 toc_uniq AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY doc_id, side, h ORDER BY length(content) DESC, section_no) = 1)"""
 
 
+def _sides_of(sql: str, lines: str) -> str:
+    """The check query over some of the lines only."""
+    return sql.replace("SELECT DISTINCT doc_id, side FROM lines", f"SELECT DISTINCT doc_id, side FROM lines WHERE {lines}")
+
+
 def _counts(spark, d):
     """Reading starts on page 2."""
     return I.page_counts(spark, d).withColumn("page_from", F.lit(2)).withColumn("page_to", F.col("page_count"))
@@ -286,7 +291,7 @@ _register(
     lambda spark, d: toc.toc_intervals(toc.toc_entries(I.toc_lines(spark, d), I.page_counts(spark, d)), _counts(spark, d)),
     f"WITH {_INTERVALS} SELECT doc_id, title, start_page, end_page FROM intervals",
 )
-_register("toc_sections", lambda spark, d: _shown(_toc_sections(spark, d)), f"WITH {_TOC_SECTIONS} SELECT {_SQL_SHOWN} FROM toc_uniq")
+_register("toc_sections", lambda spark, d: _shown(_toc_sections(spark, d)), f"WITH {_sides_of(_TOC_SECTIONS, 'page >= 2')} SELECT {_SQL_SHOWN} FROM toc_uniq")
 _register(
     "majority_language",
     lambda spark, d: naming.majority_language(
@@ -387,7 +392,7 @@ _register(
 _register(
     "toc_files",
     lambda spark, d: _record_fields(pdf_corpus.toc_files(_left(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d))),
-    f"""WITH {_TOC_SECTIONS.replace("SELECT DISTINCT doc_id, side FROM lines", "SELECT DISTINCT doc_id, side FROM lines WHERE side = 'left' AND page >= 2")},
+    f"""WITH {_sides_of(_TOC_SECTIONS, "side = 'left' AND page >= 2")},
     l AS (SELECT *, {q.language('content')} AS lang FROM toc_uniq),
     v AS (SELECT doc_id, lang AS major FROM (SELECT doc_id, lang, count(*) AS n FROM l GROUP BY doc_id, lang)
      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) = 1),
@@ -402,7 +407,7 @@ _register(
             I.document_lines(spark, d).where("page >= 2"), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d), bilingual=True
         )
     ),
-    f"""WITH {_TOC_SECTIONS.replace("SELECT DISTINCT doc_id, side FROM lines", "SELECT DISTINCT doc_id, side FROM lines WHERE page >= 2")},
+    f"""WITH {_sides_of(_TOC_SECTIONS, "page >= 2")},
     f AS (SELECT *, {_SQL_STEM} || '__' || {_PART} || '__' || {_SIDE_LANG} || '__' || {q.sanitize('name')} || '.json' AS file FROM toc_uniq)
     SELECT {_sql_fields(_SIDE_LANG, _SIDE_FOLDER, 'file')} FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, side, file ORDER BY section_no DESC) = 1""",
 )
@@ -410,7 +415,7 @@ _register(
 
 def _collisions(spark, d):
     """Names of all orders of a day, in mixed case and of full length."""
-    name = F.concat(F.col("o_orderdate").cast("string"), F.repeat(F.lit("-длинное имя"), 20))
+    name = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.repeat(F.lit("-длинное имя"), 20))
     rows = I.table(spark, d, "orders").select(
         (F.col("o_custkey") % 20).alias("doc_id"), F.col("o_orderkey").alias("position"),
         F.when(F.col("o_orderkey") % 2 == 0, F.upper(name)).otherwise(name).alias("name"),

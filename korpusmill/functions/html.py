@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import longer_text, normalize_space, strip_space
-from korpusmill.functions.url import canonical_url, join_url, looks_like_file
+from korpusmill.functions.url import canonical_url, join_url, let, looks_like_file
 from korpusmill.profiles import SiteProfile
 
 _IN_TAG = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+"""
@@ -44,18 +44,26 @@ def _entity_names() -> list[str]:
 
 def _decode_reference(piece: Column, names: Column) -> Column:
     """``piece`` is what follows an ampersand."""
-    ref = F.regexp_extract(piece, r"^(?:#[0-9]{1,9};?|#[xX][0-9A-Fa-f]{1,8};?|[A-Za-z][A-Za-z0-9]{0,31};?)", 0)
-    number = F.when(
-        ref.rlike("^#[xX]"), F.conv(F.regexp_extract(ref, "^#[xX]([0-9A-Fa-f]+)", 1), 16, 10)
-    ).otherwise(F.regexp_extract(ref, "^#([0-9]+)", 1)).try_cast("bigint")
-    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number < 0x110000))
-    decoded = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    decoded = F.translate(decoded, "".join(map(chr, _CP1252)), "".join(_CP1252.values()))
-    char = F.when(
-        ref.startswith("#"), F.when(valid, decoded).otherwise("�")
-    ).otherwise(F.try_element_at(names, ref))
-    rest = F.substring(piece, F.length(ref) + 1, F.length(piece))
-    return F.when((ref == "") | char.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(char, rest))
+    pattern = r"^(?:#[0-9]{1,9};?|#[xX][0-9A-Fa-f]{1,8};?|[A-Za-z][A-Za-z0-9]{0,31};?)"
+
+    def numeric(ref: Column) -> Column:
+        digits = F.when(
+            ref.rlike("^#[xX]"), F.conv(F.regexp_extract(ref, "^#[xX]([0-9A-Fa-f]+)", 1), 16, 10)
+        ).otherwise(F.regexp_extract(ref, "^#([0-9]+)", 1))
+        return let(digits.try_cast("bigint"), character)
+
+    def character(code: Column) -> Column:
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        plain = F.translate(plain, "".join(map(chr, _CP1252)), "".join(_CP1252.values()))
+        return F.when(valid, plain).otherwise(chr(0xFFFD))
+
+    def replace(ref: Column) -> Column:
+        char = F.when(ref.startswith("#"), numeric(ref)).otherwise(F.try_element_at(names, ref))
+        rest = F.substring(piece, F.length(ref) + 1, F.length(piece))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    return let(F.regexp_extract(piece, pattern, 0), replace)
 
 
 def unescape(c: Column) -> Column:
@@ -119,7 +127,8 @@ def extract_links(visible: Column, base: Column, strip_default_ports: bool = Tru
             lambda v: v != "",
         )
     )
-    targets = F.transform(hrefs, lambda h: canonical_url(join_url(base, h), strip_default_ports))
+    joined = F.transform(hrefs, lambda h: join_url(base, h))
+    targets = F.transform(joined, lambda u: canonical_url(u, strip_default_ports))
     return F.array_distinct(F.filter(targets, lambda u: ~looks_like_file(u)))
 
 

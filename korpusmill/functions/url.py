@@ -24,11 +24,16 @@ def _clean(url: Column) -> Column:
     return F.regexp_replace(F.coalesce(url, F.lit("")), r"^[\x00-\x20]+|[\t\r\n]+", "")
 
 
-def _parts(url: Column) -> tuple[Column, Column, Column]:
-    return (
-        F.lower(F.regexp_extract(url, _PARTS, 1)),
-        F.regexp_extract(url, _PARTS, 2),
-        F.regexp_extract(url, _PARTS, 3),
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _parts(url: Column) -> Column:
+    return F.struct(
+        F.lower(F.regexp_extract(url, _PARTS, 1)).alias("scheme"),
+        F.regexp_extract(url, _PARTS, 2).alias("host"),
+        F.regexp_extract(url, _PARTS, 3).alias("path"),
     )
 
 
@@ -39,20 +44,22 @@ def _build(scheme: Column, host: Column, path: Column) -> Column:
 
 def canonical_url(url: Column, strip_default_ports: bool = True) -> Column:
     """Lower-case scheme and host, single slashes, no trailing slash, no query or fragment."""
-    scheme, host, path = _parts(_clean(url))
-    scheme = F.when(scheme == "", "https").otherwise(scheme)
-    host = F.lower(host)
-    if strip_default_ports:
-        host = (
-            F.when(scheme == "http", F.regexp_replace(host, r":80\z", ""))
-            .when(scheme == "https", F.regexp_replace(host, r":443\z", ""))
-            .otherwise(host)
-        )
-    path = F.when(scheme.isin(*PARAM_SCHEMES), F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path)
-    path = F.regexp_replace(path, "/{2,}", "/")
-    path = F.regexp_replace(path, r"(?<=.)/\z", "")
-    path = F.when(path == "", "/").otherwise(path)
-    return _build(scheme, host, path)
+
+    def rebuild(p: Column) -> Column:
+        scheme = F.when(p["scheme"] == "", "https").otherwise(p["scheme"])
+        host = F.lower(p["host"])
+        if strip_default_ports:
+            host = (
+                F.when(scheme == "http", F.regexp_replace(host, r":80\z", ""))
+                .when(scheme == "https", F.regexp_replace(host, r":443\z", ""))
+                .otherwise(host)
+            )
+        params = F.when(scheme.isin(*PARAM_SCHEMES), r";[^/]*\z").otherwise(r"(?!)")
+        path = F.regexp_replace(F.regexp_replace(p["path"], params, F.lit("")), "/{2,}", "/")
+        path = F.regexp_replace(path, r"(?<=.)/\z", "")
+        return _build(scheme, host, F.coalesce(F.nullif(path, F.lit("")), F.lit("/")))
+
+    return let(_parts(_clean(url)), rebuild)
 
 
 def url_host(canonical: Column) -> Column:
@@ -80,30 +87,37 @@ def _resolve_dots(path: Column) -> Column:
 def join_url(base: Column, href: Column) -> Column:
     """Resolve a link against the page it stands on."""
     link = _clean(href)
-    scheme, host, path = _parts(link)
-    suffix = F.regexp_extract(link, r"[?#](?s:.*)\z", 0)
-    base_scheme, base_host, base_path = _parts(_clean(base))
-    base_query = F.regexp_extract(_clean(base), r"\?[^#]*", 0)
-
-    merged = F.when(path.startswith("/"), path).otherwise(
-        F.concat(
-            F.when(base_path == "", "/").otherwise(F.regexp_replace(base_path, r"[^/]*\z", "")), path
-        )
-    )
-    merged = F.regexp_replace(merged, "/{2,}", "/")
-    resolved = F.when(merged.rlike(r"(?:^|/)\.{1,2}(?:/|\z)"), _resolve_dots(merged)).otherwise(merged)
-    rooted = F.when((base_host != "") & ~resolved.startswith("/"), F.concat(F.lit("/"), resolved)).otherwise(
-        resolved
+    target = F.struct(
+        link.alias("link"), _parts(link).alias("p"), F.regexp_extract(link, r"[?#](?s:.*)\z", 0).alias("suffix")
     )
-    same_page = F.concat(
-        base_path, F.when(suffix.startswith("?"), F.lit("")).otherwise(base_query)
+    return let(split_base(base), lambda b: let(target, lambda t: _join(b, t)))
+
+
+def split_base(base: Column) -> Column:
+    """What ``join_url`` needs to know of a page's URL: its parts, folder and query."""
+    clean = _clean(base)
+    path = F.regexp_extract(clean, _PARTS, 3)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*\z", ""))
+    return F.struct(
+        _parts(clean).alias("p"), folder.alias("folder"), F.regexp_extract(clean, r"^[^?#]*(\?[^#]*)", 1).alias("query")
     )
+
+
+def _join(base: Column, target: Column) -> Column:
+    b, t, link, suffix = base["p"], target["p"], target["link"], target["suffix"]
+    merged = F.concat(F.when(t["path"].startswith("/"), "").otherwise(base["folder"]), t["path"])
+
+    def finish(path: Column) -> Column:
+        resolved = F.when(path.rlike(r"(?:^|/)\.{1,2}(?:/|\z)"), _resolve_dots(path)).otherwise(path)
+        slash = F.when((b["host"] != "") & ~resolved.startswith("/"), "/").otherwise("")
+        return F.concat(_build(b["scheme"], b["host"], F.concat(slash, resolved)), suffix)
+
+    same_page = F.concat(b["path"], F.when(suffix.startswith("?"), "").otherwise(base["query"]))
     return (
-        F.when((scheme != "") & (scheme != base_scheme), link)
-        .when((scheme != "") & ~scheme.isin(*HOST_SCHEMES), link)
-        .when(host != "", F.concat(_build(base_scheme, host, path), suffix))
-        .when(path == "", F.concat(_build(base_scheme, base_host, same_page), suffix))
-        .otherwise(F.concat(_build(base_scheme, base_host, rooted), suffix))
+        F.when((t["scheme"] != "") & ((t["scheme"] != b["scheme"]) | ~t["scheme"].isin(*HOST_SCHEMES)), link)
+        .when(t["host"] != "", F.concat(_build(b["scheme"], t["host"], t["path"]), suffix))
+        .when(t["path"] == "", F.concat(_build(b["scheme"], b["host"], same_page), suffix))
+        .otherwise(let(F.regexp_replace(merged, "/{2,}", "/"), finish))
     )
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import normalize_for_dedupe
+from korpusmill.session import shared_folder
 
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
+NO_PAGE = -1  # every section covers it
 
 
 def first_page(pages: Column) -> Column:
@@ -35,8 +37,17 @@ def dedupe_contained(sections: DataFrame) -> DataFrame:
 
     Takes the result of ``dedupe_exact``. Containment is transitive, so testing
     against all sections gives the same survivors as testing against survivors.
+
+    The sections are needed several times, so they are written to the shared
+    folder once, and the keys to drop next to them.
     """
-    return sections.join(contained(sections), KEY, "left_anti")
+    spark = sections.sparkSession
+    home = shared_folder(spark, "contained")
+    sections.write.parquet(f"{home}/sections")
+    stored = spark.read.schema(sections.schema).parquet(f"{home}/sections")
+    drop = contained(stored)
+    drop.write.parquet(f"{home}/drop")
+    return stored.join(spark.read.schema(drop.schema).parquet(f"{home}/drop"), KEY, "left_anti")
 
 
 def contained(sections: DataFrame) -> DataFrame:
@@ -46,30 +57,21 @@ def contained(sections: DataFrame) -> DataFrame:
     first page, so candidates meet on both: neither a phrase all sections share
     nor a page with many sections pairs everything with everything. Grams are
     word pairs, without the first and last word, which may be cut. Sections of
-    three words or less use three letters instead.
+    three words or less use letters instead.
     """
     base = sections.select(
         *KEY, "position", "page_numbers",
         F.length("content").alias("size"),
         normalize_for_dedupe(F.col("content")).alias("norm"),
     ).where("norm != ''")
-    words = base.withColumn("words", F.split("norm", " ")).withColumn("n_words", F.size("words"))
-
-    long_pairs = _candidates(words, _word_pairs(), F.col("n_words") > 3)
-    short_pairs = _candidates(words, _letter_grams(), F.col("n_words") <= 3)
-    pairs = long_pairs.unionByName(short_pairs).distinct()
-
-    inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"),
-                        F.col("size").alias("a_size"), F.col("position").alias("a_pos"))
-    outer = base.select(*SIDE, F.col("section_no").alias("other"), F.col("norm").alias("b_norm"),
-                        F.col("page_numbers").alias("b_pages"), F.col("size").alias("b_size"),
-                        F.col("position").alias("b_pos"))
-    inside = (
-        F.contains(F.col("b_norm"), F.col("a_norm"))
-        & (F.size(F.array_except("a_pages", "b_pages")) == 0)
-        & ((F.col("b_size") > F.col("a_size")) | ((F.col("b_size") == F.col("a_size")) & (F.col("b_pos") < F.col("a_pos"))))
-    )
-    return pairs.join(inner, KEY).join(outer, [*SIDE, "other"]).where(inside).select(*KEY).distinct()
+    mine = ["norm", "page_numbers", "size", "position"]
+    inner = base.select(*KEY, F.struct(*mine).alias("a"))
+    outer = base.select(*SIDE, F.col("section_no").alias("other"), F.struct(*mine).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    earlier = (b["size"] > a["size"]) | ((b["size"] == a["size"]) & (b["position"] < a["position"]))
+    inside = F.contains(b["norm"], a["norm"]) & (F.size(F.array_except(a["page_numbers"], b["page_numbers"])) == 0)
+    pairs = _candidates(base)
+    return pairs.join(inner, KEY).join(outer, [*SIDE, "other"]).where(earlier & inside).select(*KEY).distinct()
 
 
 def _word_pairs() -> tuple[Column, Column]:
@@ -89,24 +91,28 @@ def _letter_grams() -> tuple[Column, Column]:
 
     def runs(n: int) -> Column:
         found = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-        return F.transform(F.array_distinct(found), F.xxhash64)
+        return F.transform(F.array_distinct(found), lambda g: F.xxhash64(g))
 
     own = F.when(F.length(norm) >= 3, runs(3)).when(F.length(norm) == 2, runs(2)).otherwise(runs(1))
     return F.concat(runs(1), runs(2), runs(3)), own
 
 
-def _candidates(words: DataFrame, grams: tuple[Column, Column], searched: Column) -> DataFrame:
+def _candidates(base: DataFrame) -> DataFrame:
     """(section, other) pairs worth a full comparison."""
-    everywhere, own = grams
-    pages = F.col("page_numbers")
-    relevant = words.where(searched).select(*SIDE).distinct()
-    holder = words.join(relevant, SIDE, "left_semi").select(*KEY, pages, F.explode(everywhere).alias("gram"))
-    wanted = words.where(searched).select(
-        *KEY, F.coalesce(F.array_min(pages), F.lit(-1)).alias("page"), F.explode(own).alias("gram")
+    words = base.withColumn("words", F.split("norm", " ")).withColumn("n_words", F.size("words"))
+    short = F.col("n_words") <= 3
+    pairs, inner_pairs = _word_pairs()
+    letters, own_letters = _letter_grams()
+    own = F.when(short, own_letters).otherwise(inner_pairs)
+    wanted = words.select(
+        *KEY, F.coalesce(F.array_min("page_numbers"), F.lit(NO_PAGE)).alias("page"), F.explode(own).alias("gram")
+    )
+    # Letters are indexed only where a short section looks for them.
+    with_short = words.where(short).select(*SIDE).distinct()
+    holder = words.select(*KEY, "page_numbers", F.explode(pairs).alias("gram")).unionByName(
+        words.join(with_short, SIDE, "left_semi").select(*KEY, "page_numbers", F.explode(letters).alias("gram"))
     )
-    # How many sections of the document hold each gram that is looked for.
-    sought = wanted.select(*SIDE, "gram").distinct()
-    counts = holder.join(sought, [*SIDE, "gram"], "left_semi").groupBy(*SIDE, "gram").agg(F.count("*").alias("_n"))
+    counts = holder.groupBy(*SIDE, "gram").agg(F.count("*").alias("_n"))
     rarest = (
         wanted.join(counts, [*SIDE, "gram"])
         .groupBy(*KEY, "page")
@@ -114,13 +120,13 @@ def _candidates(words: DataFrame, grams: tuple[Column, Column], searched: Column
         .where(F.col("_best._n") > 1)
         .select(*KEY, "page", F.col("_best.gram").alias("gram"))
     )
+    # Pages multiply rows, so only grams still looked for are spread over them.
     used = rarest.select(*SIDE, "gram").distinct()
-    # -1 stands for "no pages", which every section covers.
     on_pages = holder.join(used, [*SIDE, "gram"], "left_semi").select(
         *SIDE,
         F.col("section_no").alias("other"),
         "gram",
-        F.explode(F.array_append(pages, F.lit(-1))).alias("page"),
+        F.explode(F.array_append("page_numbers", F.lit(NO_PAGE))).alias("page"),
     )
     return (
         rarest.join(on_pages, [*SIDE, "gram", "page"])

@@ -24,31 +24,35 @@ def _offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Per block, ``_n`` summed over the group's earlier blocks and over all of them."""
     group = Window.partitionBy(*keys)
     before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        *keys,
-        "_block",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_before"),
-        F.sum("_n").over(group).cast("bigint").alias("_total"),
-    )
+    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint")).withColumn(
+        "_total", F.sum("_n").over(group).cast("bigint")
+    ).drop("_n")
 
 
 def running_count(
     df: DataFrame, keys: list[str], order: str, flag: Column, out: str,
-    inclusive: bool = True, total: str | None = None, block: int = BLOCK,
+    inclusive: bool = True, total: str | None = None, counts: DataFrame | None = None, block: int = BLOCK,
 ) -> DataFrame:
-    """How many rows of the group up to this one (or before it) have the flag."""
-    marked = with_block(df, order, block).withColumn("_flag", flag.cast("int"))
-    counts = marked.groupBy(*keys, "_block").agg(F.sum("_flag").alias("_n"))
+    """How many rows of the group up to this one (or before it) have the flag.
+
+    ``counts`` may give the number of flagged rows (``_n``) per block if it is
+    known more cheaply; its other columns join the rows and may be used in ``flag``.
+    """
+    marked = with_block(df, order, block)
+    if counts is None:
+        counts = marked.groupBy(*keys, "_block").agg(F.sum(flag.cast("int")).alias("_n"))
     upto = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1
     )
     local = F.coalesce(F.sum("_flag").over(upto), F.lit(0))
-    counted = marked.join(_offsets(counts, keys), [*keys, "_block"]).withColumn(
-        out, (F.col("_before") + local).cast("bigint")
+    counted = (
+        marked.join(_offsets(counts, keys), [*keys, "_block"])
+        .withColumn("_flag", flag.cast("int"))
+        .withColumn(out, (F.col("_before") + local).cast("bigint"))
+        .drop("_flag", "_before")
     )
     counted = counted.withColumnRenamed("_total", total) if total else counted.drop("_total")
-    spare = ["_flag", "_before"] if "_block" in df.columns else ["_flag", "_before", "_block"]
-    return counted.drop(*spare)
+    return counted if "_block" in df.columns else counted.drop("_block")
 
 
 def row_number_in_blocks(

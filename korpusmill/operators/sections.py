@@ -5,7 +5,7 @@ Line tables carry doc_id, side, line_no, page, text, is_bold, font_size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.headers import header_flags, section_key
@@ -16,42 +16,60 @@ SIDE = ["doc_id", "side"]
 UNTITLED = "Full Document"
 
 
+def _flagged(lines: DataFrame, block: int) -> DataFrame:
+    always, by_size = header_flags(F.col("text"), F.col("is_bold"))
+    return with_block(lines, "line_no", block).withColumn("_always", always).withColumn("_by_size", by_size)
+
+
+def _thresholds(sizes: DataFrame) -> DataFrame:
+    """From line counts ``_n`` per font size."""
+    positive = F.when(F.col("font_size") > 0, F.col("font_size"))
+    half = F.lit(0.5).cast("double")
+    counted = sizes.groupBy(*SIDE).agg(
+        F.coalesce(F.sum(F.when(positive.isNotNull(), F.col("_n"))), F.lit(0)).alias("n_sizes"),
+        F.percentile(positive, half, F.col("_n")).alias("_median"),
+    )
+    threshold = F.when(F.col("n_sizes") >= 12, F.col("_median") * F.lit(1.2).cast("double")).otherwise(0.0)
+    return counted.select(*SIDE, "n_sizes", threshold.cast("double").alias("threshold"))
+
+
 def font_thresholds(lines: DataFrame) -> DataFrame:
     """Per document side, the size from which a font marks a header; 0 turns the rule off.
 
     Sizes are counted first, so a long document reaches the median as a short
     histogram.
     """
-    sizes = lines.groupBy(*SIDE, "font_size").agg(F.count("*").alias("_n"))
-    positive = F.col("font_size") > 0
-    counted = sizes.groupBy(*SIDE).agg(
-        F.coalesce(F.sum(F.when(positive, F.col("_n"))), F.lit(0)).alias("n_sizes"),
-        F.percentile(F.when(positive, F.col("font_size")), F.lit(0.5).cast("double"), F.coalesce("_n", F.lit(1))).alias(
-            "_median"
-        ),
+    return _thresholds(lines.groupBy(*SIDE, "font_size").agg(F.count("*").alias("_n")))
+
+
+def _is_header() -> Column:
+    large = (F.col("threshold") > 0) & (F.col("font_size") >= F.col("threshold"))
+    return F.col("_always") | (large & F.col("_by_size"))
+
+
+def _header_counts(flagged: DataFrame) -> DataFrame:
+    """Threshold and number of headers ``_n`` per block of lines.
+
+    Both come from a histogram of the lines: what a line is depends on its own
+    two flags and its font size only.
+    """
+    sized = flagged.groupBy(*SIDE, "_block", "font_size", "_always", "_by_size").agg(F.count("*").alias("_n"))
+    return sized.join(_thresholds(sized).drop("n_sizes"), SIDE).groupBy(*SIDE, "_block", "threshold").agg(
+        F.sum(F.when(_is_header(), F.col("_n")).otherwise(0)).alias("_n")
     )
-    threshold = F.when(F.col("n_sizes") >= 12, F.col("_median") * F.lit(1.2).cast("double")).otherwise(0.0)
-    return counted.select(*SIDE, "n_sizes", threshold.cast("double").alias("threshold"))
 
 
 def with_headers(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     """Add ``is_header``.
 
-    The thresholds are handed out to blocks of lines before they meet the
-    lines, so a long document's lines are never joined on its id alone.
+    Thresholds reach the lines by block, so a long document's lines are never
+    joined on its id alone.
     """
-    cut = with_block(lines, "line_no", block)
-    always, by_size = header_flags(F.col("text"), F.col("is_bold"))
-    per_block = cut.select(*SIDE, "_block").distinct().join(
-        font_thresholds(lines).select(*SIDE, "threshold"), SIDE
-    )
-    large = (F.col("threshold") > 0) & (F.col("font_size") >= F.col("threshold")) & F.col("_by_size")
+    flagged = _flagged(lines, block)
     return (
-        cut.withColumn("_always", always)
-        .withColumn("_by_size", by_size)
-        .join(per_block, [*SIDE, "_block"])
-        .withColumn("is_header", F.col("_always") | large)
-        .drop("_always", "_by_size", *([] if "_block" in lines.columns else ["_block"]))
+        flagged.join(_header_counts(flagged).drop("_n"), [*SIDE, "_block"])
+        .withColumn("is_header", _is_header())
+        .select(*lines.columns, "is_header")
     )
 
 
@@ -73,12 +91,14 @@ def split_sections(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     Lines before the first header form section 0. It is dropped when blank,
     unless the document has no header at all.
     """
-    headed = with_headers(with_block(lines, "line_no", block))
-    headed = headed.withColumn("text", F.when(F.col("is_header"), normalize_space(F.col("text"))).otherwise(F.col("text")))
-    numbered = running_count(headed, SIDE, "line_no", F.col("is_header"), "section_no", total="_headers")
-    bodies = concat_lines(numbered, [*SIDE, "section_no", "_headers"])
+    flagged = _flagged(lines, block)
+    numbered = running_count(
+        flagged, SIDE, "line_no", _is_header(), "section_no", total="_headers", counts=_header_counts(flagged)
+    )
+    # A header is one line of content, whatever breaks it holds.
+    text = F.when(_is_header(), normalize_space(F.col("text"))).otherwise(F.col("text"))
+    bodies = concat_lines(numbered.withColumn("text", text), [*SIDE, "section_no", "_headers"])
     kept = bodies.where((F.col("section_no") > 0) | (F.col("content") != "") | (F.col("_headers") == 0))
-    # A section starts with its header, which is one line.
     title = F.when(F.col("section_no") > 0, F.substring_index("content", "\n", 1))
     return kept.select(
         *SIDE,
