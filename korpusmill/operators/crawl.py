@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from korpusmill.functions.url import canonical_url, looks_like_file, scope_path, url_host, url_path, within_scope
 from korpusmill.operators.webdocs import page_links
 from korpusmill.profiles import SiteProfile
-from korpusmill.session import shared_folder
+from korpusmill.session import shared_folder, store
 
 VISITED = "root_url string, url string, level int"
 
@@ -61,10 +61,8 @@ def discover(
     """
     spark = pages.sparkSession
     home = shared_folder(spark, "crawl")
-    link_table(pages, profile, strict_parity).write.parquet(f"{home}/links")
-    links = spark.read.schema("url string, link string, link_scope string").parquet(f"{home}/links")
-    crawl_roots(seeds, profile, strict_parity).write.parquet(f"{home}/roots")
-    roots = spark.read.schema("root_url string, root_host string, root_scope string").parquet(f"{home}/roots")
+    links = store(link_table(pages, profile, strict_parity), f"{home}/links")
+    roots = store(crawl_roots(seeds, profile, strict_parity), f"{home}/roots")
     fetched = None
     if profile.cap_counts_fetched:
         has_page = pages.where(F.col("html").isNotNull())
@@ -79,8 +77,7 @@ def discover(
         if max_pages is not None:
             fresh = _within_limit(fresh, visited, max_pages)
         path = f"{home}/level-{len(levels):05d}"
-        fresh.select("root_url", "url", F.lit(len(levels)).alias("level")).write.parquet(path)
-        level = spark.read.schema(VISITED).parquet(path)
+        level = store(fresh.select("root_url", "url", F.lit(len(levels)).alias("level")), path)
         if level.isEmpty():
             break
         levels.append(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import normalize_for_dedupe
-from korpusmill.session import shared_folder
+from korpusmill.session import shared_folder, store
 
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
@@ -41,13 +41,9 @@ def dedupe_contained(sections: DataFrame) -> DataFrame:
     The sections are needed several times, so they are written to the shared
     folder once, and the keys to drop next to them.
     """
-    spark = sections.sparkSession
-    home = shared_folder(spark, "contained")
-    sections.write.parquet(f"{home}/sections")
-    stored = spark.read.schema(sections.schema).parquet(f"{home}/sections")
-    drop = contained(stored)
-    drop.write.parquet(f"{home}/drop")
-    return stored.join(spark.read.schema(drop.schema).parquet(f"{home}/drop"), KEY, "left_anti")
+    home = shared_folder(sections.sparkSession, "contained")
+    stored = store(sections, f"{home}/sections")
+    return stored.join(store(contained(stored), f"{home}/drop"), KEY, "left_anti")
 
 
 def contained(sections: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from korpusmill.functions.language import lang_to_folder
 from korpusmill.functions.text import sanitize_filename
 from korpusmill.operators import naming, pairing
-from korpusmill.operators.dedupe import dedupe_exact, dedupe_sections
+from korpusmill.operators.dedupe import KEY, dedupe_exact, dedupe_sections
 from korpusmill.operators.ordering import BLOCK
 from korpusmill.operators.sections import split_sections, whole_document
 from korpusmill.operators.toc import sections_from_toc, toc_entries, toc_intervals
+from korpusmill.session import shared_folder, store
 
 SIDES = ("left", "right")
 
@@ -98,11 +99,14 @@ def toc_files(
         lang = _languages(left_lang, right_lang)
         files = _files(sections.join(sources, "doc_id"), lang, naming.side_file(F.col("stem"), lang, key, F.col("name")))
         return naming.keep_last(files, "section_no", ("doc_id", "folder", "file_name"))
-    folders = naming.majority_language(sections).select("doc_id", F.col("folder").alias("_folder"))
-    named = sections.join(folders, "doc_id").join(sources, "doc_id")
+    # Folders and names need all sections of a document, but not their texts.
+    stored = store(sections, shared_folder(sections.sparkSession, "toc-files"))
+    folders = naming.majority_language(stored).select("doc_id", F.col("folder").alias("_folder"))
+    names = stored.select(*KEY, "position", "name", "section_key").join(sources.select("doc_id", "stem"), "doc_id")
     base = sanitize_filename(F.concat_ws("__", F.col("stem"), key, F.col("name")))
-    unique = naming.unique_names(named, base, "position", "_name")
-    return _files(unique, None, F.concat(F.col("_name"), F.lit(".json")), F.col("_folder"))
+    names = naming.unique_names(names, base, "position", "_name").select(*KEY, "_name")
+    named = stored.join(names, KEY).join(folders, "doc_id").join(sources, "doc_id")
+    return _files(named, None, F.concat(F.col("_name"), F.lit(".json")), F.col("_folder"))
 
 
 def full_files(lines: DataFrame, sources: DataFrame) -> DataFrame:

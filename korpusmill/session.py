@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "korpusmill") -> SparkSession:
@@ -19,6 +19,7 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "korpusmill"
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -36,3 +37,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="korpusmill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back: computed once, and safe from executor loss."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
