@@ -123,7 +123,7 @@ _register("header_sections", lambda spark, d: _shown(_sections(spark, d)), f"WIT
 _register(
     "whole_documents",
     lambda spark, d: _shown(sections.whole_document(I.document_lines(spark, d))),
-    f"""WITH {I.LINES} SELECT doc_id, side, 0::BIGINT AS section_no, 'Full Document' AS name, NULL AS section_key,
+    f"""WITH {I.LINES} SELECT doc_id, side, 0::BIGINT AS section_no, 'Full Document' AS name, CAST(NULL AS VARCHAR) AS section_key,
     array_to_string(list_sort(list_distinct(list(page))), ',') AS pages, sha1(string_agg(text, chr(10) ORDER BY line_no)) AS digest
     FROM lines GROUP BY doc_id, side""",
 )

@@ -21,7 +21,7 @@ def _register(name, query, oracle=None):
 
 def _digest(c):
     """Whole texts are compared by digest and length."""
-    return [F.sha1(c).alias("digest"), F.length(c).alias("n_chars")]
+    return [F.sha1(c).alias("digest"), F.length(c).cast("bigint").alias("n_chars")]
 
 
 def _sql_digest(x):

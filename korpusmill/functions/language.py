@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from korpusmill.functions.text import strip_space
+from korpusmill.functions.text import WS
 
 # Letters only Kyrgyz uses among the three languages.
 KYRGYZ = "[ҢңҮүӨө]"
@@ -20,15 +20,17 @@ def detect_language(c: Column) -> Column:
     A Kyrgyz letter decides at once. Otherwise the commoner script does; a
     text without letters counts as Russian.
     """
-    t = strip_space(F.coalesce(c, F.lit("")))
-    cyr = F.regexp_count(t, F.lit(CYRILLIC))
-    lat = F.regexp_count(t, F.lit(LATIN))
+    t = F.coalesce(c, F.lit(""))
+    cyrillic = F.regexp_count(t, F.lit(CYRILLIC))
+    latin = F.regexp_count(t, F.lit(LATIN))
+    # Letters are only counted in texts that mix the scripts.
     return (
-        F.when(t == "", "ru")
+        F.when(~t.rlike(rf"[^{WS}]"), "ru")
         .when(t.rlike(KYRGYZ), "ky")
-        .when((cyr > 0) & (cyr >= lat), "ru")
-        .when(t.rlike(r"\p{L}"), "en")
-        .otherwise("ru")
+        .when(~t.rlike(CYRILLIC), F.when(t.rlike(r"\p{L}"), "en").otherwise("ru"))
+        .when(~t.rlike(LATIN), "ru")
+        .when(cyrillic >= latin, "ru")
+        .otherwise("en")
     )
 
 

@@ -11,6 +11,7 @@ from korpusmill.session import shared_folder, store
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
 NO_PAGE = -1  # every section covers it
+CROWDED = 64  # sections on a page from which on grams are compared first
 
 
 def first_page(pages: Column) -> Column:
@@ -49,25 +50,39 @@ def dedupe_contained(sections: DataFrame) -> DataFrame:
 def contained(sections: DataFrame) -> DataFrame:
     """Keys of contained sections.
 
-    A section can only be contained in one that shares its rarest gram and its
-    first page, so candidates meet on both: neither a phrase all sections share
-    nor a page with many sections pairs everything with everything. Grams are
-    word pairs, without the first and last word, which may be cut. Sections of
-    three words or less use letters instead.
+    Whatever contains a section also covers its first page, so sections meet on
+    that page. On a crowded page they must share the section's rarest gram as
+    well, so that neither a page with many sections nor a phrase all of them
+    share pairs everything with everything.
     """
     base = sections.select(
         *KEY, "position", "page_numbers",
         F.length("content").alias("size"),
         normalize_for_dedupe(F.col("content")).alias("norm"),
     ).where("norm != ''")
-    mine = ["norm", "page_numbers", "size", "position"]
-    inner = base.select(*KEY, F.struct(*mine).alias("a"))
-    outer = base.select(*SIDE, F.col("section_no").alias("other"), F.struct(*mine).alias("b"))
+    first = F.coalesce(F.array_min("page_numbers"), F.lit(NO_PAGE)).alias("page")
+    place = F.struct(F.col("size"), -F.col("position"))  # containers come first in size, then in place
+    spread = base.select(
+        *SIDE, F.col("section_no").alias("other"), place.alias("b_place"),
+        F.explode(F.array_append("page_numbers", F.lit(NO_PAGE))).alias("page"),
+    )
+    crowd = spread.groupBy(*SIDE, "page").agg(F.count("*").alias("_crowd"))
+    seekers = base.select(*KEY, first, place.alias("a_place")).join(crowd, [*SIDE, "page"])
+    near = (
+        seekers.where(F.col("_crowd") <= CROWDED)
+        .join(spread, [*SIDE, "page"])
+        .where(F.col("b_place") > F.col("a_place"))
+        .select(*KEY, "other")
+    )
+    pressed = seekers.where(F.col("_crowd") > CROWDED).select(*KEY, "page")
+    pairs = near.unionByName(_sharing_grams(base, pressed)).distinct()
+
+    inner = base.select(*KEY, F.struct("norm", "page_numbers").alias("a"), place.alias("a_place"))
+    outer = base.select(*SIDE, F.col("section_no").alias("other"), F.struct("norm", "page_numbers").alias("b"), place.alias("b_place"))
     a, b = F.col("a"), F.col("b")
-    earlier = (b["size"] > a["size"]) | ((b["size"] == a["size"]) & (b["position"] < a["position"]))
     inside = F.contains(b["norm"], a["norm"]) & (F.size(F.array_except(a["page_numbers"], b["page_numbers"])) == 0)
-    pairs = _candidates(base)
-    return pairs.join(inner, KEY).join(outer, [*SIDE, "other"]).where(earlier & inside).select(*KEY).distinct()
+    found = pairs.join(inner, KEY).join(outer, [*SIDE, "other"])
+    return found.where((F.col("b_place") > F.col("a_place")) & inside).select(*KEY).distinct()
 
 
 def _word_pairs() -> tuple[Column, Column]:
@@ -93,16 +108,20 @@ def _letter_grams() -> tuple[Column, Column]:
     return F.concat(runs(1), runs(2), runs(3)), own
 
 
-def _candidates(base: DataFrame) -> DataFrame:
-    """(section, other) pairs worth a full comparison."""
-    words = base.withColumn("words", F.split("norm", " ")).withColumn("n_words", F.size("words"))
+def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
+    """(section, other) for the sections in ``pressed`` and all that hold their rarest gram.
+
+    Grams are word pairs, without the first and last word, which may be cut.
+    Sections of three words or less are looked up by letters instead.
+    """
+    sides = pressed.select(*SIDE).distinct()
+    words = base.join(sides, SIDE, "left_semi").withColumn("words", F.split("norm", " "))
+    words = words.withColumn("n_words", F.size("words"))
     short = F.col("n_words") <= 3
     pairs, inner_pairs = _word_pairs()
     letters, own_letters = _letter_grams()
     own = F.when(short, own_letters).otherwise(inner_pairs)
-    wanted = words.select(
-        *KEY, F.coalesce(F.array_min("page_numbers"), F.lit(NO_PAGE)).alias("page"), F.explode(own).alias("gram")
-    )
+    wanted = words.join(pressed, KEY).select(*KEY, "page", F.explode(own).alias("gram"))
     # Letters are indexed only where a short section looks for them.
     with_short = words.where(short).select(*SIDE).distinct()
     holder = words.select(*KEY, "page_numbers", F.explode(pairs).alias("gram")).unionByName(
