@@ -175,7 +175,7 @@ def site_root_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- document lines: even documents are left sides, odd ones right sides
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ln", "t"))
+    raw = table(spark, sf_dir, "documents").select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("ln", "t"))
     ln, t = F.col("ln"), F.col("t")
     text = (
         F.when(ln % 7 == 0, F.concat((F.floor(ln / 7) + 1).cast("string"), F.lit(". "), t))

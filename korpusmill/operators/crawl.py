@@ -34,7 +34,8 @@ def link_table(pages: DataFrame, profile: SiteProfile, strict_parity: bool = Fal
 
     Links to other hosts can never be admitted, whatever the root.
     """
-    linked = page_links(pages, profile).withColumn("link", F.explode("links"))
+    # The outer form spares Spark a second look at the links only to skip empty ones.
+    linked = page_links(pages, profile).withColumn("link", F.explode_outer("links"))
     local = (url_host(F.col("link")) == url_host(F.col("url"))) & ~looks_like_file(F.col("link"))
     return linked.where(local).select(
         "url", "link", scope_path(url_path(F.col("link")), profile, strict_parity).alias("link_scope")

@@ -67,22 +67,28 @@ def contained(sections: DataFrame) -> DataFrame:
         F.explode(F.array_append("page_numbers", F.lit(NO_PAGE))).alias("page"),
     )
     crowd = spread.groupBy(*SIDE, "page").agg(F.count("*").alias("_crowd"))
-    seekers = base.select(*KEY, first, place.alias("a_place")).join(crowd, [*SIDE, "page"])
+    # A cheap necessary condition, so that only texts likely to match travel together.
+    probe = F.substring(F.col("norm"), F.greatest(F.lit(1), F.floor(F.length("norm") / 2).cast("int") - 15), F.lit(32))
+    seekers = base.select(*KEY, first, place.alias("a_place"), probe.alias("probe")).join(crowd, [*SIDE, "page"])
     near = (
         seekers.where(F.col("_crowd") <= CROWDED)
         .join(spread, [*SIDE, "page"])
         .where(F.col("b_place") > F.col("a_place"))
-        .select(*KEY, "other")
+        .select(*KEY, "a_place", "probe", "other")
     )
-    pressed = seekers.where(F.col("_crowd") > CROWDED).select(*KEY, "page")
-    pairs = near.unionByName(_sharing_grams(base, pressed)).distinct()
+    pressed = seekers.where(F.col("_crowd") > CROWDED).drop("_crowd")
+    pairs = near.unionByName(_sharing_grams(base, pressed))
 
-    inner = base.select(*KEY, F.struct("norm", "page_numbers").alias("a"), place.alias("a_place"))
-    outer = base.select(*SIDE, F.col("section_no").alias("other"), F.struct("norm", "page_numbers").alias("b"), place.alias("b_place"))
-    a, b = F.col("a"), F.col("b")
-    inside = F.contains(b["norm"], a["norm"]) & (F.size(F.array_except(a["page_numbers"], b["page_numbers"])) == 0)
-    found = pairs.join(inner, KEY).join(outer, [*SIDE, "other"])
-    return found.where((F.col("b_place") > F.col("a_place")) & inside).select(*KEY).distinct()
+    inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"))
+    outer = base.select(
+        *SIDE, F.col("section_no").alias("other"), place.alias("b_place"),
+        F.col("norm").alias("b_norm"), F.col("page_numbers").alias("b_pages"),
+    )
+    likely = pairs.join(outer, [*SIDE, "other"]).where(
+        (F.col("b_place") > F.col("a_place")) & F.contains(F.col("b_norm"), F.col("probe"))
+    )
+    inside = F.contains(F.col("b_norm"), F.col("a_norm")) & (F.size(F.array_except("a_pages", "b_pages")) == 0)
+    return likely.join(inner, KEY).where(inside).select(*KEY).distinct()
 
 
 def _word_pairs() -> tuple[Column, Column]:
@@ -121,7 +127,8 @@ def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
     pairs, inner_pairs = _word_pairs()
     letters, own_letters = _letter_grams()
     own = F.when(short, own_letters).otherwise(inner_pairs)
-    wanted = words.join(pressed, KEY).select(*KEY, "page", F.explode(own).alias("gram"))
+    seeker = [*KEY, "page", "a_place", "probe"]
+    wanted = words.join(pressed, KEY).select(*seeker, F.explode(own).alias("gram"))
     # Letters are indexed only where a short section looks for them.
     with_short = words.where(short).select(*SIDE).distinct()
     holder = words.select(*KEY, "page_numbers", F.explode(pairs).alias("gram")).unionByName(
@@ -130,10 +137,10 @@ def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
     counts = holder.groupBy(*SIDE, "gram").agg(F.count("*").alias("_n"))
     rarest = (
         wanted.join(counts, [*SIDE, "gram"])
-        .groupBy(*KEY, "page")
+        .groupBy(*seeker)
         .agg(F.min(F.struct("_n", "gram")).alias("_best"))
         .where(F.col("_best._n") > 1)
-        .select(*KEY, "page", F.col("_best.gram").alias("gram"))
+        .select(*seeker, F.col("_best.gram").alias("gram"))
     )
     # Pages multiply rows, so only grams still looked for are spread over them.
     used = rarest.select(*SIDE, "gram").distinct()
@@ -146,7 +153,7 @@ def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
     return (
         rarest.join(on_pages, [*SIDE, "gram", "page"])
         .where(F.col("other") != F.col("section_no"))
-        .select(*KEY, "other")
+        .select(*KEY, "a_place", "probe", "other")
     )
 
 
