@@ -44,11 +44,11 @@ def dedupe_contained(sections: DataFrame) -> DataFrame:
     """
     home = shared_folder(sections.sparkSession, "contained")
     stored = store(sections, f"{home}/sections")
-    return stored.join(store(contained(stored), f"{home}/drop"), KEY, "left_anti")
+    return stored.join(store(contained(stored, home), f"{home}/drop"), KEY, "left_anti")
 
 
-def contained(sections: DataFrame) -> DataFrame:
-    """Keys of contained sections.
+def contained(sections: DataFrame, home: str) -> DataFrame:
+    """Keys of contained sections; ``home`` is a folder for interim tables.
 
     Whatever contains a section also covers its first page, so sections meet on
     that page. On a crowded page they must share the section's rarest gram as
@@ -70,6 +70,7 @@ def contained(sections: DataFrame) -> DataFrame:
     # A cheap necessary condition, so that only texts likely to match travel together.
     probe = F.substring(F.col("norm"), F.greatest(F.lit(1), F.floor(F.length("norm") / 2).cast("int") - 15), F.lit(32))
     seekers = base.select(*KEY, first, place.alias("a_place"), probe.alias("probe")).join(crowd, [*SIDE, "page"])
+    seekers = store(seekers, f"{home}/seekers")
     near = (
         seekers.where(F.col("_crowd") <= CROWDED)
         .join(spread, [*SIDE, "page"])
@@ -77,7 +78,7 @@ def contained(sections: DataFrame) -> DataFrame:
         .select(*KEY, "a_place", "probe", "other")
     )
     pressed = seekers.where(F.col("_crowd") > CROWDED).drop("_crowd")
-    pairs = near.unionByName(_sharing_grams(base, pressed))
+    pairs = near if pressed.isEmpty() else near.unionByName(_sharing_grams(base, pressed))
 
     inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"))
     outer = base.select(
