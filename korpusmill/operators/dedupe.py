@@ -11,7 +11,7 @@ from korpusmill.session import shared_folder, store
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
 NO_PAGE = -1  # every section covers it
-CROWDED = 64  # sections on a page from which on grams are compared first
+CROWDED = 512  # sections on a page beyond which grams are compared first
 
 
 def first_page(pages: Column) -> Column:
@@ -33,7 +33,7 @@ def dedupe_exact(sections: DataFrame) -> DataFrame:
     return best.select(*SIDE, "_best.*", "position")
 
 
-def dedupe_contained(sections: DataFrame) -> DataFrame:
+def dedupe_contained(sections: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """Drop sections whose text and pages both lie within another section's.
 
     Takes the result of ``dedupe_exact``. Containment is transitive, so testing
@@ -44,10 +44,10 @@ def dedupe_contained(sections: DataFrame) -> DataFrame:
     """
     home = shared_folder(sections.sparkSession, "contained")
     stored = store(sections, f"{home}/sections")
-    return stored.join(store(contained(stored, home), f"{home}/drop"), KEY, "left_anti")
+    return stored.join(store(contained(stored, home, crowded), f"{home}/drop"), KEY, "left_anti")
 
 
-def contained(sections: DataFrame, home: str) -> DataFrame:
+def contained(sections: DataFrame, home: str, crowded: int = CROWDED) -> DataFrame:
     """Keys of contained sections; ``home`` is a folder for interim tables.
 
     Whatever contains a section also covers its first page, so sections meet on
@@ -72,12 +72,12 @@ def contained(sections: DataFrame, home: str) -> DataFrame:
     seekers = base.select(*KEY, first, place.alias("a_place"), probe.alias("probe")).join(crowd, [*SIDE, "page"])
     seekers = store(seekers, f"{home}/seekers")
     near = (
-        seekers.where(F.col("_crowd") <= CROWDED)
+        seekers.where(F.col("_crowd") <= crowded)
         .join(spread, [*SIDE, "page"])
         .where(F.col("b_place") > F.col("a_place"))
         .select(*KEY, "a_place", "probe", "other")
     )
-    pressed = seekers.where(F.col("_crowd") > CROWDED).drop("_crowd")
+    pressed = seekers.where(F.col("_crowd") > crowded).drop("_crowd")
     pairs = near if pressed.isEmpty() else near.unionByName(_sharing_grams(base, pressed))
 
     inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"))
