@@ -286,6 +286,12 @@ _register(
     lambda spark, d: toc.toc_entries(_checked_toc(spark, d), I.page_counts(spark, d)).select("doc_id", "title", "start_page"),
     f"WITH {_ENTRIES} SELECT doc_id, title, start_page FROM entries",
 )
+_register(
+    "toc_preview",
+    lambda spark, d: toc.toc_preview(toc.toc_entries(I.toc_lines(spark, d), I.page_counts(spark, d))),
+    f"""WITH {_ENTRIES}, p AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY start_page, title) AS INTEGER) AS nth,
+    title, start_page FROM entries) SELECT * FROM p WHERE nth <= 15""",
+)
 _register(
     "toc_intervals",
     lambda spark, d: toc.toc_intervals(toc.toc_entries(I.toc_lines(spark, d), I.page_counts(spark, d)), _counts(spark, d)),

@@ -98,6 +98,22 @@ _register(
     lambda spark, d: webdocs.page_links(_pages(spark, d), RU).select("url", F.explode("links").alias("link")),
     f"WITH {_SQL_LINKS} SELECT page AS url, link FROM links",
 )
+def _with_rendered_links(spark, d):
+    """Even pages have a rendered version with one more link and one they have anyway."""
+    extra = F.concat(F.lit('<a href="/js/'), F.col("page_id").cast("string"), F.lit('">m</a>'))
+    first = F.regexp_extract("html", '<a href="/[^"]*">', 0)
+    js = F.when(F.col("page_id") % 2 == 0, F.concat(first, F.lit("x</a>"), extra))
+    return _pages(spark, d).withColumn("js_html", js)
+
+
+_register(
+    "rendered_links",
+    lambda spark, d: webdocs.page_links(_with_rendered_links(spark, d), RU).select("url", F.explode_outer("links").alias("link")),
+    rf"""WITH {_SQL_LINKS}, counted AS (SELECT page_id, count(*) AS n FROM links GROUP BY page_id)
+    SELECT page AS url, link FROM links UNION ALL
+    SELECT {q.canonical('url')}, regexp_extract({q.canonical('url')}, '^[a-z]+://[^/]*') || '/js/' || page_id
+    FROM pages LEFT JOIN counted USING (page_id) WHERE page_id % 2 = 0 AND coalesce(n, 0) < 8""",
+)
 _register(
     "page_text_fallback",
     lambda spark, d: _pages(spark, d).select(

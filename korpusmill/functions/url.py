@@ -90,7 +90,8 @@ def join_url(base: Column, href: Column) -> Column:
     target = F.struct(
         link.alias("link"), _parts(link).alias("p"), F.regexp_extract(link, r"[?#](?s:.*)\z", 0).alias("suffix")
     )
-    return let(split_base(base), lambda b: let(target, lambda t: _join(b, t)))
+    joined = let(split_base(base), lambda b: let(target, lambda t: _join(b, t)))
+    return F.when(link == "", base).otherwise(joined)
 
 
 def split_base(base: Column) -> Column:
@@ -105,7 +106,9 @@ def split_base(base: Column) -> Column:
 
 def _join(base: Column, target: Column) -> Column:
     b, t, link, suffix = base["p"], target["p"], target["link"], target["suffix"]
-    merged = F.concat(F.when(t["path"].startswith("/"), "").otherwise(base["folder"]), t["path"])
+    merged = F.when(t["path"].startswith("/"), t["path"]).otherwise(
+        F.regexp_replace(F.concat(base["folder"], t["path"]), "/{2,}", "/")
+    )
 
     def finish(path: Column) -> Column:
         resolved = F.when(path.rlike(r"(?:^|/)\.{1,2}(?:/|\z)"), _resolve_dots(path)).otherwise(path)
@@ -117,7 +120,7 @@ def _join(base: Column, target: Column) -> Column:
         F.when((t["scheme"] != "") & ((t["scheme"] != b["scheme"]) | ~t["scheme"].isin(*HOST_SCHEMES)), link)
         .when(t["host"] != "", F.concat(_build(b["scheme"], t["host"], t["path"]), suffix))
         .when(t["path"] == "", F.concat(_build(b["scheme"], b["host"], same_page), suffix))
-        .otherwise(let(F.regexp_replace(merged, "/{2,}", "/"), finish))
+        .otherwise(let(merged, finish))
     )
 
 

@@ -66,6 +66,12 @@ def toc_entries(toc_lines: DataFrame, page_counts: DataFrame, block: int = BLOCK
     ).select("doc_id", "title", "start_page", "place")
 
 
+def toc_preview(entries: DataFrame, n: int = 15) -> DataFrame:
+    """The first entries of each document, as a log shows them."""
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("start_page", "title"))
+    return entries.select("doc_id", nth.alias("nth"), "title", "start_page").where(F.col("nth") <= n)
+
+
 def toc_intervals(entries: DataFrame, page_counts: DataFrame) -> DataFrame:
     """(doc_id, title, start_page, end_page): each entry runs to the page before the next.
 

@@ -28,7 +28,5 @@ def collect_site(
     wanted = wanted.withColumn("_ordinal", F.struct("level", "_asked", "page_id"))
     records = webdocs.page_records(wanted, profile, "_ordinal")
     unique = webdocs.dedupe_by_url(records, profile.duplicate_keep)
-    category = webdocs.category_of(unique, root_url, profile)
-    # One row by construction, so joining it to every document is safe.
-    filed = unique.join(F.broadcast(category))
-    return webdocs.web_documents(filed, F.lit(root_url), F.col("category"), F.lit(lang or profile.name), profile)
+    category = webdocs.category_of(unique, root_url, profile).select("category").scalar()
+    return webdocs.web_documents(unique, F.lit(root_url), category, F.lit(lang or profile.name), profile)
