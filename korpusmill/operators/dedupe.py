@@ -11,6 +11,7 @@ from korpusmill.session import shared_folder, store
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
 NO_PAGE = -1  # every section covers it
+CUT = 24
 CROWDED = 512  # sections on a page beyond which grams are compared first
 
 
@@ -93,14 +94,36 @@ def contained(sections: DataFrame, home: str, crowded: int = CROWDED) -> DataFra
 
 
 def _word_pairs() -> tuple[Column, Column]:
-    """Hashes of all adjacent word pairs of a section, and of those it may be found by."""
+    """Hashes of all adjacent word pairs of a section, and of those it may be found by.
+
+    A section's first and last word may be the end and the start of longer
+    words where it is contained. So every pair is also listed with all ends of
+    its first word and with all starts of its second; of words longer than
+    ``CUT`` the outermost ``CUT`` characters are enough.
+    """
     words, n = F.col("words"), F.col("n_words")
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.xxhash64(a, b),
+    firsts = F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0)))
+    seconds = F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0)))
+
+    def lengths(word: Column) -> Column:
+        return F.sequence(F.lit(1), F.least(F.length(word), F.lit(CUT)))
+
+    def head(a: Column, b: Column, k: Column) -> Column:
+        return F.xxhash64(F.lit("head"), F.right(a, k), b)
+
+    def tail(a: Column, b: Column, k: Column) -> Column:
+        return F.xxhash64(F.lit("tail"), a, F.left(b, k))
+
+    whole = F.zip_with(firsts, seconds, lambda a, b: F.xxhash64(a, b))
+    ends = F.flatten(F.zip_with(firsts, seconds, lambda a, b: F.transform(lengths(a), lambda k: head(a, b, k))))
+    starts = F.flatten(F.zip_with(firsts, seconds, lambda a, b: F.transform(lengths(b), lambda k: tail(a, b, k))))
+    own_head = head(F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(2)), F.lit(CUT))
+    own_tail = tail(F.try_element_at(words, F.lit(-2)), F.try_element_at(words, F.lit(-1)), F.lit(CUT))
+    inner = F.slice(whole, F.lit(2), F.greatest(n - 3, F.lit(0)))
+    return (
+        F.array_distinct(F.concat(whole, ends, starts)),
+        F.array_distinct(F.concat(inner, F.array(own_head, own_tail))),
     )
-    return F.array_distinct(pairs), F.array_distinct(F.slice(pairs, F.lit(2), F.greatest(n - 3, F.lit(0))))
 
 
 def _letter_grams() -> tuple[Column, Column]:
@@ -118,13 +141,13 @@ def _letter_grams() -> tuple[Column, Column]:
 def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
     """(section, other) for the sections in ``pressed`` and all that hold their rarest gram.
 
-    Grams are word pairs, without the first and last word, which may be cut.
-    Sections of three words or less are looked up by letters instead.
+    Grams are word pairs. Sections of one or two words are looked up by letters
+    instead, as neither of their words need be whole elsewhere.
     """
     sides = pressed.select(*SIDE).distinct()
     words = base.join(sides, SIDE, "left_semi").withColumn("words", F.split("norm", " "))
     words = words.withColumn("n_words", F.size("words"))
-    short = F.col("n_words") <= 3
+    short = F.col("n_words") <= 2
     pairs, inner_pairs = _word_pairs()
     letters, own_letters = _letter_grams()
     own = F.when(short, own_letters).otherwise(inner_pairs)
