@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "korpusmill"
     )
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="korpusmill-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -35,8 +41,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="korpusmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -11,6 +11,7 @@ from korpusmill.operators import layout
 from korpusmill.operators.crawl import discover
 from korpusmill.plans.web_corpus import collect_site
 from korpusmill.profiles import EN, KG, RU
+from korpusmill.session import shared_folder
 from korpusmill.sinks.files import write_jsonl, write_section_files
 from korpusmill.sources import browser, http, pdf
 from korpusmill.streaming.web_stream import read_pages, save_stream, stream_documents
@@ -207,3 +208,19 @@ def test_registry(spark):
     start = time.time()
     assert registry.entry(spark).count() > 0
     assert time.time() - start < 120
+
+
+class Unset:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext, self.master = self, self, master
+
+    def get(self, key, default):
+        return default
+
+
+def test_only_a_local_session_may_lack_a_shared_folder():
+    assert shared_folder(Unset("local[2]"), "x") != shared_folder(Unset("local[2]"), "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Unset("spark://host"), "x")
