@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korpusmill.llm import line_dedup, near_dedup, url_filter
+from korpusmill.llm import decontaminate, fingerprints, html_extract, license_scan, line_dedup, near_dedup, url_filter
 from korpusmill.llm.common import read
 
 QUERIES, ORACLES = {}, {}
@@ -92,3 +92,28 @@ parts AS (SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS co
 @_register("op3_near_dedup", f"WITH RECURSIVE {sql_components('documents', 2, 80)} SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM parts")
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+# --- 4: licence scan (its rules are regular expressions of another engine; tests compare it with brute force)
+@_register("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+# --- 5: benchmark decontamination
+@_register("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("doc", "doc_id")
+
+
+# --- 6: HTML extraction
+@_register("op6_html_extract")
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(read(spark, sf_dir, "pages"))
+
+
+# --- 7: document fingerprints
+@_register("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
