@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korpusmill.llm import decontaminate, fingerprints, html_extract, license_scan, line_dedup, near_dedup, url_filter
+from korpusmill.llm import decontaminate, fingerprints, html_extract, license_scan, line_dedup
+from korpusmill.llm import maxent_lm, near_dedup, quality, sp_encoding, url_filter
 from korpusmill.llm.common import read
 
 QUERIES, ORACLES = {}, {}
@@ -117,3 +118,24 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+# --- 8: LM scoring
+@_register("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_texts(read(spark, sf_dir, "documents"))
+
+
+# --- 9: quality classifier
+@_register("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+# --- 10: SentencePiece encoding and decoding
+@_register("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_encoding.round_trip(read(spark, sf_dir, "documents"))
