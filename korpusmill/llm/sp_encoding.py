@@ -203,7 +203,9 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>) and ``n_pieces``; columns of these names are replaced.
+    """``docs`` with ``ids`` (array<int>), ``n_pieces``, and ``lossless``: whether the ids decode to the text.
+
+    Columns of these names are replaced.
 
     ``dropout`` 0 gives the vocabulary's own segmentation. Otherwise a
     candidate is skipped with that chance, by a hash of the seed, the
@@ -213,10 +215,11 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
     shared = docs.sparkSession.sparkContext.broadcast(vars(load_pieces(model)))
 
     def emit(batch, encoder, texts, ids):
-        new = {"ids": _lists(ids), "n_pieces": pa.array([len(i) // 4 for i in ids], pa.int64())}
+        same = [encoder.decode(i) == (t or "") for i, t in zip(ids, texts)]
+        new = {"ids": _lists(ids), "n_pieces": pa.array([len(i) // 4 for i in ids], pa.int64()), "lossless": pa.array(same, pa.bool_())}
         return pa.RecordBatch.from_pydict({n: c for n, c in zip(batch.schema.names, batch.columns) if n not in new} | new)
 
-    return docs.mapInArrow(_encoded(shared, dropout, seed, emit), with_fields(docs, "ids array<int>, n_pieces bigint"))
+    return docs.mapInArrow(_encoded(shared, dropout, seed, emit), with_fields(docs, "ids array<int>, n_pieces bigint, lossless boolean"))
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
