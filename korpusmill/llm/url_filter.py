@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from korpusmill.llm.common import ascii_lower
 
-#: A block is eight words of 32 bits; a URL sets one bit in each. Fixed odd multipliers, one a word.
-MULTIPLIERS = tuple((0x9E3779B1 * (2 * i + 1)) & 0x7FFFFFFF | 1 for i in range(8))
+#: A block is eight words of 32 bits; a URL sets one bit in each, by an odd multiplier for each word.
+MULTIPLIERS = tuple(pow(0x9E3779B1, i + 2, 1 << 31) | 1 for i in range(8))
 BITS_PER_URL = 16
 
 
