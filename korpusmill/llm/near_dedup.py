@@ -6,10 +6,11 @@ an odd sketch, a bitmap of parities: the number of bits by which two sketches
 differ estimates how many samples differ, and most accurately for similar
 sets. Candidates that the sketches let through are compared on their whole sets.
 
-Groups of copies are never expanded into pairs. Equal sets are one node. In a
-bucket all nodes are compared with the smallest one first. Only buckets that
-then still hold several components are searched for further pairs, in blocks of
-bounded size that return only pairs whose sketches are close.
+Groups of copies are never expanded into pairs. Equal sets are one node. A
+bucket's pivot is its smallest node, and each node is compared with two of its
+pivots first: the smallest, and the one it shares most bands with. Buckets that
+then still hold several components are searched for links across components, in
+blocks of bounded size that give only as many links as join them.
 """
 
 from __future__ import annotations
@@ -141,42 +142,51 @@ def _linked(percent: int):
     return run
 
 
-def _close_pairs(most: int):
-    """Pairs of a comparison of blocks in different components with close sketches."""
+def _region_links(percent: int):
+    """Links across components in one comparison of blocks, as many as it takes to join them; decided on whole sets."""
 
     def run(table: pa.Table) -> pa.Table:
-        node, comp, left = (table[c].to_numpy() for c in ("node", "comp", "left"))
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(node), -1)
-        right = table["right"].to_numpy()
+        node, comp, left, right = (table[c].to_numpy() for c in ("node", "comp", "left", "right"))
+        sets = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
         xs, ys = np.flatnonzero(left), np.flatnonzero(right)
+        sizes = np.array([len(h) for h in sets])
+        posted, owner = np.concatenate([sets[y] for y in ys] or [np.empty(0, np.uint64)]), np.repeat(np.arange(len(ys)), sizes[ys])
+        order = np.argsort(posted, kind="stable")
+        posted, owner = posted[order], owner[order]
+        _, label = np.unique(comp, return_inverse=True)
         found = []
-        for at in range(0, len(xs), 64):
-            x = xs[at : at + 64]
-            differ = np.bitwise_count(sketch[x][:, None, :] ^ sketch[ys][None, :, :]).sum(axis=2, dtype=np.int32)
-            i, j = np.nonzero((differ <= most) & (comp[x][:, None] != comp[ys][None, :]))
-            found.append(np.stack([node[x[i]], node[ys[j]]], axis=1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        for x in xs:
+            low, high = np.searchsorted(posted, sets[x], "left"), np.searchsorted(posted, sets[x], "right")
+            n = high - low
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(ys))
+            for y in ys[100 * both >= percent * (sizes[x] + sizes[ys] - both)]:
+                if label[x] != label[y]:
+                    label[label == label[y]] = label[x]
+                    found.append((node[x], node[y]))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return run
 
 
-def _check(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, most: int) -> DataFrame:
+def _check(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
     """``a, b, link`` for those ``pairs`` whose sketches are close, decided on whole sets; stored."""
-    spark = docs.sparkSession
+    spark = pairs.sparkSession
     sketch = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"))
     seen = pairs.join(sketch("a"), "a").join(sketch("b"), "b")
     seen = seen.mapInArrow(_near(most), "a bigint, b bigint")
     seen = store(seen, shared_folder(spark, "candidates"))
-    ids = seen.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(ids, "node", "left_semi")
-    sets = store(texts.mapInArrow(_sets(words), "node bigint, hashes binary"), shared_folder(spark, "shingle-sets"))
     own = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"h{c}"))
     both = seen.join(own("b"), "b").join(own("a"), "a").select("a", "b", "ha", "hb")
     return store(both.mapInArrow(_linked(percent), "a bigint, b bigint, link boolean"), shared_folder(spark, "links"))
 
 
+def _stored_sets(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``node, hashes`` for the documents ``ids`` (node)."""
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(ids, "node", "left_semi")
+    return store(texts.mapInArrow(_sets(words), "node bigint, hashes binary"), shared_folder(docs.sparkSession, "shingle-sets"))
+
+
 def _near(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,27 +198,44 @@ def _near(most: int):
     return run
 
 
-def _more_pairs(rows: DataFrame, nodes: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Close pairs across components, from buckets of three or more nodes that hold several components."""
-    comp = rows.join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
-    main = F.max(F.struct("size", "comp"))["comp"]
-    mixed = comp.groupBy("key").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), main.alias("main"))
-    mixed = mixed.where("m > 2 AND c0 < c1").select("key", "main")
-    sides = comp.join(mixed, "key").withColumn("stray", F.col("comp") != F.col("main"))
-    n = sides.groupBy("key").agg(*(F.greatest(F.lit(1), F.ceil(F.sum(c.cast("int")) / BLOCK)).cast("int").alias(name) for c, name in ((F.col("stray"), "strays"), (~F.col("stray"), "mains"))))
+def _links_across(met: DataFrame, tried: DataFrame, nodes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a bucket, ``a, b``.
+
+    A bucket's largest component is its main one, all other nodes are strays.
+    All strays of a main component are compared with each other and with its
+    nodes, block by block. Buckets of two nodes that were ``tried`` are done.
+    """
+    labels = roots.join(roots.groupBy("root").agg(F.count("*").alias("size")), "root")
+    named = nodes.select("node").distinct().join(labels, "node", "left")
+    named = named.select("node", F.coalesce("root", "node").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
+    named = store(named, shared_folder(met.sparkSession, "components"))
+
+    comp = met.select("key", "node").join(named, "node")
+    mixed = comp.groupBy("key").agg(
+        F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max(F.struct("size", "comp"))["comp"].alias("main"),
+        F.min("node").alias("a"), F.max("node").alias("b"),
+    ).where("c0 < c1")
+    done = tried.select("a", "b", F.lit(2).cast("bigint").alias("m"))
+    mixed = mixed.join(done, ["a", "b", "m"], "left_anti").select("key", "main")
+    strays = comp.join(mixed, "key").where("comp <> main").select("main", "node", "comp").distinct().withColumn("stray", F.lit(True))
+    strays = store(strays, shared_folder(met.sparkSession, "strays"))
+    mains = named.join(strays.select(F.col("main").alias("comp")).distinct(), "comp")
+    region = strays.unionByName(mains.select(F.col("comp").alias("main"), "node", "comp", F.lit(False).alias("stray")))
+
+    share = lambda c: F.greatest(F.lit(1), F.ceil(F.sum(c.cast("int")) / BLOCK)).cast("int")
+    n = region.groupBy("main").agg(share(F.col("stray")).alias("strays"), share(~F.col("stray")).alias("mains"))
     # A stray block meets each block of strays from its own number on, and every main block (numbered -1, -2, ...).
     own = F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("strays")).otherwise(F.col("mains"))).cast("int")
-    i = F.col("own")
-    to = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y"))),
-        F.transform(F.sequence(F.lit(1), F.col("mains")), lambda j: F.struct(i.alias("x"), (-j).alias("y"))),
+    i, pair = F.col("own"), lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    from_stray = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda j: pair(F.least(i, j), F.greatest(i, j))),
+        F.transform(F.sequence(F.lit(1), F.col("mains")), lambda j: pair(i, -j)),
     )
-    from_main = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda j: F.struct(j.alias("x"), (-i - 1).alias("y")))
-    dealt = sides.join(n, "key").withColumn("own", own).select("key", "node", "comp", "stray", "own", F.explode(F.when(F.col("stray"), to).otherwise(from_main)).alias("p"))
+    from_main = F.transform(F.sequence(F.lit(0), F.col("strays") - 1), lambda j: pair(j, -i - 1))
+    dealt = region.join(n, "main").withColumn("own", own).withColumn("p", F.explode(F.when(F.col("stray"), from_stray).otherwise(from_main)))
     mine = F.when(F.col("stray"), F.col("own")).otherwise(-F.col("own") - 1)
-    dealt = dealt.select("key", "node", "comp", "p.x", "p.y", (mine == F.col("p.x")).alias("left"), (mine == F.col("p.y")).alias("right"))
-    dealt = dealt.join(nodes.select("node", "sketch"), "node")
-    return dealt.groupBy("key", "x", "y").applyInArrow(_close_pairs(most), "a bigint, b bigint").distinct()
+    dealt = dealt.select("main", "node", "comp", "p.x", "p.y", (mine == F.col("p.x")).alias("left"), (mine == F.col("p.y")).alias("right"))
+    return dealt.join(sets, "node").groupBy("main", "x", "y").applyInArrow(_region_links(percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -234,15 +261,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     rows_ = nodes.select("node", F.explode("bands").alias("key"))
     pivots = rows_.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last").select("key", "a")
     met = store(rows_.join(pivots, "key").select("key", "a", "node"), shared_folder(spark, "buckets"))
-    stars = met.where("a < node").select("a", F.col("node").alias("b")).distinct()
-    checked = _check(stars, nodes, docs, words, percent, most)
-    links = checked.where("link").select("a", "b")
+    shared = met.where("a < node").groupBy("node", "a").agg(F.count("*").alias("times"))
+    picks = shared.groupBy("node").agg(F.array_distinct(F.array(F.min("a"), F.max_by("a", F.struct("times", -F.col("a"))))).alias("picks"))
+    tried = store(picks.select(F.explode("picks").alias("a"), F.col("node").alias("b")), shared_folder(spark, "tried"))
+    sets = _stored_sets(met.select("node").distinct(), docs, words)
+    links = _check(tried, nodes, sets, percent, most).where("link").select("a", "b")
     roots = components(links)
-
-    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-    labels = roots.join(sizes, "root")
-    more = _more_pairs(met.select("key", "node").distinct(), nodes, labels, most).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.unionByName(_check(more, nodes, docs, words, percent, most).where("link").select("a", "b"))
+    links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(_links_across(met, tried, nodes, roots, sets, percent))
 
     member = known.select("doc", "hi", "lo").join(classes, ["hi", "lo"]).groupBy("doc").agg(F.min("node").alias("node"), F.max("node").alias("other"))
     member = store(member, shared_folder(spark, "members"))
