@@ -26,6 +26,7 @@ DROPOUT, SEED, VARIANTS = 0.1, 1, 8
 #: Segmentations a task remembers; when there are more it forgets all.
 REMEMBERED = 300_000
 _NEVER = np.int32(2**31 - 1)
+_EMPTY = np.uint64(2**64 - 1)
 #: Pieces begin at spaces and none crosses a line break, so words are encoded each for itself.
 _SEGMENTS = re.compile(r"\n| *[^ \n]+| +")
 
@@ -70,27 +71,46 @@ class Encoder:
             if len(t) == 1 and t != "▁":
                 self.symbol[ord(t)] = i
         self.symbol[ord(" ")] = known["▁"]
-        pairs = [(known[t[:k]], known[t[k:]], i) for t, i in known.items() for k in range(1, len(t)) if t[:k] in known and t[k:] in known]
-        left, right, whole = (np.array(c, np.int64) for c in zip(*pairs))
-        order = np.argsort(left << 32 | right)
-        self.pair_keys, self.pair_whole = (left << 32 | right)[order], whole[order].astype(np.int32)
-        scores = np.array(pieces.scores)
-        self.rank = np.empty(len(scores), np.int32)
-        self.rank[np.argsort(-scores, kind="stable")] = np.arange(len(scores), dtype=np.int32)
+        self.by_rank = np.argsort(-np.array(pieces.scores), kind="stable").astype(np.int32)
+        rank = np.empty(len(self.by_rank), np.int32)
+        rank[self.by_rank] = np.arange(len(rank), dtype=np.int32)
+        pairs = [(known[t[:k]], known[t[k:]], rank[i]) for t, i in known.items() for k in range(1, len(t)) if t[:k] in known and t[k:] in known]
+        self._fill_table(*(np.array(c, np.int64) for c in zip(*pairs)))
         self.decoded = [b"" if t is None else t.replace("▁", " ").encode() for t in pieces.texts]
         for b, i in enumerate(pieces.bytes):
             self.decoded[i] = bytes([b])
-        self.cache: dict[tuple[int, str], bytes] = {}
-
-    def _whole(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that two symbols make, -1 if none."""
-        key = left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_whole[at], np.int32(-1))
-
-    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        whole = self._whole(left, right)
-        return np.where(whole >= 0, self.rank[whole], _NEVER)
+        self.cache: dict[str, bytes] = {}
+
+    def _fill_table(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray) -> None:
+        """A sparse table from pairs of symbols to the rank of the piece they make; a taken slot passes on to the next."""
+        bits = (16 * len(left)).bit_length()
+        self.shift, keys = np.uint64(64 - bits), left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        self.keys, self.ranks = np.full((1 << bits) + 64, _EMPTY), np.full((1 << bits) + 64, _NEVER)
+        slot, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == _EMPTY]
+            _, first = np.unique(slot[free], return_index=True)
+            self.keys[slot[free[first]]], self.ranks[slot[free[first]]] = keys[free[first]], rank[free[first]]
+            todo = todo[self.keys[slot[todo]] != keys[todo]]
+            slot[todo] += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pieces that pairs of symbols make; symbols below 0 make none."""
+        keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64) & np.uint64(0xFFFFFFFF)
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, self.ranks[slot], _NEVER)
+        todo = np.flatnonzero((seen != keys) & (seen != _EMPTY))
+        while len(todo):
+            slot[todo] += 1
+            seen = self.keys[slot[todo]]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.ranks[slot[todo[hit]]]
+            todo = todo[~hit & (seen != _EMPTY)]
+        return out
 
     def _merge(self, words: list[str], variants: np.ndarray) -> list[bytes]:
         """Piece ids of words of about one length, as bytes."""
@@ -98,42 +118,37 @@ class Encoder:
         n, width = len(words), int(sizes.max())
         inside = np.arange(width) < sizes[:, None]
         ids = np.full((n, width + 1), -2, np.int32)  # the last column stays empty
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        ids[:, :width][inside] = self.symbol[chars]
+        ids[:, :width][inside] = self.symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         final, rows = ids.copy(), np.arange(n)
         ranks = np.full((n, width + 1), _NEVER, np.int32)
         if width > 1:
-            ranks[:, : width - 1] = self._ranks(ids[:, : width - 1], ids[:, 1:width])
+            ranks[:, : width - 1] = self._pair_ranks(ids[:, : width - 1].ravel(), ids[:, 1:width].ravel()).reshape(n, width - 1)
         column, step = np.arange(width + 1), 0
+        salt = _mix(variants.astype(np.uint64) + np.uint64(self.seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+        least = np.uint64(min(2**64 - 1, int(self.dropout * 2.0**64)))
         while len(rows):
             at = ranks.argmin(axis=1)
-            here = np.arange(len(rows))
-            alive = ranks[here, at] != _NEVER
-            if not alive.all():
+            best = ranks[np.arange(len(rows)), at]
+            alive = best != _NEVER
+            if alive.sum() <= 0.7 * len(rows):
                 final[rows[~alive]] = ids[~alive]
-                ids, ranks, rows, at, variants = ids[alive], ranks[alive], rows[alive], at[alive], variants[alive]
-                if not len(rows):
-                    break
-                here = np.arange(len(rows))
-            left, right = ids[here, at], ids[here, at + 1]
-            skipped = np.zeros(len(rows), bool)
+                ids, ranks, rows, at, best, salt = ids[alive], ranks[alive], rows[alive], at[alive], best[alive], salt[alive]
+                alive = np.ones(len(rows), bool)
             if self.dropout > 0:
-                key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-                place = (variants.astype(np.uint64) << np.uint64(48)) | (np.uint64(step) << np.uint64(24)) | at.astype(np.uint64)
-                drawn = _mix(_mix(key + np.uint64(self.seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) ^ place)
-                skipped = (drawn >> np.uint64(11)).astype(np.float64) < self.dropout * 2.0**53
-            ranks[here[skipped], at[skipped]] = _NEVER
-            move = here[~skipped]
+                place = (np.uint64(step) << np.uint64(40)) | (at.astype(np.uint64) << np.uint64(20)) | best.astype(np.uint64)
+                skipped = alive & ((_mix(salt ^ place) < least) | (self.dropout >= 1))
+                ranks[skipped, at[skipped]] = _NEVER
+                alive &= ~skipped
+            move = np.flatnonzero(alive)
             if len(move):
-                spot = at[~skipped]
+                spot = at[move]
                 source = np.minimum(column + (column > spot[:, None]), width)
-                own = np.take_along_axis(ids[move], source, axis=1)
-                rank = np.take_along_axis(ranks[move], source, axis=1)
+                own, rank = np.take_along_axis(ids[move], source, axis=1), np.take_along_axis(ranks[move], source, axis=1)
                 i = np.arange(len(move))
-                own[i, spot] = self._whole(left[~skipped], right[~skipped])
-                rank[i, spot] = self._ranks(own[i, spot], own[i, np.minimum(spot + 1, width)])
+                own[i, spot] = self.by_rank[best[move]]
                 before = np.flatnonzero(spot > 0)
-                rank[before, spot[before] - 1] = self._ranks(own[before, spot[before] - 1], own[before, spot[before]])
+                new = self._pair_ranks(np.append(own[i, spot], own[before, spot[before] - 1]), np.append(own[i, spot + 1], own[before, spot[before]]))
+                rank[i, spot], rank[before, spot[before] - 1] = new[: len(move)], new[len(move) :]
                 ids[move], ranks[move] = own, rank
             step += 1
         kept = final != -2
@@ -154,22 +169,21 @@ class Encoder:
 
     def encode(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         """Piece ids of each text as 32-bit integers."""
-        marks = []
+        marks = []  # every word after a character that names its variant
         for text, key in zip(texts, keys):
             words = _SEGMENTS.findall(" " + text) if text else []
-            variant = np.arange(len(words), dtype=np.uint64) + np.uint64(key % 2**64)
-            marks.append(list(zip((_mix(variant) % np.uint64(self.variants)).tolist(), words)))
+            variant = _mix(np.arange(len(words), dtype=np.uint64) + np.uint64(key % 2**64)) % np.uint64(self.variants)
+            marks.append(list(map(str.__add__, (variant.astype(np.uint8) + np.uint8(48)).tobytes().decode("latin-1"), words)))
         if len(self.cache) > REMEMBERED:
             self.cache.clear()
-        new = sorted({m for doc in marks for m in doc} - self.cache.keys(), key=lambda m: len(m[1]))
+        new = sorted(set().union(*marks) - self.cache.keys(), key=len)
         at = 0
         while at < len(new):
             # Words of similar length together; rows times columns stay bounded but for a single long word.
-            count = max(1, min(4096, (1 << 18) // (len(new[at][1]) + 1)))
-            part = new[at : at + count]
-            while len(part) > 1 and len(part[-1][1]) > 2 * len(part[0][1]) + 8:
+            part = new[at : at + max(1, min(8192, (1 << 18) // len(new[at])))]
+            while len(part) > 1 and len(part[-1]) > 2 * len(part[0]) + 8:
                 part = part[: len(part) // 2]
-            self.cache.update(zip(part, self._merge([w for _, w in part], np.array([v for v, _ in part]))))
+            self.cache.update(zip(part, self._merge([w[1:] for w in part], np.array([ord(w[0]) for w in part]))))
             at += len(part)
         return [b"".join(map(self.cache.__getitem__, doc)) for doc in marks]
 
