@@ -16,16 +16,9 @@ from korpusmill.functions.text import normalize_space
 NBSP, EM_SPACE, LINE_SEP = chr(0xA0), chr(0x2003), chr(0x2028)
 
 
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Long texts in fewer files than there are cores are spread first."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_KEYS and len(df.inputFiles()) < cores:
-        return df.repartition(cores, TEXT_KEYS[name])
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- documents with unusual white space and line breaks

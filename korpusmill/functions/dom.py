@@ -20,6 +20,9 @@ _VOID = frozenset(
 )
 
 
+_UNENDED = re.compile(r"<[A-Za-z/!?].*", re.DOTALL)
+
+
 class _Node:
     __slots__ = ("tag", "attrs", "children")
 
@@ -86,8 +89,10 @@ def _serialize(root: _Node) -> str:
 
 def clean_markup(html: str, drop_tags: frozenset, noise: re.Pattern, max_chars: int) -> str:
     """Drop unwanted elements and short elements whose class or id looks like noise."""
+    # A tag that nothing ends takes the rest of the page; the parser would search that rest again from each start.
+    ended = html.rfind(">") + 1
     builder = _TreeBuilder()
-    builder.feed(html)
+    builder.feed(html[:ended] + _UNENDED.sub("", html[ended:], count=1))
     builder.close()
     # First the unwanted tags everywhere: noise is measured on what is left.
     todo = [builder.root]

@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import DIGIT, WS, strip_space
-
-# The depth bound keeps Java's group recursion off junk lines.
-_NUM = rf"{DIGIT}+(?:\.{DIGIT}+){{0,400}}"
+from korpusmill.functions.url import let
 
 # Header patterns of legal documents.
 LEGAL_HEADER = (
@@ -18,26 +16,41 @@ LEGAL_HEADER = (
     rf"|приложение{WS}*(?:[A-ZА-Я]|{DIGIT})"
     r")"
 )
-NUMBERED = rf"^({_NUM}){WS}*[.)]?{WS}*[^\n]{{2,220}}{WS}*\z"
-NUMBERED_TITLE = rf"^({_NUM}){WS}*[.)]?{WS}*[^\n]+?{WS}*\z"
+AFTER_NUMBER = rf"^{WS}*[.)]?{WS}*[^\n]{{2,220}}{WS}*\z"
+AFTER_TITLE_NUMBER = rf"^{WS}*[.)]?{WS}*[^\n]+?{WS}*\z"
 DEFINITION = rf"(?iu){WS}[–—-]{WS}+[a-zа-яёҥүө0-9]"
 TITLE_LIKE = rf"^[A-ZА-ЯЁҢҮӨ][\p{{L}}\p{{N}}_\-,–—:()«»\"'’{WS}]+\z"
 LETTER = "[A-Za-zА-Яа-яЁёҢңҮүӨө]"
 UPPER = "[A-ZА-ЯЁҢҮӨ]"
 
 
-def _first_group(c: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(strip_space(F.coalesce(c, F.lit(""))), pattern, 1), F.lit(""))
+def _leading_number(c: Column, rest: str) -> Column:
+    """The longest dotted number, of any depth, that ``rest`` may follow.
+
+    Giving up to three characters back is enough: they are text for ``rest``,
+    and the number still ends in a digit.
+    """
+
+    def longest(t: Column) -> Column:
+        run = F.regexp_extract(t, rf"^{DIGIT}[{DIGIT}.]*+", 0)
+        return F.struct(t.alias("t"), F.regexp_replace(F.substring_index(run, "..", 1), r"\.$", "").alias("n"))
+
+    def shortened(s: Column, by: int) -> Column:
+        number = F.substring(s["n"], F.lit(1), F.length(s["n"]) - by)
+        fits = number.rlike(rf"{DIGIT}\z") & F.substring(s["t"], F.length(number) + 1, F.length(s["t"])).rlike(rest)
+        return F.when(fits, number)
+
+    return let(let(strip_space(F.coalesce(c, F.lit(""))), longest), lambda s: F.coalesce(*(shortened(s, i) for i in range(4))))
 
 
 def section_key(c: Column) -> Column:
     """Leading dotted number of a header line; null without one."""
-    return _first_group(c, NUMBERED)
+    return _leading_number(c, AFTER_NUMBER)
 
 
 def toc_section_key(c: Column) -> Column:
     """As ``section_key``, but any one character may follow the number."""
-    return _first_group(c, NUMBERED_TITLE)
+    return _leading_number(c, AFTER_TITLE_NUMBER)
 
 
 def is_definition(c: Column) -> Column:
@@ -70,7 +83,7 @@ def header_flags(text: Column, bold: Column) -> tuple[Column, Column]:
     size = F.length(t)
     legal = t.rlike(LEGAL_HEADER)
     definition = is_definition(text)
-    numbered = t.rlike(NUMBERED) & ~definition & (size >= 5)
+    numbered = section_key(text).isNotNull() & ~definition & (size >= 5)
     titled = bold & (size <= 160) & t.rlike(TITLE_LIKE) & (header_quality(text) >= 0.80)
     always = (t != "") & (legal | numbered | (~definition & titled))
     by_size = (t != "") & ~definition & (size <= 240)

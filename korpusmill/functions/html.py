@@ -1,7 +1,9 @@
 """HTML extraction as Column expressions.
 
-Regular pages are handled by the JVM's regular expressions alone. All patterns
-are linear: quantified groups are possessive, lazy scans stop at a literal.
+Regular pages are handled by the JVM's regular expressions alone. Patterns of
+tags and elements are linear: quantified groups are possessive, and where an
+end is missing the first match takes the rest of the page, so the rest is not
+searched again from every later start.
 """
 
 from __future__ import annotations
@@ -16,14 +18,14 @@ from korpusmill.functions.url import canonical_url, join_url, let, looks_like_fi
 from korpusmill.profiles import SiteProfile
 
 _IN_TAG = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+'|["'])*+"""
-ANY_TAG = rf"<[A-Za-z/!?]{_IN_TAG}>"
-COMMENT = r"(?s)<!--.*?-->"
-SCRIPT = r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>"
+ANY_TAG = rf"<[A-Za-z/!?]{_IN_TAG}(?:>|\z)"
+COMMENT = r"(?s)<!--(?:.*?-->|.*+)"
+SCRIPT = r"(?is)<(script|style)\b(?:[^>]*+>(?:.*?</\1\s*+>|.*+)|[^>]*+\z)"
 _BLOCK_TAGS = (
     "p|div|li|ul|ol|h[1-6]|table|thead|tbody|tr|td|th|section|article|main|blockquote|pre|dl|dt|dd|"
     "form|fieldset|figure|figcaption|body|html|br|hr|details|summary|header|footer|nav|aside|address"
 )
-BLOCK_EDGE = rf"(?i)</?(?:{_BLOCK_TAGS})\b{_IN_TAG}>"
+BLOCK_EDGE = rf"(?i)</?(?:{_BLOCK_TAGS})\b{_IN_TAG}(?:>|\z)"
 # Markup that hides text until someone clicks.
 INTERACTIVE_ATTR = (
     r"(?i)<[a-z][^<>]*\s(?:aria-expanded\s*=\s*[\"']?false\b|data-(?:bs-)?toggle\s*=\s*[\"']?collapse\b)"
@@ -33,8 +35,8 @@ INTERACTIVE_CLASS = (
     r"(?:accordion|faq|tabs|tab|collapse|spoiler|toggle)(?=[\s\"'>])"
 )
 
-# Windows code points that pages use by mistake for typographic characters.
-_CP1252 = {i: bytes([i]).decode("cp1252", "replace") for i in range(0x80, 0xA0)}
+# Windows code points that pages use by mistake for typographic characters; five of them mean nothing there.
+_CP1252 = {i: bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 _COMMON = ("amp;", "nbsp;", "quot;", "lt;", "gt;", "laquo;", "raquo;", "mdash;", "ndash;", "copy;")
 
 
@@ -43,25 +45,36 @@ def _entity_names() -> list[str]:
 
 
 def _decode_reference(piece: Column, names: Column) -> Column:
-    """``piece`` is what follows an ampersand."""
-    pattern = r"^(?:#[0-9]{1,9};?|#[xX][0-9A-Fa-f]{1,8};?|[A-Za-z][A-Za-z0-9]{0,31};?)"
+    """``piece`` is what follows an ampersand.
+
+    Of a name that is not known the longest known start counts, as browsers do;
+    names that need no semicolon have two to six letters.
+    """
+    pattern = r"^(?:#[0-9]++;?|#[xX][0-9A-Fa-f]++;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
 
     def numeric(ref: Column) -> Column:
-        digits = F.when(
-            ref.rlike("^#[xX]"), F.conv(F.regexp_extract(ref, "^#[xX]([0-9A-Fa-f]+)", 1), 16, 10)
-        ).otherwise(F.regexp_extract(ref, "^#([0-9]+)", 1))
-        return let(digits.try_cast("bigint"), character)
+        hexed = F.regexp_extract(ref, "^#[xX]0*+([0-9A-Fa-f]*)", 1)
+        plain = F.regexp_extract(ref, "^#0*+([0-9]*)", 1)
+        # Anything longer is beyond the last character.
+        digits = F.when(ref.rlike("^#[xX]"), F.when(F.length(hexed) <= 8, F.conv(F.concat(F.lit("0"), hexed), 16, 10)))
+        digits = F.when(ref.rlike("^#[xX]"), digits).when(F.length(plain) <= 9, F.concat(F.lit("0"), plain))
+        return let(F.coalesce(digits.try_cast("bigint"), F.lit(1 << 40)), character)
 
     def character(code: Column) -> Column:
         valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
         plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         plain = F.translate(plain, "".join(map(chr, _CP1252)), "".join(_CP1252.values()))
-        return F.when(valid, plain).otherwise(chr(0xFFFD))
+        unused = code.between(1, 8) | code.between(0xE, 0x1F) | code.isin(0xB, 0x7F) | code.between(0xFDD0, 0xFDEF)
+        unused |= code.bitwiseAND(0xFFFE) == 0xFFFE
+        return F.when(valid & unused, "").when(valid, plain).otherwise(chr(0xFFFD))
 
     def replace(ref: Column) -> Column:
-        char = F.when(ref.startswith("#"), numeric(ref)).otherwise(F.try_element_at(names, ref))
-        rest = F.substring(piece, F.length(ref) + 1, F.length(piece))
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+        def known(name: Column) -> Column:
+            char = F.when(ref.startswith("#"), numeric(ref)).otherwise(F.try_element_at(names, name))
+            return F.concat(char, F.substring(piece, F.length(name) + 1, F.length(piece)))
+
+        starts = [F.when(F.length(ref) > n, known(F.left(ref, F.lit(n)))) for n in range(6, 1, -1)]
+        return F.coalesce(known(ref), *starts, F.concat(F.lit("&"), piece))
 
     return let(F.regexp_extract(piece, pattern, 0), replace)
 
@@ -91,7 +104,8 @@ def markup_text(html: Column) -> Column:
 
 
 def element(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*+>(.*?)</{tag}\s*+>"
+    """The content is group 1; it is unset where the first start tag without end takes the rest of the page."""
+    return rf"(?is)<{tag}\b(?:[^>]*+>(?:(.*?)</{tag}\s*+>|.*+)|[^>]*+\z)"
 
 
 def extract_title(visible: Column) -> Column:
@@ -105,8 +119,8 @@ def extract_breadcrumbs(visible: Column) -> Column:
     """Link texts of the breadcrumb nav, else item texts of the breadcrumb list."""
     nav_open = r"(?is)<nav\b[^<>]*?\saria-label\s*=\s*(?:\"[^\">]*breadcrumb|'[^'>]*breadcrumb|[^\s\"'>]*breadcrumb)[^>]*+>"
     list_open = r"(?is)<ul\b[^<>]*?\sclass\s*=\s*(?:\"[^\">]*breadcrumb|'[^'>]*breadcrumb|[^\s\"'>]*breadcrumb)[^>]*+>"
-    nav = F.regexp_extract(visible, nav_open + r"(.*?)</nav\s*+>", 1)
-    items = F.regexp_extract(visible, list_open + r"(.*?)</ul\s*+>", 1)
+    nav = F.regexp_extract(visible, nav_open + r"(?:(.*?)</nav\s*+>|.*+)", 1)
+    items = F.regexp_extract(visible, list_open + r"(?:(.*?)</ul\s*+>|.*+)", 1)
     # The lookahead consumes nothing, so a span inside a link is seen as well.
     in_nav = F.regexp_extract_all(nav, F.lit(r"(?is)(?=<(a|span)\b[^>]*+>(.*?)</\1\s*+>)"), F.lit(2))
     in_list = F.regexp_extract_all(items, F.lit(element("li")), F.lit(1))
@@ -116,7 +130,7 @@ def extract_breadcrumbs(visible: Column) -> Column:
 
 def extract_links(visible: Column, base: Column, strip_default_ports: bool = True) -> Column:
     """Distinct canonical link targets of a page, files excluded."""
-    tags = F.regexp_extract_all(visible, F.lit(rf"(?i)<a\s{_IN_TAG}>"), F.lit(0))
+    tags = F.regexp_extract_all(visible, F.lit(rf"(?i)<a\s{_IN_TAG}(?:>|\z)"), F.lit(0))
     raw = F.transform(
         tags,
         lambda t: F.regexp_extract(t, r"""(?is)["'\s]href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1),
@@ -133,10 +147,10 @@ def extract_links(visible: Column, base: Column, strip_default_ports: bool = Tru
 
 
 def drop_elements(html: Column, tags: tuple[str, ...]) -> Column:
-    """Without the elements named; right for markup that ``needs_tree`` passes."""
+    """Without the elements named; right for markup that ``needs_tree`` passes. One without end stays, with all after it."""
     out = F.regexp_replace(html, COMMENT, " ")
     for tag in tags:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*+>.*?</{tag}\s*+>", " ")
+        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*+>.*?</{tag}\s*+>|(<{tag}\b.*+)", " $1")
     return out
 
 

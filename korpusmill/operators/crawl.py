@@ -7,7 +7,7 @@ executor costs one task, not the crawl.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from korpusmill.functions.url import canonical_url, looks_like_file, scope_path, url_host, url_path, within_scope
@@ -16,6 +16,8 @@ from korpusmill.profiles import SiteProfile
 from korpusmill.session import shared_folder, store
 
 VISITED = "root_url string, url string, level int"
+#: So many levels become one table, so a deep crawl does not open all its levels at each one.
+PACK = 16
 
 
 def crawl_roots(seeds: DataFrame, profile: SiteProfile, strict_parity: bool = False) -> DataFrame:
@@ -69,24 +71,34 @@ def discover(
         has_page = pages.where(F.col("html").isNotNull())
         fetched = has_page.select(canonical_url(F.col("url"), profile.strip_default_ports).alias("url")).distinct()
 
-    levels: list[str] = []
+    levels: list[str] = []  # those not yet packed
+    number, packed = 0, None
     fresh = roots.where(~looks_like_file(F.col("root_url"))).select("root_url", F.col("root_url").alias("url"))
     while True:
-        visited = spark.read.schema(VISITED).parquet(*levels) if levels else None
+        visited = _visited(spark, packed, levels)
         if fetched is not None:
             fresh = fresh.join(fetched, "url", "left_semi")
         if max_pages is not None:
             fresh = _within_limit(fresh, visited, max_pages)
-        path = f"{home}/level-{len(levels):05d}"
-        level = store(fresh.select("root_url", "url", F.lit(len(levels)).alias("level")), path)
+        path = f"{home}/level-{number:05d}"
+        level = store(fresh.select("root_url", "url", F.lit(number).alias("level")), path)
         if level.isEmpty():
             break
         levels.append(path)
-        visited = spark.read.schema(VISITED).parquet(*levels)
-        fresh = _next_level(level, links, roots, visited)
-    if not levels:
+        number += 1
+        if len(levels) == PACK:
+            together = f"{home}/packed-{number:05d}"
+            store(_visited(spark, packed, levels).repartition(F.col("root_url"), F.col("url")), together)
+            packed, levels = together, []
+        fresh = _next_level(level, links, roots, _visited(spark, packed, levels))
+    if not number:
         return level
-    return spark.read.schema(VISITED).parquet(*levels)
+    return _visited(spark, packed, levels)
+
+
+def _visited(spark: SparkSession, packed: str | None, levels: list[str]) -> DataFrame | None:
+    paths = [*([packed] if packed else []), *levels]
+    return spark.read.schema(VISITED).parquet(*paths) if paths else None
 
 
 def _next_level(level: DataFrame, links: DataFrame, roots: DataFrame, visited: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,25 +53,63 @@ def side_file(stem: Column, lang: Column, key: Column | None = None, name: Colum
     return F.concat(F.concat_ws("__", *parts), F.lit(".json"))
 
 
-def unique_names(sections: DataFrame, base: Column, order: str, out: str = "file_name") -> DataFrame:
+def _suffixed(base: str, k: int) -> str:
+    suffix = f"__{k}"
+    return base[: MAX_NAME - len(suffix)] + suffix
+
+
+def _first_free_names(family: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one family in order: each takes the first free name, as the ones before it left them."""
+    used, following, names = set(), {}, []
+    family = family.sort_values("_order", kind="stable")
+    for base in family["_base"]:
+        name, k = base, following.get(base.lower(), 2)
+        while name.lower() in used:
+            name, k = _suffixed(base, k), k + 1
+        used.add(name.lower())
+        following[base.lower()] = k
+        names.append(name)
+    return family.assign(_base=names)
+
+
+def unique_names(
+    sections: DataFrame, base: Column, order: str, out: str = "file_name", keys: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
     """Names that differ within a document even when case is ignored.
 
-    The second of a name gets ``__2`` and so on; the base is cut so that the
-    suffix always fits. A second round settles names that only clash once
-    suffixed.
+    In the order given, each row takes the first free one of its base,
+    ``base__2``, ``base__3`` and so on; the base is cut so that the suffix
+    always fits. ``order`` is unique within the keys.
+
+    Only names of one family can clash: those equal but for case and numeric
+    suffixes, compared by their first characters, which a cut leaves alone. A
+    family with one spelling is numbered in blocks, however large. A family
+    with several goes to one task, with its names alone.
     """
-    named = sections.withColumn(out, base)
-    for _ in range(2):
-        named = named.withColumn("_low", F.lower(out))
-        named = row_number_in_blocks(
-            named, ["doc_id", "_low"], F.floor(F.col(order) / BLOCK).cast("bigint"), [F.col(order)], "_nth"
-        )
-        suffix = F.concat(F.lit("__"), F.col("_nth").cast("string"))
-        cut = F.substring(F.col(out), F.lit(1), F.lit(MAX_NAME) - F.length(suffix))
-        named = named.withColumn(
-            out, F.when(F.col("_nth") == 1, F.col(out)).otherwise(F.concat(cut, suffix))
-        ).drop("_low", "_nth")
-    return named
+    named = sections.withColumn(out, base).withColumn("_low", F.lower(out))
+    bare = F.regexp_replace("_low", r"(?:__[0-9]+)+$", "")
+    named = named.withColumn("_family", F.substring(bare, 1, MAX_NAME - 20))
+    family = [*keys, "_family"]
+    mixed = named.groupBy(*family).agg((F.min("_low") != F.max("_low")).alias("_mixed")).where("_mixed")
+    simple = named.join(mixed, family, "left_anti")
+    simple = row_number_in_blocks(simple, [*keys, "_low"], F.floor(F.col(order) / BLOCK).cast("bigint"), [F.col(order)], "_nth")
+    suffix = F.concat(F.lit("__"), F.col("_nth").cast("string"))
+    cut = F.substring(F.col(out), F.lit(1), F.lit(MAX_NAME) - F.length(suffix))
+    simple = simple.withColumn(out, F.when(F.col("_nth") == 1, F.col(out)).otherwise(F.concat(cut, suffix))).drop("_nth")
+
+    clashing = named.join(mixed.drop("_mixed"), family)
+    narrow = clashing.select(*family, F.col(order).alias("_order"), F.col(out).alias("_base"))
+    settled = narrow.groupBy(*family).applyInPandas(_first_free_names, narrow.schema)
+    settled = settled.select(*family, F.col("_order").alias(order), F.col("_base").alias("_settled"))
+    clashing = clashing.join(settled, [*family, order]).withColumn(out, F.col("_settled")).drop("_settled")
+    return simple.unionByName(clashing).drop("_low", "_family")
+
+
+def unique_stems(sources: DataFrame) -> DataFrame:
+    """Sources of one run whose stems differ: equal ones get suffixes, in the order of a number or a hash of doc_id."""
+    place = F.xxhash64("doc_id") if dict(sources.dtypes)["doc_id"] == "string" else F.col("doc_id")
+    named = unique_names(sources.withColumn("_place", place), F.col("stem"), "_place", "stem", ())
+    return named.select(*sources.columns)
 
 
 def keep_last(files: DataFrame, order: str, keys: tuple[str, ...] = ("folder", "file_name")) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from korpusmill.functions.text import ascii_digits
 from korpusmill.operators.dedupe import first_page, section_order
 from korpusmill.operators.ordering import row_number_in_blocks
+from korpusmill.session import shared_folder, store
 
 PAGE_BLOCK = 64
 
@@ -46,8 +47,9 @@ def pair_sections(sections: DataFrame) -> DataFrame:
     """(doc_id, pair_id, left, right) from both sides' deduplicated sections.
 
     By section key where a document has any, dropping sections without one;
-    by position where it has none.
+    by position where it has none. The sections are stored once for both.
     """
+    sections = store(sections, shared_folder(sections.sparkSession, "unpaired"))
     keyed_docs = sections.where("section_key is not null").select("doc_id").distinct()
     order = F.struct(*section_order()[:3], F.length("content") * -1, F.col("position"))
     by_key = _sides(

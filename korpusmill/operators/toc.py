@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from korpusmill.functions.headers import toc_section_key
 from korpusmill.functions.text import DIGIT, WS, ascii_digits, normalize_space, strip_space
 from korpusmill.operators.ordering import BLOCK, concat_lines, running_count
+from korpusmill.session import shared_folder, store
 
 # Headings of a table of contents, and the longest page number.
 TOC_HEADING = r"(?iu)^(?:содержание|оглавление|мазмуну)(?![\p{L}\p{N}_])"
@@ -113,10 +114,11 @@ def sections_from_toc(lines: DataFrame, intervals: DataFrame, block: int = BLOCK
 
     ``lines`` hold only the pages the intervals were cut for.
     """
-    pages = lines.select("doc_id", "page").distinct()
+    seen = store(lines.select("doc_id", "side", "page").distinct(), shared_folder(lines.sparkSession, "seen-pages"))
+    pages = seen.select("doc_id", "page").distinct()
     placed = lines.join(assign_pages(pages, intervals), ["doc_id", "page"])
     bodies = concat_lines(placed, ["doc_id", "side", "start_page"], block=block)
-    sides = lines.select("doc_id", "side").distinct()
+    sides = seen.select("doc_id", "side").distinct()
     return (
         intervals.join(sides, "doc_id")
         .join(bodies, ["doc_id", "side", "start_page"], "left")

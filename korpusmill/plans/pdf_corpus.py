@@ -35,18 +35,19 @@ def bilingual_files(
 ) -> DataFrame:
     """Two-column documents split at header lines.
 
-    ``sources`` names each document: doc_id, source_name, stem. With ``take``
-    "both" and ``split``, sections of the two sides that belong together share
-    the pair id in their names.
+    ``sources`` names each document: doc_id, source_name, stem; equal stems get
+    a suffix. With ``take`` "both" and ``split``, sections of the two sides
+    that belong together share the pair id in their names. A side without
+    lines counts as one empty section.
     """
     if take in SIDES:
         lines = lines.where(F.col("side") == take)
     sections = split_sections(lines) if split else whole_document(lines)
-    unique = dedupe_sections(sections)
+    sources = naming.unique_stems(sources)
+    unique = _with_missing_sides(dedupe_sections(sections), sources, take)
     lang, stem = _languages(left_lang, right_lang), F.col("stem")
     if not split:
-        named = _with_missing_sides(unique, sources, take).join(sources, "doc_id")
-        return _files(named, lang, naming.side_file(stem, lang))
+        return _files(unique.join(sources, "doc_id"), lang, naming.side_file(stem, lang))
     if take in SIDES:
         key = naming.name_part(F.col("section_key"), F.col("name"))
         return naming.keep_last(
@@ -74,9 +75,15 @@ def _with_missing_sides(unique: DataFrame, sources: DataFrame, take: str) -> Dat
         "section_key",
         F.coalesce("page_numbers", F.array().cast("array<int>")).alias("page_numbers"),
         F.coalesce("content", F.lit("")).alias("content"),
+        *([F.coalesce("position", F.lit(0)).cast("bigint").alias("position")] if "position" in unique.columns else []),
     )
 
 
+def without_entries(toc_lines: DataFrame, page_counts: DataFrame, sources: DataFrame) -> DataFrame:
+    """The sources whose contents give no entry; ``toc_files`` writes nothing for them."""
+    return sources.join(toc_entries(toc_lines, page_counts).select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def toc_sections(lines: DataFrame, toc_lines: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Deduplicated sections of documents that state their own contents."""
     intervals = toc_intervals(toc_entries(toc_lines, page_counts), page_counts)
@@ -85,14 +92,23 @@ def toc_sections(lines: DataFrame, toc_lines: DataFrame, page_counts: DataFrame)
 
 def toc_files(
     lines: DataFrame, toc_lines: DataFrame, page_counts: DataFrame, sources: DataFrame,
-    bilingual: bool = False, left_lang: str = "ky", right_lang: str = "ru",
+    bilingual: bool = False, left_lang: str = "ky", right_lang: str = "ru", take: str = "both", strict: bool = False,
 ) -> DataFrame:
     """Files of documents split by their table of contents.
 
     Single-column documents go whole into the folder of their commonest
     language. Two-column ones go by side, where a later file replaces an
-    earlier one of the same name.
+    earlier one of the same name; ``take`` may name one side. Documents whose
+    contents give no entry have no files: ``without_entries`` lists them, and
+    ``strict`` makes them an error.
     """
+    if strict:
+        lost = without_entries(toc_lines, page_counts, sources).select("doc_id").head(1)
+        if lost:
+            raise ValueError(f"no contents entries in document {lost[0]['doc_id']}")
+    if take in SIDES:
+        lines = lines.where(F.col("side") == take)
+    sources = naming.unique_stems(sources)
     sections = toc_sections(lines, toc_lines, page_counts)
     key = naming.name_part(F.col("section_key"), F.col("name"))
     if bilingual:
@@ -111,5 +127,5 @@ def toc_files(
 
 def full_files(lines: DataFrame, sources: DataFrame) -> DataFrame:
     """One file per single-column document, in the folder of its language; no contents needed."""
-    named = whole_document(lines, BLOCK).join(sources, "doc_id")
+    named = whole_document(lines, BLOCK).join(naming.unique_stems(sources), "doc_id")
     return _files(named, None, F.concat(sanitize_filename(F.col("stem")), F.lit(".json")))

@@ -9,22 +9,30 @@ from korpusmill.functions.url import canonical_url
 from korpusmill.operators import webdocs
 from korpusmill.operators.crawl import discover
 from korpusmill.profiles import SiteProfile
+from korpusmill.session import shared_folder, store
 
 
 def collect_site(
-    pages: DataFrame, root_url: str, profile: SiteProfile, lang: str | None = None, strict_parity: bool = False
+    pages: DataFrame, root_url: str, profile: SiteProfile, lang: str | None = None, strict_parity: bool = False,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Documents of everything in the root's scope, from fetched pages.
 
-    Each page is read once; links and text come from the same row. Documents
-    keep crawl order in ``ordinal`` (level, then URL).
+    The crawl reads the pages' links alone. Its URLs pick the pages by key;
+    only these are read again, for their texts. Documents keep crawl order in
+    ``ordinal`` (level, then URL). The crawl ends by itself; ``max_pages``
+    ends it earlier.
     """
     spark = pages.sparkSession
     ports = profile.strip_default_ports
     seeds = spark.range(1).select(F.lit(root_url).alias("root_url"))
-    found = discover(pages, seeds, profile, profile.max_pages, strict_parity)
-    keyed = pages.withColumn("_asked", canonical_url(F.col("url"), ports))
-    wanted = keyed.join(found.select(F.col("url").alias("_asked"), "level"), "_asked")
+    found = discover(pages, seeds, profile, max_pages, strict_parity)
+    # Keys first: page_id and canonical URL of the pages found, then their rows.
+    asked = canonical_url(F.col("url"), ports).alias("_asked")
+    keys = pages.select(F.col("page_id").alias("_id"), asked).join(found.select(F.col("url").alias("_asked"), "level"), "_asked")
+    keys = store(keys.distinct(), shared_folder(spark, "site-keys"))
+    keyed = pages.withColumn("_asked", asked)
+    wanted = keyed.join(keys, (F.col("page_id") == F.col("_id")) & (keyed["_asked"] == keys["_asked"])).drop("_id", keys["_asked"])
     wanted = wanted.withColumn("_ordinal", F.struct("level", "_asked", "page_id"))
     records = webdocs.page_records(wanted, profile, "_ordinal")
     unique = webdocs.dedupe_by_url(records, profile.duplicate_keep)

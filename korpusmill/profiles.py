@@ -21,7 +21,6 @@ _LAYOUT_TAGS = ("header", "footer", "nav", "aside")
 @dataclass(frozen=True)
 class SiteProfile:
     name: str
-    accept_language: str
     strip_default_ports: bool
     scope_langs: tuple[str, ...]
     drop_tags: tuple[str, ...]
@@ -35,14 +34,10 @@ class SiteProfile:
     cap_counts_fetched: bool
     scope_alias: str = "chastnym-klientam"
     min_links: int = 8
-    max_pages: int = 2000
-    delay_sec: float = 0.4
-    timeout_sec: float = 30.0
 
 
 EN = SiteProfile(
     name="en",
-    accept_language="en-US,en;q=0.9,ru;q=0.6,ky;q=0.5",
     strip_default_ports=False,
     scope_langs=("ru", "kg", "en"),
     drop_tags=_ALWAYS_DROPPED,
@@ -58,7 +53,6 @@ EN = SiteProfile(
 
 RU = SiteProfile(
     name="ru",
-    accept_language="ru-RU,ru;q=0.9,en;q=0.8",
     strip_default_ports=True,
     scope_langs=("ru", "en"),
     drop_tags=_ALWAYS_DROPPED + _LAYOUT_TAGS,
@@ -74,7 +68,6 @@ RU = SiteProfile(
 
 KG = SiteProfile(
     name="kg",
-    accept_language="ky-KG,ky;q=0.9,ru-RU;q=0.7,ru;q=0.6,en;q=0.4",
     strip_default_ports=True,
     scope_langs=("ru", "kg", "en"),
     drop_tags=RU.drop_tags,

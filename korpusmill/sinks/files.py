@@ -9,8 +9,9 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 
 @dataclass
@@ -24,33 +25,45 @@ def _filesystem(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-class _Writer(DataSourceWriter):
-    """Each file is written under a spare name and then moved, so a repeated task does no harm."""
+class _Writer(DataSourceArrowWriter):
+    """Each file is written under a spare name and then moved, so a repeated task does no harm.
+
+    Spare files lie in one folder of the run, which goes when the run ends, well or not.
+    """
 
     def __init__(self, path: str):
-        self.path = path
+        self.path, self.spare = path, f".spare-{uuid.uuid4().hex}"
 
-    def write(self, rows):
+    def write(self, batches):
         filesystem, base = _filesystem(self.path)
+        filesystem.create_dir(f"{base}/{self.spare}", recursive=True)
         made, files = set(), 0
-        for row in rows:
-            folder = f"{base}/{row['folder']}"
-            if folder not in made:
-                filesystem.create_dir(folder, recursive=True)
-                made.add(folder)
-            body = json.dumps(row["record"].asDict(recursive=True), ensure_ascii=False, indent=2)
-            spare = f"{folder}/.{uuid.uuid4().hex}"
-            with filesystem.open_output_stream(spare) as out:
-                out.write(body.encode("utf-8"))
-            filesystem.move(spare, f"{folder}/{row['file_name']}")
-            files += 1
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{base}/{row['folder']}"
+                if folder not in made:
+                    filesystem.create_dir(folder, recursive=True)
+                    made.add(folder)
+                body = json.dumps(row["record"], ensure_ascii=False, indent=2)
+                spare = f"{base}/{self.spare}/{uuid.uuid4().hex}"
+                with filesystem.open_output_stream(spare) as out:
+                    out.write(body.encode("utf-8"))
+                filesystem.move(spare, f"{folder}/{row['file_name']}")
+                files += 1
         return _Written(files)
 
+    def _end(self):
+        from pyarrow import fs
+
+        filesystem, base = _filesystem(self.path)
+        if filesystem.get_file_info(f"{base}/{self.spare}").type != fs.FileType.NotFound:
+            filesystem.delete_dir(f"{base}/{self.spare}")
+
     def commit(self, messages):
-        pass
+        self._end()
 
     def abort(self, messages):
-        pass
+        self._end()
 
 
 class SectionFiles(DataSource):
@@ -67,14 +80,28 @@ class SectionFiles(DataSource):
 def write_section_files(files: DataFrame, path: str) -> None:
     """Write folder/file_name with the record as JSON, indented by two, in UTF-8.
 
-    Two records of one path must have been settled before (``keep_last``). The
-    path is any place all executors reach: a mounted folder or a store's URL.
+    Two records of one path are an error, found before anything is written
+    (``keep_last`` settles them). The path is any place all executors reach: a
+    mounted folder or a store's URL.
     """
     files.sparkSession.dataSource.register(SectionFiles)
     rows = files.select("folder", "file_name", "record")
+    twice = rows.groupBy("folder", "file_name").agg(F.count("*").alias("n")).where("n > 1").head(1)
+    if twice:
+        raise ValueError(f"{twice[0]['n']} records for {twice[0]['folder']}/{twice[0]['file_name']}")
     rows.write.format("section_files").mode("append").save(path)
 
 
+def read_section_files(spark: SparkSession, path: str) -> DataFrame:
+    """folder, file_name and record of the files that ``write_section_files`` wrote."""
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    place = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    metadata = "section_name string, page_numbers array<int>, language string, rag_header string"
+    record = F.from_json("value", f"source_name string, content string, metadata struct<{metadata}>")
+    folder, name = F.url_decode(F.element_at(F.split(place, "/"), -2)), F.url_decode(F.element_at(F.split(place, "/"), -1))
+    return texts.select(folder.alias("folder"), name.alias("file_name"), record.alias("record"))
+
+
 def write_jsonl(docs: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """JSON lines with nulls written out; one subfolder per value of ``partition_by``."""
     writer = docs.write.mode("errorifexists").option("ignoreNullFields", "false")

@@ -1,7 +1,7 @@
-"""PDF files to positioned text spans or recognized lines.
+"""PDF files to positioned text spans or recognized lines, by a reader the caller gives.
 
-The reader is a plain function, so a task handles one file at a time, and the
-library it needs is imported on the executors only.
+The reader is a plain function, so a task handles one file at a time, and
+whatever library it needs is imported on the executors only.
 """
 
 from __future__ import annotations
@@ -32,48 +32,6 @@ _DDL = (
 )
 
 
-def fitz_spans(content: bytes, page_from: int = 1, page_to: int | None = None) -> Iterator[dict]:
-    """Spans of a PDF with a text layer; needs PyMuPDF."""
-    import fitz
-
-    with fitz.open(stream=content, filetype="pdf") as pdf:
-        for number in range(page_from, min(page_to or pdf.page_count, pdf.page_count) + 1):
-            page = pdf.load_page(number - 1)
-            for b, block in enumerate(page.get_text("dict").get("blocks", [])):
-                for n, line in enumerate(block.get("lines", [])):
-                    for s, span in enumerate(line.get("spans", [])):
-                        yield {
-                            "page": number, "page_count": pdf.page_count, "block_type": block.get("type", 0),
-                            "block_no": b, "line_in_block": n, "span_no": s, "text": span.get("text", ""),
-                            "size": float(span.get("size", 0.0)), "flags": int(span.get("flags", 0)),
-                            "font": str(span.get("font", "")), "x0": span["bbox"][0], "x1": span["bbox"][2],
-                            "line_x0": line["bbox"][0], "line_y0": line["bbox"][1],
-                            "page_x0": page.rect.x0, "page_x1": page.rect.x1,
-                        }
-
-
-def ocr_spans(content: bytes, page_from: int = 1, page_to: int | None = None) -> Iterator[dict]:
-    """Recognized lines of a scanned PDF; needs PyMuPDF, Pillow and pytesseract with kir, rus and eng."""
-    import io
-
-    import fitz
-    import pytesseract
-    from PIL import Image
-
-    with fitz.open(stream=content, filetype="pdf") as pdf:
-        for number in range(page_from, min(page_to or pdf.page_count, pdf.page_count) + 1):
-            page = pdf.load_page(number - 1)
-            image = Image.open(io.BytesIO(page.get_pixmap(dpi=300).tobytes("png")))
-            text = pytesseract.image_to_string(image, lang="kir+rus+eng")
-            for n, line in enumerate(text.splitlines()):
-                yield {
-                    "page": number, "page_count": pdf.page_count, "block_type": 0, "block_no": 0, "line_in_block": n,
-                    "span_no": 0, "text": line, "size": 0.0, "flags": 0, "font": "", "x0": page.rect.x0,
-                    "x1": page.rect.x1, "line_x0": page.rect.x0, "line_y0": float(n),
-                    "page_x0": page.rect.x0, "page_x1": page.rect.x1,
-                }
-
-
 def pdf_files(spark: SparkSession, path: str) -> DataFrame:
     """path and content of PDF files; a path that is not a PDF is an error."""
     files = spark.read.format("binaryFile").load(path)
@@ -81,7 +39,7 @@ def pdf_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_spans(
-    files: DataFrame, reader: SpanReader = fitz_spans, page_from: int = 1, page_to: int | None = None,
+    files: DataFrame, reader: SpanReader, page_from: int = 1, page_to: int | None = None,
     rows_per_batch: int = 10_000,
 ) -> DataFrame:
     """Spans of all files, read in small batches; only the pages asked for are opened."""

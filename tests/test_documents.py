@@ -215,6 +215,67 @@ def test_names_are_unique_and_fit(spark):
     assert len({n.lower() for n in got}) == len(got) and max(map(len, got)) == 160
 
 
+def first_free(bases):
+    """The plain loop: each row takes the first free name."""
+    used, names = set(), []
+    for base in bases:
+        name, k = base, 2
+        while name.lower() in used:
+            suffix = f"__{k}"
+            name, k = base[: 160 - len(suffix)] + suffix, k + 1
+        used.add(name.lower())
+        names.append(name)
+    return names
+
+
+def test_names_that_clash_once_suffixed_match_the_plain_loop(spark):
+    rng = random.Random(9)
+    long = "y" * 156
+    parts = ["intro", "Intro__2", "intro__2__2", "intro__3", "INTRO__2__2", "other", "other__02", long, long + "__2", long[:-2] + "__10", long + "zzzz", "__2"]
+    cases = [["intro", "intro", "intro__2", "intro__2"], ["intro__2", "intro", "intro", "intro"], [long + "abcd"] * 12 + [long + "abce"] * 12]
+    cases += [[rng.choice(parts) for _ in range(rng.randint(1, 40))] for _ in range(30)]
+    rows = [(d, i, n) for d, names in enumerate(cases) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id bigint, position bigint, n string").repartition(3)
+    got = {}
+    for r in naming.unique_names(df, F.col("n"), "position").orderBy("doc_id", "position").collect():
+        got.setdefault(r.doc_id, []).append(r.file_name)
+    assert [got[d] for d in range(len(cases))] == [first_free(names) for names in cases]
+
+
+def test_equal_stems_of_one_run_get_different_files(spark):
+    rows = [(d, "left", 0, 1, f"text {d}", False, 1.0) for d in (1, 2, 3)]
+    names = spark.createDataFrame([(1, "a.pdf", "a"), (2, "b/A.pdf", "A"), (3, "a__2.pdf", "a__2")], "doc_id bigint, source_name string, stem string")
+    for got in (pdf_corpus.full_files(lines_of(spark, rows), names), pdf_corpus.bilingual_files(lines_of(spark, rows), names)):
+        paths = [(r.folder, r.file_name.lower()) for r in got.collect()]
+        assert len(set(paths)) == len(paths) >= 3
+
+
+def test_a_side_without_lines_gives_an_empty_section(spark):
+    rows = [(1, "left", i, 1, t, False, 10.0) for i, t in enumerate(["plain text", "more"])]
+    got = pdf_corpus.bilingual_files(lines_of(spark, rows), sources(spark)).collect()
+    assert {(r.side, r.file_name, r.record.content, tuple(r.record.metadata.page_numbers)) for r in got} == {
+        ("left", "Закон 1__1__ky__Full Document.json", "plain text\nmore", (1,)), ("right", "Закон 1__1__ru__Full Document.json", "", ()),
+    }
+    one = pdf_corpus.bilingual_files(lines_of(spark, rows), sources(spark), take="right").collect()
+    assert [(r.side, r.record.content) for r in one] == [("right", "")]
+    keyed = [(1, "left", i, 1, t, False, 10.0) for i, t in enumerate(["1. Жалпы жоболор", "тексттер"])]
+    assert [r.side for r in pdf_corpus.bilingual_files(lines_of(spark, keyed), sources(spark)).collect()] == ["left"]
+
+
+def test_documents_without_entries_are_reported(spark):
+    rows = [(d, "left", i, p, f"line {p}", False, 10.0) for d in (1, 2) for i, p in enumerate((1, 2))]
+    two = spark.createDataFrame([(1, "a.pdf", "a"), (2, "b.pdf", "b")], "doc_id bigint, source_name string, stem string")
+    toc = spark.createDataFrame([(1, 1, 0, "Title one .... 1"), (2, 1, 0, "no page here")], "doc_id bigint, toc_page int, line_no bigint, text string")
+    counts = spark.createDataFrame([(1, 2), (2, 2)], "doc_id bigint, page_count int")
+    assert [r.doc_id for r in pdf_corpus.without_entries(toc, counts, two).collect()] == [2]
+    assert {r.doc_id for r in pdf_corpus.toc_files(lines_of(spark, rows), toc, counts, two).collect()} == {1}
+    with pytest.raises(ValueError, match="document 2"):
+        pdf_corpus.toc_files(lines_of(spark, rows), toc, counts, two, strict=True)
+    both = rows + [(1, "right", 9, 1, "right line", False, 10.0)]
+    taken = pdf_corpus.toc_files(lines_of(spark, both), toc, counts, two, bilingual=True, take="right").collect()
+    assert [(r.side, r.record.content) for r in taken] == [("right", "right line")]
+
+
 def test_majority_language_tie_goes_by_name(spark):
     rows = [(1, "left", i, "n", None, [1], t) for i, t in enumerate(["hello", "привет"])]
     assert tuple(naming.majority_language(spark.createDataFrame(rows, SECTION)).first()) == (1, "en", "english")

@@ -12,8 +12,8 @@ from korpusmill.operators.crawl import discover
 from korpusmill.plans.web_corpus import collect_site
 from korpusmill.profiles import EN, KG, RU
 from korpusmill.session import shared_folder
-from korpusmill.sinks.files import write_jsonl, write_section_files
-from korpusmill.sources import browser, http, pdf
+from korpusmill.sinks.files import read_section_files, write_jsonl, write_section_files
+from korpusmill.sources import pdf
 from korpusmill.streaming.web_stream import read_pages, save_stream, stream_documents
 
 SF = "/root/testdata/sf0.001"
@@ -26,110 +26,63 @@ def site(spark, graph):
 
 
 GRAPH = {
-    "https://h.kg/kg/": ["a", "/kg/b/", "/ru/out", "https://o.kg/kg/x", "doc.pdf"],
-    "https://h.kg/kg/a": ["/kg", "b", "deep/1"],
-    "https://h.kg/kg/deep/1": ["2", "missing"],
-    "https://h.kg/kg/deep/2": ["1", "../a"],
+    "https://h.example.org/kg/": ["a", "/kg/b/", "/ru/out", "https://o.example.org/kg/x", "doc.pdf"],
+    "https://h.example.org/kg/a": ["/kg", "b", "deep/1"],
+    "https://h.example.org/kg/deep/1": ["2", "missing"],
+    "https://h.example.org/kg/deep/2": ["1", "../a"],
 }
 
 
 def found(spark, graph, root, profile, **more):
     seeds = spark.createDataFrame([(root,)], "root_url string")
-    return sorted((r.level, r.url.removeprefix("https://h.kg")) for r in discover(site(spark, graph), seeds, profile, **more).collect())
+    return sorted((r.level, r.url.removeprefix("https://h.example.org")) for r in discover(site(spark, graph), seeds, profile, **more).collect())
 
 
 def test_crawl_follows_links_in_scope(spark):
-    got = found(spark, GRAPH, "https://H.kg/kg/", KG)
+    got = found(spark, GRAPH, "https://H.example.org/kg/", KG)
     assert got == [(0, "/kg"), (1, "/kg/a"), (1, "/kg/b"), (2, "/kg/deep/1"), (3, "/kg/deep/2"), (3, "/kg/deep/missing")]
 
 
 def test_crawl_counting_fetched_pages_leaves_out_missing_ones(spark):
-    got = found(spark, GRAPH, "https://h.kg/kg/", EN)
+    got = found(spark, GRAPH, "https://h.example.org/kg/", EN)
     assert got == [(0, "/kg"), (1, "/kg/a"), (2, "/kg/deep/1"), (3, "/kg/deep/2")]
-    assert found(spark, GRAPH, "https://h.kg/kg/", EN, max_pages=3) == got[:3]
-    assert found(spark, GRAPH, "https://h.kg/kg/", KG, max_pages=2) == [(0, "/kg"), (1, "/kg/a")]
+    assert found(spark, GRAPH, "https://h.example.org/kg/", EN, max_pages=3) == got[:3]
+    assert found(spark, GRAPH, "https://h.example.org/kg/", KG, max_pages=2) == [(0, "/kg"), (1, "/kg/a")]
+
+
+def test_a_deep_crawl_packs_its_levels(spark, monkeypatch):
+    monkeypatch.setattr("korpusmill.operators.crawl.PACK", 3)
+    chain = {f"https://h.example.org/kg/{i}": [f"/kg/{i + 1}", f"/kg/{i // 2}", "/kg/hub"] for i in range(8)}
+    got = found(spark, chain, "https://h.example.org/kg/0", RU, strict_parity=True)
+    assert got == [] or len({u for _, u in got}) == len(got)
+    wide = found(spark, {"https://h.example.org/kg/": ["0"], **chain}, "https://h.example.org/kg/", RU)
+    assert [u for _, u in wide if u.rsplit("/", 1)[1].isdigit()] == [f"/kg/{i}" for i in range(9)]
+    assert [level for level, u in wide if u.endswith("hub")] == [2]
 
 
 def test_crawl_of_an_unknown_root(spark):
-    assert found(spark, GRAPH, "https://h.kg/nowhere", RU) == [(0, "/nowhere")]
-    assert found(spark, GRAPH, "https://h.kg/nowhere", EN) == []
-    assert found(spark, GRAPH, "https://h.kg/file.pdf", RU) == []
+    assert found(spark, GRAPH, "https://h.example.org/nowhere", RU) == [(0, "/nowhere")]
+    assert found(spark, GRAPH, "https://h.example.org/nowhere", EN) == []
+    assert found(spark, GRAPH, "https://h.example.org/file.pdf", RU) == []
 
 
 def test_crawl_does_not_depend_on_partitioning(spark):
-    pages, seeds = site(spark, GRAPH), spark.createDataFrame([("https://h.kg/kg",)], "root_url string")
+    pages, seeds = site(spark, GRAPH), spark.createDataFrame([("https://h.example.org/kg",)], "root_url string")
     results = {tuple(sorted(map(tuple, discover(pages.repartition(n), seeds, KG).collect()))) for n in (1, 7)}
     assert len(results) == 1
 
 
 def test_aliased_root_covers_its_children(spark):
-    graph = {"https://h.kg/kg/chastnym-klientam/": ["/kg/x", "/kg/chastnym-klientam/y"]}
-    assert len(found(spark, graph, "https://h.kg/kg/chastnym-klientam/", KG)) == 3
-    assert len(found(spark, graph, "https://h.kg/kg/chastnym-klientam/", KG, strict_parity=True)) == 1
+    graph = {"https://h.example.org/kg/chastnym-klientam/": ["/kg/x", "/kg/chastnym-klientam/y"]}
+    assert len(found(spark, graph, "https://h.example.org/kg/chastnym-klientam/", KG)) == 3
+    assert len(found(spark, graph, "https://h.example.org/kg/chastnym-klientam/", KG, strict_parity=True)) == 1
 
 
 def test_collect_site(spark):
-    docs = collect_site(site(spark, GRAPH), "https://h.kg/kg/", EN, "en").orderBy("ordinal").collect()
-    assert [d.source_url for d in docs] == ["https://h.kg/kg", "https://h.kg/kg/a", "https://h.kg/kg/deep/1", "https://h.kg/kg/deep/2"]
+    docs = collect_site(site(spark, GRAPH), "https://h.example.org/kg/", EN, "en").orderBy("ordinal").collect()
+    assert [d.source_url for d in docs] == ["https://h.example.org/kg", "https://h.example.org/kg/a", "https://h.example.org/kg/deep/1", "https://h.example.org/kg/deep/2"]
     assert {d.category for d in docs} == {"kg"} and docs[2].subcategory_path == ["deep", "1"]
-    assert {d.root_category_url for d in docs} == {"https://h.kg/kg"}
-
-
-def test_fetch_pages_retries_and_reports_failures(spark, tmp_path):
-    log = str(tmp_path / "log")
-
-    def fetcher(url, headers, timeout):
-        with open(log, "a") as f:
-            f.write(url + "\n")
-        if url.endswith("bad"):
-            raise OSError("no")
-        return f"<p>{headers['Accept-Language'][:2]}</p>", url + "/final"
-
-    urls = spark.createDataFrame([(1, "https://h/a")], "page_id bigint, url string")
-    got = http.fetch_pages(urls, KG, fetcher, delay_sec=0, hosts_at_once=2).collect()
-    assert [tuple(r) for r in got] == [(1, "https://h/a", "<p>ky</p>", "https://h/a/final")]
-    waits = []
-    assert http.fetch_with_retry(fetcher, "https://h/bad", {"Accept-Language": "ky"}, 1, waits.append) == (None, "https://h/bad")
-    assert waits == [1.0, 2.0, 4.0]
-    with open(log) as f:
-        assert f.read().count("bad") == 4
-
-
-def test_only_pages_in_need_are_rendered(spark):
-    rows = [(1, "https://h/long", "<p>x</p>", "т" * 150), (2, "https://h/short", "<p>x</p>", "т"), (3, "https://h/faq", '<div class="faq">', "т" * 150)]
-    pages = spark.createDataFrame(rows, PAGE + ", own string")
-    done = browser.render_pages(pages, RU, "own", renderer=lambda url, profile: (url, profile.name)).orderBy("page_id").collect()
-    assert [(r.js_text, r.js_html) for r in done] == [(None, None), ("https://h/short", "ru"), ("https://h/faq", "ru")]
-    assert browser.chromium_renderer("https://h/x", RU) == ("", "")
-
-
-class FakePage:
-    """A browser page that grows twice and has one thing to click."""
-
-    def __init__(self):
-        self.heights, self.clicks, self.calls = [1, 2, 3], [1, 0], []
-
-    def evaluate(self, script, argument=None):
-        self.calls.append(script)
-        if script is browser._HEIGHT:
-            return self.heights.pop(0) if len(self.heights) > 1 else self.heights[0]
-        if script is browser._CLICK:
-            return self.clicks.pop(0)
-        return " a \n b "
-
-    def goto(self, *a, **k):
-        pass
-
-    wait_for_timeout = wait_for_load_state = goto
-
-    def content(self):
-        return "<p>a b</p>"
-
-
-def test_reading_a_rendered_page():
-    page = FakePage()
-    assert browser.read_page(page, "https://h", "kg") == ("a b", "<p>a b</p>")
-    assert page.clicks == [] and page.calls.count(browser._STRIP) == 1
+    assert {d.root_category_url for d in docs} == {"https://h.example.org/kg"}
 
 
 def test_pdf_spans_to_lines(spark, tmp_path):
@@ -166,6 +119,13 @@ def test_section_files_and_json_lines(spark, tmp_path):
     one = json.loads(written[0].read_text(encoding="utf-8"))
     assert list(one) == ["source_name", "content", "metadata"]
     assert written[0].read_text(encoding="utf-8").startswith('{\n  "source_name": "Мыйзам')
+    assert not list((tmp_path / "out").glob(".spare*"))
+    back = read_section_files(spark, str(tmp_path / "out"))
+    order = ["folder", "file_name"]
+    assert back.orderBy(*order).collect() == plan.select("folder", "file_name", "record").orderBy(*order).collect()
+    with pytest.raises(ValueError, match="2 records for"):
+        write_section_files(plan.unionByName(plan), str(tmp_path / "twice"))
+    assert not (tmp_path / "twice").exists()
     docs = spark.createDataFrame([("ү", None, "kyrgyz")], "a string, b string, folder string")
     write_jsonl(docs, str(tmp_path / "lines"), ("folder",))
     part = next((tmp_path / "lines" / "folder=kyrgyz").glob("part-*.json"))
@@ -175,12 +135,12 @@ def test_section_files_and_json_lines(spark, tmp_path):
 def test_stream_keeps_one_document_per_url(spark, tmp_path):
     source, out, place = (str(tmp_path / n) for n in ("in", "out", "state"))
     for batch in range(2):
-        rows = [(i, f"https://h.kg/p{i % 3}/?v={batch}", f"<p>text of page number {i % 3}</p>") for i in range(6)]
+        rows = [(i, f"https://h.example.org/p{i % 3}/?v={batch}", f"<p>text of page number {i % 3}</p>") for i in range(6)]
         spark.createDataFrame(rows, PAGE).coalesce(1).write.mode("append").parquet(source)
-        docs = stream_documents(read_pages(spark, source), F.lit("https://h.kg/"), F.lit("c"), F.lit("ru"), RU)
+        docs = stream_documents(read_pages(spark, source), F.lit("https://h.example.org/"), F.lit("c"), F.lit("ru"), RU)
         save_stream(docs, out, place).awaitTermination()
     got = spark.read.json(out).collect()
-    assert sorted(r.source_url for r in got) == [f"https://h.kg/p{i}" for i in range(3)]
+    assert sorted(r.source_url for r in got) == [f"https://h.example.org/p{i}" for i in range(3)]
     assert {r.content_text for r in got} == {f"text of page number {i}" for i in range(3)}
 
 

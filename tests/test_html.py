@@ -1,6 +1,8 @@
 import html
+import time
 from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from korpusmill.functions import html as H
@@ -9,10 +11,24 @@ from korpusmill.profiles import EN, KG, RU
 
 
 def test_unescape_agrees_with_the_standard_library(apply):
-    values = ["plain", "a &amp; b", "&lt;&gt;&quot;&apos;", "&#1179;&#x4AF;", "&nbsp;|&mdash;|&copy;", "AT&T", "&amp;lt;", "&unknown;", "&", "&#150;", "&#0;", "&#xD800;", "&copy 1", "&laquo;текст&raquo;"]
+    values = ["plain", "a &amp; b", "&lt;&gt;&quot;&apos;", "&#1179;&#x4AF;", "&nbsp;|&mdash;|&copy;", "AT&T", "&amp;lt;", "&unknown;", "&", "&#150;", "&#0;", "&#xD800;", "&copy 1", "&laquo;текст&raquo;",
+        "&#0000000065;", "&#x00000000041;x", "&copyright", "&notit;", "&ampamp;", "&#99999999999;", "&#xFFFFFFFFFF", "&#1114112;", "&#129;&#x9d;",
+        "&#1;&#xB;&#127;&#xFDD0;&#65535;&#x1FFFE;|", "&#13;", "&#x;", "&#;", "&frac12x", "&fracx", "&CounterClockwiseContourIntegral;", "a&lt", "&GTx;", "&#32x"]
     assert apply(H.unescape, values) == [html.unescape(v) for v in values]
 
 
+@pytest.mark.parametrize("piece", [
+    "<a ", "<a x>", "<h1>", "<h1 ", "<title>", "<p>", "<script>", "<script ", "<style>", "<!--", "<nav>", "<footer ", "<li>", "<div class=x>", "</h1", "<head>",
+    '<nav aria-label="breadcrumb">', '<ul class="breadcrumb">', "&", "&#", "&a",
+])
+def test_time_is_linear_in_markup_without_ends(spark, piece):
+    page = spark.createDataFrame([(1, "https://h.example.org/", piece * 100_000)], "page_id bigint, url string, html string")
+    start = time.perf_counter()
+    webdocs.page_records(page, EN).collect()
+    webdocs.page_links(page, RU).collect()
+    assert time.perf_counter() - start < 30
+
+
 def test_title(apply):
     pages = [
         "<title>T</title><h1 class='a'>Main <b>one</b></h1><h1>two</h1>", "<title> A &amp; B </title><h1> </h1><h1>second</h1>",

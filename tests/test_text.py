@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import sys
 import unicodedata
@@ -85,6 +86,16 @@ def test_section_keys_backtrack_on_bare_numbers(apply):
     assert apply(headers.toc_section_key, ["1.a", "12", "7"]) == ["1", "1", None]
 
 
+def test_section_keys_have_no_depth_limit_and_match_a_plain_pattern(apply):
+    deep = ".".join(["1"] * 600)
+    rng = random.Random(1)
+    junk = ["".join(rng.choice("12. )a\n") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    values = [deep + " Title", deep, "1..2 text", "1.2..3 text", "1.2.3", "12.3", "1.23", "." + deep, "1" * 3000 + " x y", "1.2. " + "x" * 220, "1 " + "x" * 222, *junk]
+    for function, rest in ((headers.section_key, r"[^\n]{2,220}"), (headers.toc_section_key, r"[^\n]+?")):
+        plain = [re.match(rf"^(\d+(?:\.\d+)*)\s*[.)]?\s*{rest}\s*\Z", v.strip()) for v in values]
+        assert apply(function, values) == [m and m[1] for m in plain]
+
+
 def test_ascii_digits(apply):
     nd = [c for c in map(chr, range(0x10000)) if unicodedata.category(c) == "Nd"]
     assert apply(text.ascii_digits, ["".join(nd)]) == ["".join(str(unicodedata.digit(c)) for c in nd)]
