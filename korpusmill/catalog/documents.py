@@ -10,6 +10,9 @@ from korpusmill.catalog.text import SQL_QUALITY, sql_section_key, sql_toc_key
 from korpusmill.functions.headers import section_key
 from korpusmill.operators import dedupe, layout, naming, ordering, pairing, sections, toc
 from korpusmill.plans import pdf_corpus
+from korpusmill.session import shared_folder
+from korpusmill.sinks.files import read_section_files, write_section_files
+from korpusmill.sources import pdf
 
 QUERIES, ORACLES = {}, {}
 
@@ -247,7 +250,7 @@ toc_named AS (SELECT doc_id, toc_page, line_no, trim(regexp_replace(regexp_extra
 toc_valid AS (SELECT n.* FROM toc_named n JOIN page_counts USING (doc_id) WHERE title <> '' AND start_page BETWEEN 1 AND page_count),
 entries AS (SELECT doc_id, arg_min(title, toc_page * 1000000000 + line_no) AS title, start_page FROM toc_valid GROUP BY doc_id, lower(title), start_page)"""
 _INTERVALS = f"""{_ENTRIES},
-starts AS (SELECT doc_id, start_page, max(title) AS title FROM entries WHERE start_page >= 2 GROUP BY doc_id, start_page),
+starts AS (SELECT doc_id, start_page, max(title) AS title FROM entries GROUP BY doc_id, start_page),
 intervals AS (SELECT doc_id, title, start_page, coalesce(lead(start_page) OVER (PARTITION BY doc_id ORDER BY start_page) - 1, page_count) AS end_page
  FROM starts JOIN page_counts USING (doc_id))"""
 _TOC_SECTIONS = f"""{_INTERVALS},
@@ -261,18 +264,17 @@ toc_uniq AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY doc_id
 
 
 def _sides_of(sql: str, lines: str) -> str:
-    """The check query over some of the lines only."""
+    """The check query over the lines of one side."""
     return sql.replace("SELECT DISTINCT doc_id, side FROM lines", f"SELECT DISTINCT doc_id, side FROM lines WHERE {lines}")
 
 
 def _counts(spark, d):
-    """Reading starts on page 2."""
-    return I.page_counts(spark, d).withColumn("page_from", F.lit(2)).withColumn("page_to", F.col("page_count"))
+    """All pages are read."""
+    return I.page_counts(spark, d).withColumn("page_from", F.lit(1)).withColumn("page_to", F.col("page_count"))
 
 
 def _toc_sections(spark, d):
-    lines = I.document_lines(spark, d).where("page >= 2")
-    return pdf_corpus.toc_sections(lines, I.toc_lines(spark, d), _counts(spark, d))
+    return pdf_corpus.toc_sections(I.document_lines(spark, d), I.toc_lines(spark, d), _counts(spark, d))
 
 
 def _checked_toc(spark, d):
@@ -297,7 +299,7 @@ _register(
     lambda spark, d: toc.toc_intervals(toc.toc_entries(I.toc_lines(spark, d), I.page_counts(spark, d)), _counts(spark, d)),
     f"WITH {_INTERVALS} SELECT doc_id, title, start_page, end_page FROM intervals",
 )
-_register("toc_sections", lambda spark, d: _shown(_toc_sections(spark, d)), f"WITH {_sides_of(_TOC_SECTIONS, 'page >= 2')} SELECT {_SQL_SHOWN} FROM toc_uniq")
+_register("toc_sections", lambda spark, d: _shown(_toc_sections(spark, d)), f"WITH {_TOC_SECTIONS} SELECT {_SQL_SHOWN} FROM toc_uniq")
 _register(
     "majority_language",
     lambda spark, d: naming.majority_language(
@@ -384,21 +386,21 @@ _register(
 
 
 def _left(spark, d):
-    return I.document_lines(spark, d).where("side = 'left' and page >= 2")
+    return I.document_lines(spark, d).where("side = 'left'")
 
 
 _register(
     "full_files",
     lambda spark, d: _record_fields(pdf_corpus.full_files(_left(spark, d), _sources(spark, d))),
     f"""WITH {I.LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
-     string_agg(text, chr(10) ORDER BY line_no) AS content FROM lines WHERE side = 'left' AND page >= 2 GROUP BY doc_id),
+     string_agg(text, chr(10) ORDER BY line_no) AS content FROM lines WHERE side = 'left' GROUP BY doc_id),
     t AS (SELECT *, {q.language('content')} AS lang FROM s)
     SELECT {_sql_fields('lang', q.folder('lang'), f"{_SQL_STEM} || '.json'")} FROM t""",
 )
 _register(
     "toc_files",
     lambda spark, d: _record_fields(pdf_corpus.toc_files(_left(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d))),
-    f"""WITH {_sides_of(_TOC_SECTIONS, "side = 'left' AND page >= 2")},
+    f"""WITH {_sides_of(_TOC_SECTIONS, "side = 'left'")},
     l AS (SELECT *, {q.language('content')} AS lang FROM toc_uniq),
     v AS (SELECT doc_id, lang AS major FROM (SELECT doc_id, lang, count(*) AS n FROM l GROUP BY doc_id, lang)
      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) = 1),
@@ -410,15 +412,78 @@ _register(
     "toc_files_bilingual",
     lambda spark, d: _record_fields(
         pdf_corpus.toc_files(
-            I.document_lines(spark, d).where("page >= 2"), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d), bilingual=True
+            I.document_lines(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d), bilingual=True
         )
     ),
-    f"""WITH {_sides_of(_TOC_SECTIONS, "page >= 2")},
+    f"""WITH {_TOC_SECTIONS},
     f AS (SELECT *, {_SQL_STEM} || '__' || {_PART} || '__' || {_SIDE_LANG} || '__' || {q.sanitize('name')} || '.json' AS file FROM toc_uniq)
     SELECT {_sql_fields(_SIDE_LANG, _SIDE_FOLDER, 'file')} FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, side, file ORDER BY section_no DESC) = 1""",
 )
 
 
+_register(
+    "toc_files_right",
+    lambda spark, d: _record_fields(
+        pdf_corpus.toc_files(
+            I.document_lines(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d), bilingual=True, take="right"
+        )
+    ),
+    f"""WITH {_sides_of(_TOC_SECTIONS, "side = 'right'")},
+    f AS (SELECT *, {_SQL_STEM} || '__' || {_PART} || '__ru__' || {q.sanitize('name')} || '.json' AS file FROM toc_uniq)
+    SELECT {_sql_fields("'ru'", "'russian'", 'file')} FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, file ORDER BY section_no DESC) = 1""",
+)
+
+
+def _short_counts(spark, d):
+    """Page counts three pages short, so that contents of short documents name no page they have."""
+    return I.page_counts(spark, d).withColumn("page_count", F.col("page_count") - 3)
+
+
+_register(
+    "toc_without_entries",
+    lambda spark, d: pdf_corpus.without_entries(I.toc_lines(spark, d), _short_counts(spark, d), _sources(spark, d)),
+    f"""WITH {_ENTRIES.replace("max(page) AS page_count", "max(page) - 3 AS page_count")},
+    docs AS (SELECT DISTINCT doc_id // 2 AS doc_id FROM documents)
+    SELECT doc_id, {_SQL_SOURCE} AS source_name, 'Мыйзам: ' || doc_id AS stem FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM entries)""",
+)
+
+
+def _contents_lines(spark, d):
+    """Raw lines of the pages whose numbers are those of contents pages, from left spans."""
+    spans = I.document_spans(spark, d).where("line_x0 < 300")
+    return pdf.toc_page_lines(spans, I.toc_lines(spark, d).select("doc_id", "toc_page").distinct())
+
+
+_register(
+    "contents_lines",
+    _contents_lines,
+    f"""WITH {I.SPANS}, toc AS (SELECT DISTINCT doc_id, CAST((line_no // 10) // 40 + 1 AS INTEGER) AS toc_page FROM lines WHERE side = 'left' AND line_no % 10 = 0)
+    SELECT s.doc_id, toc_page, line_no, string_agg(' ' || t, '' ORDER BY span_no) AS text FROM spans s JOIN toc ON toc.doc_id = s.doc_id AND toc.toc_page = s.page
+    WHERE side = 'left' AND block_type = 0 GROUP BY s.doc_id, toc_page, line_no""",
+)
+
+
+def _read_back(spark, d):
+    """Files of whole documents, written one by one and read again."""
+    path = shared_folder(spark, "section-files")
+    write_section_files(pdf_corpus.full_files(_left(spark, d), _sources(spark, d)), path.removeprefix("file://"))
+    return read_section_files(spark, path).select(
+        "folder", "file_name", F.sha1("record.content").alias("digest"), F.col("record.metadata.section_name").alias("section_name"),
+        _pages("record.metadata.page_numbers"), F.col("record.metadata.rag_header").alias("rag_header"),
+    )
+
+
+_register(
+    "files_read_back",
+    _read_back,
+    f"""WITH {I.LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
+     string_agg(text, chr(10) ORDER BY line_no) AS content FROM lines WHERE side = 'left' GROUP BY doc_id),
+    t AS (SELECT *, {q.language('content')} AS lang FROM s),
+    f AS (SELECT {_sql_fields('lang', q.folder('lang'), f"{_SQL_STEM} || '.json'")} FROM t)
+    SELECT folder, file_name, digest, section_name, pages, rag_header FROM f""",
+)
+
+
 def _collisions(spark, d):
     """Names of all orders of a day, in mixed case and of full length."""
     name = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.repeat(F.lit("-длинное имя"), 20))
