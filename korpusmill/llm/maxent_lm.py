@@ -27,14 +27,16 @@ from pyspark.sql import functions as F
 
 from korpusmill.session import shared_folder, store
 
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 6_000_000
 #: Words with numbers of their own, neighbours that describe them, and the classes these words are dealt to.
-TOP_WORDS, NEIGHBOURS, CLUSTERS = 4096, 128, 28
+TOP_WORDS, NEIGHBOURS, CLUSTERS = 4096, 128, 12
 #: The other classes: the end, words counted often, seldom, and up to RARE times (with all unknown words).
 END_CLASS, OFTEN, SELDOM, RARELY = CLUSTERS, CLUSTERS + 1, CLUSTERS + 2, CLUSTERS + 3
 CLASSES = CLUSTERS + 4
 OFTEN_FROM, RARE, DISCOUNT = 100, 4, 0.5
-ROWS, BLOCK, ROUNDS, BATCH, RATE = 1 << 15, 1 << 10, 2, 4096, 0.2
+ROWS, BLOCK, ROUNDS, BATCH, RATE = 1 << 15, 1 << 10, 2, 8192, 0.2
+#: Shards of a task, and words of a shard, that a place (a bigint) can name.
+SHARDS_OF_TASK = 1 << 12
 #: No word has a blank in it, so this is the hash of the end of a text alone.
 END = int(np.uint64(xxhash.xxh3_64_intdigest(b" ")).view(np.int64))
 
@@ -46,6 +48,16 @@ def held_out(doc_id: Column) -> Column:
 
 # --- texts to shards
 _SHARDS = "shard bigint, docs array<bigint>, held array<boolean>, lengths array<int>, tokens binary, hashes binary, counts binary"
+_COUNTED = "shard bigint, docs array<bigint>, held array<boolean>, lengths array<int>, tokens binary, counts binary, tops binary"
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """Integers byte by byte, all first bytes first: early words have small numbers, so most planes pack well."""
+    return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
 def _to_shards(size: int):
@@ -56,12 +68,12 @@ def _to_shards(size: int):
         counts = np.bincount(ids[learned], minlength=len(words)).astype(np.int32)
         return pa.record_batch({
             "shard": pa.array([shard], pa.int64()), "docs": pa.array([docs], pa.list_(pa.int64())), "held": pa.array([held], pa.list_(pa.bool_())),
-            "lengths": pa.array([lengths], pa.list_(pa.int32())), "tokens": pa.array([ids.tobytes()], pa.binary()),
+            "lengths": pa.array([lengths], pa.list_(pa.int32())), "tokens": pa.array([_planes(ids)], pa.binary()),
             "hashes": pa.array([hashes.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, chars = TaskContext.get().partitionId() << 24, 0
+        shard, chars = TaskContext.get().partitionId() * SHARDS_OF_TASK, 0
         docs, held, lengths, tokens, words = [], [], [], [], {None: 0}
         for batch in batches:
             for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -89,34 +101,55 @@ def _shard_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = np.frombuffer(hashes.as_py(), np.int64)
             for at in range(0, len(h), 1 << 16):
                 part = h[at : at + (1 << 16)]
-                yield pa.record_batch({
-                    "shard": np.full(len(part), shard, np.int64), "local": np.arange(at, at + len(part), dtype=np.int32),
-                    "hash": part, "n": np.frombuffer(counts.as_py(), np.int32)[at : at + len(part)],
-                })
+                place = np.arange(at, at + len(part), dtype=np.int64) + (shard << 31)
+                yield pa.record_batch({"place": place, "hash": part, "n": np.frombuffer(counts.as_py(), np.int32)[at : at + len(part)]})
 
 
 def _with_counts(shard: pa.Table, counts: pa.Table) -> pa.Table:
-    c = np.zeros(counts.num_rows, np.int64)
-    c[counts["local"].to_numpy()] = counts["c"].to_numpy()
-    return shard.set_column(shard.schema.get_field_index("counts"), "counts", pa.array([c.tobytes()], pa.binary()))
+    local, known = counts["local"].to_numpy(), counts["known"].to_numpy()
+    c, tops = np.zeros(len(local), np.int64), np.full(len(local), -1, np.int16)
+    c[local], tops[local] = known >> 16, (known & 0xFFFF) - 1
+    return shard.append_column("counts", pa.array([c.tobytes()], pa.binary())).append_column("tops", pa.array([tops.tobytes()], pa.binary()))
+
+
+def _packed(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One shard at a time, so that one alone is copied."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
 
+def to_shards(docs: DataFrame, shard_chars: int = SHARD_CHARS, top_words: int = TOP_WORDS) -> tuple[DataFrame, DataFrame, list]:
+    """Shards with the counts of their words in all learned texts, these counts (hash, c), and the commonest words.
 
-def to_shards(docs: DataFrame, shard_chars: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
-    """Shards whose ``counts`` are those of the whole corpus (learned texts only), and the counts (hash, c)."""
+    A shard also has its words' numbers among the ``top_words`` commonest, -1 for others.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), "text")
-    shards = store(texts.mapInArrow(_to_shards(shard_chars), _SHARDS), shared_folder(spark, "shards"))
-    words = shards.select("shard", "hashes", "counts").mapInArrow(_shard_words, "shard bigint, local int, hash bigint, n int")
+    shards = _packed(texts.mapInArrow(_to_shards(shard_chars), _SHARDS), shared_folder(spark, "shards"))
+    words = shards.select("shard", "hashes", "counts").mapInArrow(_shard_words, "place bigint, hash bigint, n int")
     counts = store(words.groupBy("hash").agg(F.sum("n").alias("c")), shared_folder(spark, "word-counts"))
-    back = words.select("shard", "local", "hash").join(counts, "hash").select("shard", "local", "c")
-    coded = shards.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_with_counts, _SHARDS)
-    return store(coded, shared_folder(spark, "counted-shards")), counts
+    top = counts.where((F.col("c") > 0) & (F.col("hash") != END)).orderBy(F.desc("c"), "hash").limit(top_words).collect()
+    numbers = spark.createDataFrame([(r["hash"], i) for i, r in enumerate(top)], "hash bigint, top smallint")
+    # A count and a number share one bigint on their way back: 48 and 16 bits.
+    both = F.shiftleft("c", 16) + F.coalesce("top", F.lit(-1)) + 1
+    known = counts.join(F.broadcast(numbers), "hash", "left").select("hash", both.alias("known"))
+    local = F.col("place").bitwiseAND((1 << 31) - 1).cast("int").alias("local")
+    back = words.select("place", "hash").join(known, "hash").select(F.shiftright("place", 31).alias("shard"), local, "known")
+    narrow = shards.drop("hashes", "counts")
+    coded = narrow.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_with_counts, _COUNTED)
+    return _packed(coded, shared_folder(spark, "counted-shards")), counts, top
 
 
 # --- words and classes; broadcasts carry the fields alone, which need no installation to be read
 @dataclass
 class Words:
-    """Numbers and classes of words. ``top`` are hashes in order, ``classes`` theirs; totals are by class."""
+    """Classes of the commonest words by number, their counts, and totals by class."""
 
     top: np.ndarray
     classes: np.ndarray
@@ -125,31 +158,33 @@ class Words:
     tokens: int
     types: int
 
-    def describe(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def describe(self, tops: np.ndarray, counts: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For distinct words: symbol in histories, class, and log P(word | class)."""
-        at = np.searchsorted(self.top, hashes)
-        known = np.zeros(len(hashes), bool)
-        if len(self.top):
-            known = self.top[np.minimum(at, len(self.top) - 1)] == hashes
-        band = np.where(counts >= OFTEN_FROM, OFTEN, np.where(counts > RARE, SELDOM, RARELY))
-        cls = np.where(hashes == END, END_CLASS, band)
-        cls[known] = self.classes[at[known]]
-        symbol = np.where(known, at, len(self.top) + cls - CLUSTERS)
+        cls = np.where(counts >= OFTEN_FROM, OFTEN, np.where(counts > RARE, SELDOM, RARELY))
+        known = tops >= 0
+        cls[known] = self.classes[tops[known]]
+        cls[end] = END_CLASS
+        symbol = np.where(known, tops.astype(np.int64), len(self.top) + cls - CLUSTERS)
         mass = counts - np.where(cls == RARELY, DISCOUNT, 0.0)
         if self.totals[RARELY] > 0:
             mass[(cls == RARELY) & (counts == 0)] = DISCOUNT * self.rare_types
         total = np.maximum(self.totals[cls], 1)
         mass[(cls == RARELY) & (counts == 0) & (self.totals[RARELY] == 0)] = 1
-        mass[hashes == END] = total[hashes == END]
+        mass[end] = total[end]
         return symbol, cls, np.log(np.maximum(mass, 1e-300) / total)
 
 
-def _read_shard(row: dict, words: Words):
-    """Of every token: symbol, class, log P(word | class), count; and the documents' lengths and held-out marks."""
-    tokens = np.frombuffer(row["tokens"], np.int32)
-    counts = np.frombuffer(row["counts"], np.int64)
-    symbol, cls, inside = words.describe(np.frombuffer(row["hashes"], np.int64), counts)
-    return symbol[tokens], cls[tokens], inside[tokens], counts[tokens], np.array(row["lengths"], np.int64), np.array(row["held"], bool)
+class _Shard:
+    """A shard's tokens (numbers of its words), what is known of its words, and its documents' lengths and held-out marks."""
+
+    def __init__(self, row: dict, words: Words):
+        self.tokens, self.counts = _from_planes(row["tokens"]), np.frombuffer(row["counts"], np.int64)
+        symbol, cls, self.inside = words.describe(np.frombuffer(row["tops"], np.int16), self.counts, np.arange(len(self.counts)) == 0)
+        self.symbols, self.classes = symbol.astype(np.int32)[self.tokens], cls.astype(np.int8)
+        self.lengths, self.held = np.array(row["lengths"], np.int64), np.array(row["held"], bool)
+
+    def learned(self) -> np.ndarray:
+        return ~np.repeat(self.held, self.lengths)
 
 
 def _history(symbols: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,14 +213,13 @@ def _neighbour_pairs(shared):
         words, common = Words(**shared.value[0]), shared.value[1]
         size = len(words.top) * 2 * NEIGHBOURS
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                symbol, _, _, _, lengths, held = _read_shard(row, words)
-                learned = ~np.repeat(held, lengths)
-                seat = np.append(common, np.full(8, -1))[symbol]  # place among the commonest, -1 for others
-                for side, (a, b) in enumerate(((symbol[1:], seat[:-1]), (symbol[:-1], seat[1:]))):
-                    use = learned[1:] & learned[:-1] & (a < len(words.top)) & (b >= 0)
-                    total += np.bincount((a[use] * 2 + side) * NEIGHBOURS + b[use], minlength=size)
+        for row in _rows(batches):
+            shard = _Shard(row, words)
+            symbol, learned = shard.symbols, shard.learned()
+            seat = np.append(common, np.full(8, -1)).astype(np.int32)[symbol]  # place among the commonest, -1 for others
+            for side, (a, b) in enumerate(((symbol[1:], seat[:-1]), (symbol[:-1], seat[1:]))):
+                use = learned[1:] & learned[:-1] & (a < len(words.top)) & (b >= 0)
+                total += np.bincount((a[use] * 2 + side) * NEIGHBOURS + b[use], minlength=size)
         at = np.flatnonzero(total)
         yield pa.record_batch({"pair": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
 
@@ -209,19 +243,16 @@ def _cluster(vectors: np.ndarray, weights: np.ndarray, k: int, rounds: int = 12)
     return own
 
 
-def find_words(shards: DataFrame, counts: DataFrame, top_words: int = TOP_WORDS) -> Words:
-    """Totals, and classes of the commonest words from their neighbours; at most ``top_words`` rows and their pairs are collected."""
+def find_words(shards: DataFrame, counts: DataFrame, commonest: list) -> Words:
+    """Totals, and classes of the commonest words from their neighbours, whose pairs are collected."""
     spark = shards.sparkSession
     seen = counts.where("c > 0")
     tokens, types = seen.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = seen.where(F.col("hash") != END).orderBy(F.desc("c"), "hash").limit(top_words).collect()
-    by_hash = sorted((r["hash"], r["c"]) for r in rows)
-    top, n = np.array([h for h, _ in by_hash], np.int64), np.array([c for _, c in by_hash], np.float64)
-    words = Words(top, np.zeros(len(top), np.int64), np.zeros(CLASSES), 0, int(tokens), int(types))
+    top, n = np.array([r["hash"] for r in commonest], np.int64), np.array([r["c"] for r in commonest], np.float64)
+    words = Words(n, np.zeros(len(top), np.int64), np.zeros(CLASSES), 0, int(tokens), int(types))
     if len(top):
         common = np.full(len(top), -1)
-        chosen = np.argsort(-n, kind="stable")[:NEIGHBOURS]
-        common[chosen] = np.arange(len(chosen))
+        common[:NEIGHBOURS] = np.arange(min(NEIGHBOURS, len(top)))
         shared = spark.sparkContext.broadcast((vars(words), common))
         pairs = shards.mapInArrow(_neighbour_pairs(shared), "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
         beside = np.zeros(len(top) * 2 * NEIGHBOURS)
@@ -247,7 +278,9 @@ class Weights:
     table: np.ndarray
 
     def log_classes(self, rows: np.ndarray) -> np.ndarray:
-        z = self.bias + self.table[rows].sum(axis=1)
+        z = self.bias + self.table[rows[:, 0]]
+        for k in range(1, rows.shape[1]):
+            z += self.table[rows[:, k]]
         z -= z.max(axis=1, keepdims=True)
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
@@ -258,27 +291,26 @@ def _updates(shared, rounds: int, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = Words(**shared.value[0]), Weights(**shared.value[1])
         local, squares, uses = Weights(weights.bias, weights.table.copy()), np.full(ROWS, 1e-2, np.float32), np.zeros(ROWS, np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["shard"] * 0x9E3779B1 % (1 << 32) * rounds >> 32 != number:
-                    continue
-                symbol, cls, _, _, lengths, held = _read_shard(row, words)
-                learned = np.flatnonzero(~np.repeat(held, lengths))
-                features = feature_rows(*_history(symbol, lengths, len(words.top)))
-                for at in range(0, len(learned), BATCH):
-                    use = learned[at : at + BATCH]
-                    rows = features[use]
-                    slope = np.exp(local.log_classes(rows))
-                    slope[np.arange(len(use)), cls[use]] -= 1
-                    flat = rows.ravel()
-                    order = np.argsort(flat, kind="stable")
-                    starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-                    touched = flat[order[starts]]
-                    n = np.diff(starts, append=len(flat))
-                    sums = np.add.reduceat(slope[order // rows.shape[1]], starts)
-                    uses[touched] += n
-                    squares[touched] += (sums * sums).mean(axis=1)
-                    local.table[touched] -= np.float32(RATE) * sums / np.sqrt(squares[touched])[:, None]
+        for row in _rows(batches):
+            if row["shard"] * 0x9E3779B1 % (1 << 32) * rounds >> 32 != number:
+                continue
+            shard = _Shard(row, words)
+            learned = np.flatnonzero(shard.learned())
+            one, two = _history(shard.symbols, shard.lengths, len(words.top))
+            for at in range(0, len(learned), BATCH):
+                use = learned[at : at + BATCH]
+                rows = feature_rows(one[use], two[use])
+                slope = np.exp(local.log_classes(rows))
+                slope[np.arange(len(use)), shard.classes[shard.tokens[use]]] -= 1
+                flat = rows.ravel()
+                order = np.argsort(flat, kind="stable")
+                starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+                touched = flat[order[starts]]
+                n = np.diff(starts, append=len(flat))
+                sums = np.add.reduceat(slope[order // rows.shape[1]], starts)
+                uses[touched] += n
+                squares[touched] += (sums * sums).mean(axis=1)
+                local.table[touched] -= np.float32(RATE) * sums / np.sqrt(squares[touched])[:, None]
         change = local.table - weights.table
         for block in range(ROWS // BLOCK):
             own = slice(block * BLOCK, (block + 1) * BLOCK)
@@ -302,7 +334,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(shards: DataFrame, words: Words, rounds: int = ROUNDS) -> Weights:
-    """Every learned token takes part in one of ``rounds`` rounds; the table of weights (4 MB) passes through the driver."""
+    """Every learned token takes part in one of ``rounds`` rounds; the table of weights (2 MB) passes through the driver."""
     prior = words.totals + 1
     weights = Weights(np.log(prior / prior.sum()).astype(np.float32), np.zeros((ROWS, CLASSES), np.float32))
     for number in range(rounds):
@@ -323,23 +355,25 @@ _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tra
 def _scores(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, weights = Words(**shared.value[0]), Weights(**shared.value[1])
-        for batch in batches:
-            for row in batch.to_pylist():
-                symbol, cls, inside, counts, lengths, held = _read_shard(row, words)
-                features = feature_rows(*_history(symbol, lengths, len(words.top)))
-                logs = inside.copy()
-                for at in range(0, len(cls), 1 << 14):
-                    part = slice(at, at + (1 << 14))
-                    own = weights.log_classes(features[part])
-                    logs[part] += own[np.arange(len(own)), cls[part]]
-                begins = np.cumsum(lengths) - lengths
-                base = np.log10(counts + 1.0) - np.log10(words.tokens + words.types + 1.0)
-                yield pa.record_batch({
-                    "doc_id": pa.array(row["docs"], pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(lengths, pa.int64()),
-                    "n_known": pa.array(np.add.reduceat((counts > 0).astype(np.int64), begins)),
-                    "train_tokens": pa.array(np.full(len(lengths), words.tokens, np.int64)),
-                    "base_score": pa.array(np.add.reduceat(base, begins)), "score": pa.array(np.add.reduceat(logs, begins) / np.log(10)),
-                })
+        for row in _rows(batches):
+            shard = _Shard(row, words)
+            one, two = _history(shard.symbols, shard.lengths, len(words.top))
+            logs = np.empty(len(shard.tokens))
+            for at in range(0, len(logs), 1 << 14):
+                part = slice(at, at + (1 << 14))
+                token = shard.tokens[part]
+                own = weights.log_classes(feature_rows(one[part], two[part]))
+                logs[part] = shard.inside[token] + own[np.arange(len(own)), shard.classes[token]]
+            lengths = shard.lengths
+            begins = np.cumsum(lengths) - lengths
+            base = (np.log10(shard.counts + 1.0) - np.log10(words.tokens + words.types + 1.0))[shard.tokens]
+            known = np.add.reduceat(shard.counts[shard.tokens] > 0, begins, dtype=np.int64)
+            yield pa.record_batch({
+                "doc_id": pa.array(row["docs"], pa.int64()), "held_out": pa.array(shard.held), "n_tokens": pa.array(lengths, pa.int64()),
+                "n_known": pa.array(known),
+                "train_tokens": pa.array(np.full(len(lengths), words.tokens, np.int64)),
+                "base_score": pa.array(np.add.reduceat(base, begins)), "score": pa.array(np.add.reduceat(logs, begins) / np.log(10)),
+            })
 
     return run
 
@@ -353,7 +387,7 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, shard_chars: int = SHARD_
     often as they occur, rows without doc_id are learned from. Other columns
     are ignored, and an empty table gives an empty result.
     """
-    shards, counts = to_shards(docs, shard_chars)
-    words = find_words(shards, counts)
+    shards, counts, commonest = to_shards(docs, shard_chars)
+    words = find_words(shards, counts, commonest)
     shared = docs.sparkSession.sparkContext.broadcast((vars(words), vars(train(shards, words, rounds))))
     return shards.mapInArrow(_scores(shared), _SCORES)

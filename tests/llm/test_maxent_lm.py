@@ -53,12 +53,13 @@ def test_the_model_beats_the_base_on_held_out_texts(scored):
 
 def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame([(d, t) for d, t in ROWS[:120]], "doc_id bigint, text string")
-    shards, counts = lm.to_shards(docs, 5_000)
-    words = lm.find_words(shards, counts, top_words=50)
+    shards, counts, commonest = lm.to_shards(docs, 5_000, top_words=50)
+    words = lm.find_words(shards, counts, commonest)
     weights = lm.train(shards, words)
     known = counts.where("c > 0").toPandas()
     hashes, c = np.append(known["hash"].to_numpy(), 12345), np.append(known["c"].to_numpy(), 0)  # and an unknown word
-    _, cls, inside = words.describe(hashes, c)
+    number = {r["hash"]: i for i, r in enumerate(commonest)}
+    _, cls, inside = words.describe(np.array([number.get(h, -1) for h in hashes]), c, hashes == lm.END)
     assert words.types == len(known) and words.tokens == known["c"].sum()
     one, two = np.array([0, 3, len(words.top), len(words.top) + 3]), np.array([1, 3, len(words.top), 0])
     logs = weights.log_classes(lm.feature_rows(one, two))
