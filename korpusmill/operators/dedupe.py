@@ -12,7 +12,7 @@ SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
 NO_PAGE = -1  # every section covers it
 CUT = 24
-CROWDED = 512  # sections on a page beyond which grams are compared first
+CROWDED = 64  # sections on a page beyond which grams are compared first
 
 
 def first_page(pages: Column) -> Column:
@@ -79,7 +79,7 @@ def contained(sections: DataFrame, home: str, crowded: int = CROWDED) -> DataFra
         .select(*KEY, "a_place", "probe", "other")
     )
     pressed = seekers.where(F.col("_crowd") > crowded).drop("_crowd")
-    pairs = near if pressed.isEmpty() else near.unionByName(_sharing_grams(base, pressed))
+    pairs = near.unionByName(_sharing_grams(base, pressed))
 
     inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"))
     outer = base.select(

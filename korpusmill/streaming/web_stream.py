@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from korpusmill.functions.url import canonical_url
 from korpusmill.operators.webdocs import page_records, web_documents
 from korpusmill.profiles import SiteProfile
 from korpusmill.session import shared_folder
 
 PAGES = "page_id bigint, url string, html string"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_pages(spark: SparkSession, path: str, schema: str = PAGES) -> DataFrame:
@@ -19,21 +21,34 @@ def read_pages(spark: SparkSession, path: str, schema: str = PAGES) -> DataFrame
 
 
 def stream_documents(
-    pages: DataFrame, root_url: Column, category: Column, lang: Column, profile: SiteProfile
+    pages: DataFrame, root_url: Column, category: Column, lang: Column, profile: SiteProfile,
+    seen_at: str | None = None, horizon: str = "30 days",
 ) -> DataFrame:
     """Web documents of a page stream; the first page to arrive for a URL is kept.
 
     Only the URL is kept as state, in partitions by URL; copies of one page,
-    however many, never leave more than that behind. Which of several pages of
-    one batch is first is open.
+    however many, never leave more than that behind, and are dropped before
+    their texts are read. With ``seen_at``, a timestamp column, a URL is
+    forgotten when it is older than ``horizon``; without it, never. Which of
+    several pages of one batch is first is open.
     """
-    unique = page_records(pages, profile).dropDuplicates(["url"])
-    return web_documents(unique, root_url, category, lang, profile).drop("ordinal")
+    base = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in pages.columns else F.col("url")
+    keyed = pages.where(F.col("html").isNotNull()).withColumn("_key", canonical_url(base, profile.strip_default_ports))
+    if seen_at:
+        unique = keyed.withWatermark(seen_at, horizon).dropDuplicatesWithinWatermark(["_key"])
+    else:
+        unique = keyed.dropDuplicates(["_key"])
+    return web_documents(page_records(unique.drop("_key"), profile), root_url, category, lang, profile).drop("ordinal")
 
 
 def save_stream(docs: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Write JSON lines for all pages there are, then stop; a later start goes on from there."""
+    """Write JSON lines for all pages there are, then stop.
+
+    A later start with the same ``checkpoint`` goes on from there; without one
+    it begins anew. State is kept on disk, not in the executors' memory.
+    """
     place = checkpoint or shared_folder(docs.sparkSession, "stream")
+    docs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     return (
         docs.writeStream.format("json")
         .option("path", path)

@@ -144,6 +144,20 @@ def test_stream_keeps_one_document_per_url(spark, tmp_path):
     assert {r.content_text for r in got} == {f"text of page number {i}" for i in range(3)}
 
 
+def test_stream_forgets_urls_beyond_the_horizon(spark, tmp_path):
+    source, out, place = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = PAGE + ", at timestamp"
+    for day in ("2024-01-01", "2024-01-02", "2024-06-01", "2024-06-02", "2024-12-01"):
+        row = (1, "https://h.example.org/p", "<p>text of the page</p>", day)
+        one = spark.createDataFrame([row], PAGE + ", at string").withColumn("at", F.to_timestamp("at"))
+        one.coalesce(1).write.mode("append").parquet(source)
+        docs = stream_documents(
+            read_pages(spark, source, schema), F.lit("https://h.example.org/"), F.lit("c"), F.lit("ru"), RU, seen_at="at"
+        )
+        save_stream(docs, out, place).awaitTermination()
+    assert 2 <= spark.read.json(out).count() < 5
+
+
 QUICK = (
     "normalize_multiline", "trim_footer_noise", "detect_language", "canonical_urls", "join_urls", "page_documents", "url_keep_last",
     "header_sections", "toc_entries", "collision_names",
