@@ -110,8 +110,9 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 6: HTML extraction (the SQL holds for pages whose article has paragraphs and one headline, as all given ones have)
 @_register("op6_html_extract", r"""WITH articles AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
-blocks AS (SELECT page_id, url, list_transform(string_split_regex(a, '</?(?:p|h1)>'), lambda b: trim(regexp_replace(replace(replace(replace(replace(replace(
- regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) AS bs FROM articles),
+blocks AS (SELECT page_id, url, list_transform(string_split_regex(a, '</?(?:p|h1)>'), lambda b: trim(regexp_replace(regexp_replace(
+ regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'),
+ '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;?', chr(39), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS bs FROM articles),
 texts AS (SELECT page_id, url, array_to_string(list_filter(bs, lambda b: b <> ''), chr(10) || chr(10)) AS text FROM blocks)
 SELECT page_id, url, text, length(text) AS n_chars FROM texts""")
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
