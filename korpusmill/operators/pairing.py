@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import ascii_digits
-from korpusmill.operators.dedupe import first_page, section_order
+from korpusmill.operators.dedupe import KEY, first_page, section_order
 from korpusmill.operators.ordering import row_number_in_blocks
 from korpusmill.session import shared_folder, store
 
@@ -24,9 +24,16 @@ def key_order(key: Column) -> Column:
 
 
 def number_sections(sections: DataFrame) -> DataFrame:
-    """Add ``place``, the position on the document side in output order."""
-    block = F.floor(first_page(F.col("page_numbers")) / PAGE_BLOCK).cast("bigint")
-    return row_number_in_blocks(sections, ["doc_id", "side"], block, section_order(), "place")
+    """Add ``place``, the position on the document side in output order.
+
+    What is sorted has no texts, so a document whose sections all begin on one
+    page is a list of names.
+    """
+    block = F.floor(first_page(F.col("page_numbers")) / PAGE_BLOCK).cast("bigint").alias("_pages")
+    narrow = sections.select(*KEY, block, *(c.alias(f"_by{i}") for i, c in enumerate(section_order())))
+    by = [F.col(f"_by{i}") for i in range(len(section_order()))]
+    placed = row_number_in_blocks(narrow, ["doc_id", "side"], F.col("_pages"), by, "place")
+    return sections.join(placed.select(*KEY, "place"), KEY)
 
 
 def _sides(matched: DataFrame, keys: list[str], order: Column) -> DataFrame:
