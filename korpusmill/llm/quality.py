@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from korpusmill.llm.common import with_fields
 
 #: Labelled rows that the model is fitted on at most, those with the smallest hashes of their doc_id.
-MAX_TRAINING_ROWS = 20_000
+MAX_TRAINING_ROWS = 10_000
 #: Small sets are gone through more often, for at least STEPS batches.
 BUCKETS, FACTORS, EPOCHS, BATCH, STEPS = 1 << 14, 8, 8, 256, 500
 THRESHOLD = 0.3
@@ -119,21 +119,34 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Machine:
-    """A machine fitted on at most ``max_rows`` labelled rows that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
+    """``key, text, label`` of at most ``max_rows`` labelled rows that are not held out, by the hash of their doc_id.
 
-    Spark chooses the rows and makes their features; only these, bounded by
-    ``max_rows``, reach the driver. ``labels`` has doc_id and quality (0 or 1);
-    rows without either are ignored.
+    ``labels`` has doc_id and quality (0 or 1); rows without either are ignored.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").cast("bigint").alias("key"), F.col("quality").cast("int").alias("label")).distinct()
     chosen = known.orderBy(F.xxhash64("key"), "key", "label").limit(max_rows)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("key"), "text").join(F.broadcast(chosen), "key").limit(2 * max_rows)
-    table = rows.select("key", "text", "label").mapInArrow(_featured, "key bigint, label int, ids binary, xs binary").toArrow()
-    table = table.sort_by([("key", "ascending"), ("label", "ascending"), ("ids", "ascending")])
-    pairs = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32)) for i, x in zip(table["ids"].to_pylist(), table["xs"].to_pylist())]
-    return fit(pairs, table["label"].to_numpy().astype(np.float64))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("key"), "text").join(F.broadcast(chosen), "key")
+    return rows.groupBy("key", "label").agg(F.min("text").alias("text")).select("key", "text", "label")  # however often a doc_id occurs
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted((k, label, i, x) for b in batches for k, label, i, x in zip(*(c.to_pylist() for c in b.columns)))
+    pairs = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32)) for _, _, i, x in rows]
+    machine = fit(pairs, np.array([label for _, label, _, _ in rows], np.float64))
+    yield pa.record_batch({"bias": [machine.bias], "weights": [machine.weights.tobytes()], "factors": [machine.factors.tobytes()]})
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Machine:
+    """A machine fitted on ``training_rows``.
+
+    Tasks make the features; one task fits the bounded sample, and the weights
+    alone, half a megabyte, reach the driver.
+    """
+    made = training_rows(docs, labels, max_rows).mapInArrow(_featured, "key bigint, label int, ids binary, xs binary")
+    row = made.repartition(1).mapInArrow(_fitted, "bias double, weights binary, factors binary").first()
+    return Machine(row["bias"], np.frombuffer(row["weights"], np.float32), np.frombuffer(row["factors"], np.float32).reshape(-1, FACTORS))
 
 
 def score_quality(docs: DataFrame, machine: Machine, column: str = "score") -> DataFrame:

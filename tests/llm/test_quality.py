@@ -56,12 +56,10 @@ def test_held_out_accuracy_and_clean_documents(spark, documents):
     assert len(set(clean) & set(ids)) > 0.98 * len(clean) and len([i for i in ids if i is not None and i < 900 and i % 4 == 0]) < 25
 
 
-def test_training_rows_are_bounded_and_never_held_out(spark, documents, monkeypatch):
-    seen = []
-    monkeypatch.setattr(quality, "fit", lambda rows, labels: seen.append((len(rows), labels.tolist())))
+def test_training_rows_are_bounded_and_never_held_out(spark, documents):
     labels = spark.createDataFrame([(i, int(not held(i))) for i, _ in ROWS], "doc_id bigint, quality int")
-    quality.train(documents(ROWS), labels, max_rows=50)
-    assert seen == [(50, [1.0] * 50)]
+    rows = quality.training_rows(documents(ROWS + ROWS[:300]), labels, max_rows=50).collect()
+    assert len(rows) == 50 and all(r["label"] == 1 and not held(r["key"]) and r["text"] == dict(ROWS)[r["key"]] for r in rows)
 
 
 def test_without_rows_or_labels(spark, documents):
