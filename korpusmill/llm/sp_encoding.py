@@ -193,7 +193,8 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def _batches(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+def _batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: enough texts for their words to be merged together, few enough to hold all their pieces."""
     for batch in batches:
         for at in range(0, max(1, batch.num_rows), rows):
             yield batch.slice(at, rows)
