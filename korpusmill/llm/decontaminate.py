@@ -1,12 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of passages with test items.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of passages with test items.
 
 Word n-grams of the items go into a bitmap of bounded size. Documents are read
-once and give only n-grams that the bitmap lets through; these are counted and
-joined with the items' n-grams exactly. An item's seeds are those n-grams that
-are rare in the corpus, and in any case the rarer half of them, so an item that
-leaked into very many documents keeps seeds. A seed lays the item over the
-document; the passage around it is aligned word by word, gaps and exchanged
-words included, so edited and paraphrased copies score high.
+once and give only n-grams that the bitmap lets through; these are joined with
+the items' n-grams exactly. All n-grams of an item are its seeds, however
+common: those that a much repeated copy keeps are the common ones. A seed lays
+the item over the document; the passage around it is aligned word by word, gaps
+and exchanged words included, so edited and paraphrased copies score high.
 """
 
 from __future__ import annotations
@@ -16,13 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.llm.common import doc_order
 from korpusmill.session import shared_folder, store
 
-SEED_WORDS, MIN_SCORE, RARE_SHARE = 3, 0.4, 0.001
+SEED_WORDS, MIN_SCORE = 3, 0.4
 #: Items of fewer words must occur word for word; those of fewer than SEED_WORDS are no evidence.
 SHORT_ITEM = 8
 #: Bits of the bitmap: 64 an n-gram, up to 16 MB; beyond that more n-grams pass to the exact join.
@@ -123,6 +122,17 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best, end
 
 
+def _spans(lays: list[int], slack: int) -> list[list[int]]:
+    """First and last of neighbouring lays: passages no longer than ``slack`` more than one lay's, and none cut short by another's."""
+    spans: list[list[int]] = []
+    for lay in lays:
+        if spans and lay - spans[-1][0] <= slack:
+            spans[-1][1] = lay
+        else:
+            spans.append([lay, lay])
+    return spans
+
+
 def _aligned(n: int, min_score: float):
     def flush(todo: list[tuple]) -> pa.RecordBatch:
         scores, ends = align([t[2] for t in todo], [t[3] for t in todo]) if todo else ([], [])
@@ -141,12 +151,10 @@ def _aligned(n: int, min_score: float):
                 h = word_hashes(text.as_py())
                 for t in tries.as_py():
                     x = np.frombuffer(t["hashes"], np.uint64)
-                    slack, since = max(SHORT_ITEM, len(x) // 2), None
-                    for lay in sorted(t["lays"]):
-                        if since is not None and lay - since <= slack:
-                            continue
-                        since, first = lay, max(0, lay - slack)
-                        y = h[first : max(first, lay + len(x) + 2 * slack)]
+                    slack = max(SHORT_ITEM, len(x) // 2)
+                    for since, until in _spans(sorted(t["lays"]), slack):
+                        first = max(0, since - slack)
+                        y = h[first : max(first, until + len(x) + 2 * slack)]
                         if MATCH * np.isin(x, y).sum() >= min_score * MATCH * len(x):  # no alignment scores more
                             if todo and (cells + len(y) > _CELLS or len(x) * len(y) > 4 * len(todo[-1][2]) * len(todo[-1][3])):
                                 yield flush(todo)
@@ -158,7 +166,7 @@ def _aligned(n: int, min_score: float):
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, min_score: float = MIN_SCORE, rare_share: float = RARE_SHARE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, min_score: float = MIN_SCORE) -> DataFrame:
     """``doc, item_id, score, last_word``: the best alignment of every document and test item that scores ``min_score`` or more.
 
     ``doc`` is the doc_id, or the largest bigint for documents without one,
@@ -177,14 +185,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, min_score:
     size = int(items.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0])
     bits = min(MAX_BITMAP_BITS, 1 << max(10, (64 * size).bit_length()))
     bitmap = spark.sparkContext.broadcast(_bitmap(seeds, bits))
-    hits = store(texts.mapInArrow(_possible_hits(n, bitmap, bits), "doc bigint, at bigint, gram bigint"), shared_folder(spark, "gram-hits"))
-
-    counts = hits.groupBy("gram").agg(F.count("*").alias("times"))
-    known = seeds.join(counts, "gram", "left").withColumn("times", F.coalesce("times", F.lit(0)))
-    half = F.percentile("times", F.lit(0.5)).over(Window.partitionBy("item"))
-    rare = known.withColumn("half", half).where((F.col("times") <= F.col("half")) | (F.col("times") <= rare_share * docs.count()))
+    hits = texts.mapInArrow(_possible_hits(n, bitmap, bits), "doc bigint, at bigint, gram bigint")
 
-    lays = hits.join(rare.select("gram", "item", "offset"), "gram").select("doc", "item", (F.col("at") - F.col("offset")).alias("lay"))
+    # A hot n-gram has many narrow rows here; they are one row a document and item before texts or items come near.
+    lays = hits.join(seeds, "gram").select("doc", "item", (F.col("at") - F.col("offset")).alias("lay"))
     tries = lays.groupBy("doc", "item").agg(F.collect_set("lay").alias("lays")).join(items.select("item", "item_id", "hashes"), "item")
     tries = tries.groupBy("doc").agg(F.collect_list(F.struct("item_id", "hashes", "lays")).alias("tries"))
     found = texts.join(tries, "doc").select("doc", "text", "tries").mapInArrow(_aligned(n, min_score), "doc bigint, item_id bigint, score double, last_word bigint")

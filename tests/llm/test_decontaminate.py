@@ -93,3 +93,13 @@ def test_empty_tables(spark, documents):
     assert leaks(documents([(1, "a b c")]), none).collect() == []
     assert leaks(documents([]), spark.createDataFrame([(1, "a b c d e f g h")], "item_id bigint, text string")).collect() == []
     assert np.array_equal(word_hashes("It's A-ÉB"), word_hashes("it s a Éb"))
+
+
+def test_finds_edited_and_truncated_copies_that_are_common(spark, documents):
+    fresh = [f"{a}{b}{c}" for a in "bcdfghkl" for b in "aeiou" for c in "mnprstvz"]
+    items = {1: fresh[:40], 2: fresh[40:80]}
+    copies = {1: [f"other{i // 5}" if i % 5 == 2 else w for i, w in enumerate(items[1])], 2: items[2][11:29]}
+    rows = [(d, " ".join(prose(20) + copies[1 + d % 2] + prose(20)) if d % 4 < 2 else " ".join(prose(60))) for d in range(200)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    got = {(r["doc"], r["item_id"]): r["score"] for r in leaks(documents(rows), benchmark).collect()}
+    assert got == pytest.approx({(d, 1 + d % 2): (0.7, 0.45)[d % 2] for d in range(200) if d % 4 < 2})
