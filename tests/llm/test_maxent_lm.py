@@ -69,6 +69,16 @@ def test_probabilities_sum_to_one(spark):
     assert np.allclose(total, np.exp(logs[:, full]).sum(axis=1), atol=1e-5)  # each class in use sums to one
 
 
+def test_words_of_many_kinds_have_classes_of_their_own(spark):
+    kinds = 24  # a word of one kind is always followed by one of the next
+    texts = [(7 * d, " ".join(f"k{(d + i) % kinds}w{rng.randrange(5)}" for i in range(200))) for d in range(60)]
+    shards, counts, commonest = lm.to_shards(spark.createDataFrame(texts, "doc_id bigint, text string"), 5_000)
+    words = lm.find_words(shards, counts, commonest)
+    names = {int(np.uint64(lm.xxhash.xxh3_64_intdigest(w.encode())).view(np.int64)): w.partition("w")[0] for _, t in texts for w in t.split()}
+    kinds_of = [{names[r["hash"]] for r, c in zip(commonest, words.classes) if c == own} for own in range(lm.CLUSTERS)]
+    assert len(commonest) == 5 * kinds and all(len(k) <= 1 for k in kinds_of)
+
+
 def test_histories_do_not_cross_texts():
     one, two = lm._history(np.array([5, 6, 7, 8, 9]), np.array([1, 3, 1]), -1)
     assert one.tolist() == [-1, -1, 6, 7, -1] and two.tolist() == [-1, -1, -1, 6, -1]
