@@ -2,8 +2,10 @@
 
 All words of a batch are merged in step. A word's agenda is the row of ranks of
 its neighbouring symbols; each step pops the best candidate of every agenda. A
-keyed hash of the candidate decides whether it is skipped; if not, its symbols
-become one. Skipping varies the segmentation, never the text: the pieces of any
+hash of the document, the word's place in it and the candidate's turn decides
+whether it is skipped; if not, its symbols become one. So each occurrence of a
+word has skips of its own; one whose skips are those of another occurrence has
+its pieces, too, and they are remembered. Skipping varies the segmentation, never the text: the pieces of any
 segmentation decode to it, white space and unknown characters included.
 """
 
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from korpusmill.llm.common import with_fields
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 1, 8
-#: Segmentations a task remembers; when there are more it forgets all.
+DROPOUT, SEED = 0.1, 1
+#: Words whose undropped segmentations a task remembers; when there are more it forgets all.
 REMEMBERED = 300_000
 _NEVER = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
@@ -61,8 +63,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes and decodes whole texts. ``key`` makes documents differ; equal keys, seeds and texts give equal pieces."""
 
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.dropout, self.seed, self.variants = dropout, seed, variants if dropout > 0 else 1
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, seed: int = SEED):
+        self.dropout, self.seed = dropout, seed
+        self.least = np.uint64(min(2**64 - 1, int(dropout * 2.0**64)))
         self.bytes = pieces.bytes
         known = {t: i for i, t in enumerate(pieces.texts) if t is not None}
         # The mark for a space stands for nothing else: in a text it is spelt in bytes, like all unknown characters.
@@ -79,7 +82,14 @@ class Encoder:
         self.decoded = [b"" if t is None else t.replace("▁", " ").encode() for t in pieces.texts]
         for b, i in enumerate(pieces.bytes):
             self.decoded[i] = bytes([b])
-        self.cache: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Numbers of words; by number, pieces and candidates without skips, and a bound of candidates; pieces by number and skips."""
+        self.numbers: dict[str, int] = {}
+        self.plain: list[bytes] = []
+        self.turns, self.bounds = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.varied: dict[tuple[int, int], bytes] = {}
 
     def _fill_table(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray) -> None:
         """A sparse table from pairs of symbols to the rank of the piece they make; a taken slot passes on to the next."""
@@ -112,8 +122,11 @@ class Encoder:
             todo = todo[~hit & (seen != _EMPTY)]
         return out
 
-    def _merge(self, words: list[str], variants: np.ndarray) -> list[bytes]:
-        """Piece ids of words of about one length, as bytes."""
+    def _skipped(self, salts: np.ndarray, turn: int) -> np.ndarray:
+        return (_mix(salts ^ np.uint64(turn)) < self.least) | (self.dropout >= 1)
+
+    def _merge(self, words: list[str], salts: np.ndarray | None) -> tuple[list[bytes], np.ndarray]:
+        """Piece ids of words of about one length, as bytes, and the numbers of their candidates; without salts none is skipped."""
         sizes = np.array(list(map(len, words)))
         n, width = len(words), int(sizes.max())
         inside = np.arange(width) < sizes[:, None]
@@ -124,19 +137,18 @@ class Encoder:
         if width > 1:
             ranks[:, : width - 1] = self._pair_ranks(ids[:, : width - 1].ravel(), ids[:, 1:width].ravel()).reshape(n, width - 1)
         column, step = np.arange(width + 1), 0
-        salt = _mix(variants.astype(np.uint64) + np.uint64(self.seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        least = np.uint64(min(2**64 - 1, int(self.dropout * 2.0**64)))
+        turns = np.zeros(n, np.int64)
         while len(rows):
             at = ranks.argmin(axis=1)
             best = ranks[np.arange(len(rows)), at]
             alive = best != _NEVER
             if alive.sum() <= 0.7 * len(rows):
                 final[rows[~alive]] = ids[~alive]
-                ids, ranks, rows, at, best, salt = ids[alive], ranks[alive], rows[alive], at[alive], best[alive], salt[alive]
+                ids, ranks, rows, at, best = ids[alive], ranks[alive], rows[alive], at[alive], best[alive]
                 alive = np.ones(len(rows), bool)
-            if self.dropout > 0:
-                place = (np.uint64(step) << np.uint64(40)) | (at.astype(np.uint64) << np.uint64(20)) | best.astype(np.uint64)
-                skipped = alive & ((_mix(salt ^ place) < least) | (self.dropout >= 1))
+            turns[rows] += alive
+            if salts is not None:
+                skipped = alive & self._skipped(salts[rows], step)
                 ranks[skipped, at[skipped]] = _NEVER
                 alive &= ~skipped
             move = np.flatnonzero(alive)
@@ -159,7 +171,54 @@ class Encoder:
         for word, end, odd in zip(words, ends.tolist(), spelt.tolist()):
             out.append(self._spelt(word, flat[start:end]) if odd else raw[4 * start : 4 * end])
             start = end
-        return out
+        return out, turns
+
+    def _merge_all(self, words: list[str], salts: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
+        """As ``_merge``, for words in order of length."""
+        out, turns, at = [], [np.zeros(0, np.int64)], 0
+        while at < len(words):
+            # Words of similar length together; rows times columns stay bounded but for a single long word.
+            part = words[at : at + max(1, min(8192, (1 << 18) // len(words[at])))]
+            while len(part) > 1 and len(part[-1]) > 2 * len(part[0]) + 8:
+                part = part[: len(part) // 2]
+            raw, own = self._merge(part, None if salts is None else salts[at : at + len(part)])
+            out += raw
+            turns.append(own)
+            at += len(part)
+        return out, np.concatenate(turns)
+
+    def _learn(self, words: set[str]) -> None:
+        """Number new words and remember their pieces without skips."""
+        new = sorted(words, key=len)
+        raw, turns = self._merge_all(new)
+        self.numbers.update(zip(new, range(len(self.plain), len(self.plain) + len(new))))
+        self.plain += raw
+        self.turns = np.append(self.turns, turns)
+        # All neighbours at first, and two new ones a merge.
+        self.bounds = np.append(self.bounds, np.array([3 * (len(w) - 1) for w in new], np.int64))
+
+    def _vary(self, docs: list[list[str]], numbers: np.ndarray, salts: np.ndarray) -> tuple[list[int], list[bytes]]:
+        """Places of all words one of whose candidates is skipped, and their pieces."""
+        skips = np.zeros(len(numbers), np.uint64)
+
+        def look(at: np.ndarray, until: np.ndarray) -> None:
+            for turn in range(min(64, int(until.max(initial=0)))):
+                at, until = at[until > turn], until[until > turn]
+                skips[at] |= self._skipped(salts[at], turn).astype(np.uint64) << np.uint64(turn)
+
+        turns, bounds = self.turns[numbers], self.bounds[numbers]
+        look(np.flatnonzero(turns > 0), turns[turns > 0])
+        places = np.flatnonzero((skips > 0) | (turns > 64))  # until its first skip a word goes the way without skips
+        look(places, bounds[places])
+        codes = np.where(bounds > 64, salts, skips)[places]  # skips that fill no more than a number, or what they follow from
+        keys = list(zip(numbers[places].tolist(), codes.tolist()))
+        new = {k: p for k, p in zip(keys, places.tolist()) if k not in self.varied}
+        if new:
+            words = [w for doc in docs for w in doc]
+            todo = sorted(new.items(), key=lambda kp: len(words[kp[1]]))
+            raw, _ = self._merge_all([words[p] for _, p in todo], salts[[p for _, p in todo]])
+            self.varied.update(zip((k for k, _ in todo), raw))
+        return places.tolist(), list(map(self.varied.__getitem__, keys))
 
     def _spelt(self, word: str, ids: np.ndarray) -> bytes:
         """Ids with the bytes of unknown characters in their places."""
@@ -169,23 +228,20 @@ class Encoder:
 
     def encode(self, texts: list[str | None], keys: list[int]) -> list[bytes]:
         """Piece ids of each text as 32-bit integers."""
-        marks = []  # every word after a character that names its variant
-        for text, key in zip(texts, keys):
-            words = _SEGMENTS.findall(" " + text) if text else []
-            variant = _mix(np.arange(len(words), dtype=np.uint64) + np.uint64(key % 2**64)) % np.uint64(self.variants)
-            marks.append(list(map(str.__add__, (variant.astype(np.uint8) + np.uint8(48)).tobytes().decode("latin-1"), words)))
-        if len(self.cache) > REMEMBERED:
-            self.cache.clear()
-        new = sorted(set().union(*marks) - self.cache.keys(), key=len)
-        at = 0
-        while at < len(new):
-            # Words of similar length together; rows times columns stay bounded but for a single long word.
-            part = new[at : at + max(1, min(8192, (1 << 18) // len(new[at])))]
-            while len(part) > 1 and len(part[-1]) > 2 * len(part[0]) + 8:
-                part = part[: len(part) // 2]
-            self.cache.update(zip(part, self._merge([w[1:] for w in part], np.array([ord(w[0]) for w in part]))))
-            at += len(part)
-        return [b"".join(map(self.cache.__getitem__, doc)) for doc in marks]
+        if len(self.plain) + len(self.varied) > REMEMBERED:
+            self._forget()
+        docs = [_SEGMENTS.findall(" " + text) if text else [] for text in texts]
+        self._learn(set().union(*docs) - self.numbers.keys())
+        numbers = [list(map(self.numbers.__getitem__, doc)) for doc in docs]
+        out = [self.plain[i] for doc in numbers for i in doc]
+        if self.dropout > 0 and out:
+            of_key = _mix(np.array([key % 2**64 for key in keys], np.uint64))
+            seed = np.uint64(self.seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+            salts = np.concatenate([_mix(_mix(np.arange(len(doc), dtype=np.uint64) + k) + seed) for doc, k in zip(docs, of_key)])
+            for place, raw in zip(*self._vary(docs, np.array([i for doc in numbers for i in doc], np.int64), salts)):
+                out[place] = raw
+        ends = np.cumsum([len(doc) for doc in docs]).tolist()
+        return [b"".join(out[end - len(doc) : end]) for doc, end in zip(docs, ends)]
 
     def decode(self, ids: bytes) -> str:
         """The text of piece ids; special pieces have none."""
@@ -224,8 +280,8 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
 
     ``dropout`` 0 gives the vocabulary's own segmentation. Otherwise a
     candidate is skipped with that chance, by a hash of the seed, the
-    document, the word's place and the candidate, so a rerun gives the same
-    ids. Null and empty texts have no pieces. A missing doc_id counts as 0.
+    document, the word's place and the candidate's turn, so a rerun gives the
+    same ids. Null and empty texts have no pieces. A missing doc_id counts as 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(load_pieces(model)))
 

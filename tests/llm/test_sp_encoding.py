@@ -44,6 +44,29 @@ def test_dropout_varies_with_seed_document_and_place_and_repeats():
     assert PUBLIC.decode(ids(one)) == text
 
 
+def test_each_occurrence_of_a_word_has_skips_of_its_own():
+    dropping = Encoder(PIECES, 0.5, seed=3)
+    text = " internationally" * 2000
+    seen = {tuple(ids(dropping.encode(["internationally"], [k])[0])) for k in range(200)}
+    assert len(seen) > 30
+    # Remembered pieces are those that merging each occurrence by itself gives; neighbouring documents are not shifted copies.
+    long = text[1:] + " " + "x" + "internationally" * 5
+    assert dropping.encode([long, "a b", long], [7, 1, 7])[::2] == [Encoder(PIECES, 0.5, seed=3).encode([long], [7])[0]] * 2
+    assert dropping.encode([text[1:]], [7])[0][400:800] not in dropping.encode([text[1:]], [8])[0]
+
+
+def test_remembered_pieces_are_those_of_merging_every_occurrence():
+    words = ["internationally", "the", "segmentation", "a", "verylongwordwithoutanyspaceatall", "日本x"] * 50
+    dropping, docs = Encoder(PIECES, 0.3, seed=3), [[" " + w for w in words]]
+    dropping._learn(set(docs[0]))
+    numbers = np.array([dropping.numbers[w] for w in docs[0]])
+    salts = np.random.default_rng(1).integers(0, 2**64, len(words), np.uint64)
+    got = [dropping.plain[i] for i in numbers]
+    for place, raw in zip(*dropping._vary(docs, numbers, salts)):
+        got[place] = raw
+    assert got == [dropping._merge([w], salts[i : i + 1])[0][0] for i, w in enumerate(docs[0])]
+
+
 def test_the_rate_of_skips_is_the_dropout():
     words = " ".join(f"{a}{b}" for a in "bcdfghjklm" for b in "aeiou")
     pair = lambda e, k: len(ids(e.encode([words], [k])[0]))
