@@ -1,7 +1,7 @@
 """Signature rules for licences, written for texts reduced to lower-case words with single spaces.
 
 A line is ``label priority keyword: pattern``. The keyword is a word that every
-match contains, so a text without it skips the rule. Priority 1 is a notice or
+match contains as a word, so a text without it skips the rule. Priority 1 is a notice or
 grant, 2 a name with its version or an identifier, 3 a bare name, 4 a hint.
 """
 
@@ -23,7 +23,7 @@ mit-0 2 mit: mit no attribution
 x11 3 x11: x11 licen[cs]e
 x11 2 spdx: spdx license identifier x11
 apache-2 1 apache: (?:released|licensed|distributed|available|provided) under (?:the )?(?:terms of the )?apache licen[cs]e version 2(?: 0)?
-apache-2 1 apache: you may not use this file except in compliance with the license .{0,120}apache org licenses license 2 0
+apache-2 1 compliance: you may not use this file except in compliance with the license .{0,120}apache org licenses license 2 0
 apache-2 2 apache: apache licen[cs]e version 2(?: 0)?
 apache-2 2 apache: apache (?:software )?licen[cs]e v?2(?: 0)?
 apache-2 2 apache: apache 2 0(?: licen[cs]ed?)?
@@ -194,7 +194,8 @@ cdla-permissive 2 cdla: cdla permissive(?: [12] 0)?
 cdla-sharing 2 cdla: cdla sharing(?: 1 0)?
 ogl-uk-3 2 government: open government licen[cs]e (?:version |v)?3(?: 0)?
 ogl-uk 3 government: open government licen[cs]e
-etalab-2 2 etalab: (?:etalab|licence ouverte) (?:version |v)?2 0
+etalab-2 2 etalab: etalab (?:version |v)?2 0
+etalab-2 2 ouverte: licence ouverte (?:version |v)?2 0
 etalab 3 ouverte: licence ouverte
 dl-de-by-2 2 dl: dl de by 2 0
 dl-de-zero-2 2 dl: dl de zero 2 0
@@ -258,7 +259,8 @@ sspl-1 2 server: server side public licen[cs]e(?: (?:version |v)?1(?: 0)?)?
 commons-clause 2 clause: commons clause(?: licen[cs]e condition)?(?: (?:version |v)?1 0)?
 polyform-nc 2 polyform: polyform noncommercial licen[cs]e(?: 1 0 0)?
 polyform-shield 2 polyform: polyform shield licen[cs]e(?: 1 0 0)?
-rail 2 rail: (?:creativeml |bigscience |bigcode )?open ?rail(?: [ms])?
+rail 2 rail: (?:creativeml |bigscience |bigcode )?open rail(?: [ms])?
+rail 2 openrail: (?:creativeml |bigscience |bigcode )?openrail(?: [ms])?
 rail 3 responsible: responsible ai licen[cs]e
 beerware 2 beer: beer ware licen[cs]e
 beerware 2 beerware: beerware(?: licen[cs]e)?
@@ -276,8 +278,9 @@ gutenberg 1 ebook: this ebook is for the use of anyone anywhere at no cost and w
 gutenberg 3 gutenberg: project gutenberg licen[cs]e
 proprietary 1 confidential: confidential and proprietary
 proprietary 1 proprietary: proprietary and confidential
-proprietary 1 reproduction: (?:unauthorized|unauthorised) (?:copying|reproduction|distribution|use) .{0,80}(?:strictly )?prohibited
-proprietary 2 prohibited: (?:copying|reproduction|redistribution) .{0,60}without (?:prior |express )?(?:written )?permission .{0,30}prohibited
+proprietary 1 unauthorized: unauthorized (?:copying|reproduction|distribution|use) .{0,80}(?:strictly )?prohibited
+proprietary 1 unauthorised: unauthorised (?:copying|reproduction|distribution|use) .{0,80}(?:strictly )?prohibited
+proprietary 2 permission: (?:copying|reproduction|redistribution) .{0,60}without (?:prior |express )?(?:written )?permission .{0,30}prohibited
 proprietary 3 proprietary: proprietary licen[cs]e
 proprietary 3 eula: end user licen[cs]e agreement eula
 proprietary 3 agreement: end user licen[cs]e agreement
@@ -288,8 +291,8 @@ all-rights-reserved 2 vorbehalten: alle rechte vorbehalten
 some-rights-reserved 3 reserved: some rights reserved
 copyright 4 copyright: copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d)*
 permissive 4 source: open source licen[cs]e
-noncommercial 3 commercial: (?:for )?non ?commercial use only
-noncommercial 3 noncommercial: noncommercial use only
+noncommercial 3 commercial: (?:for )?non commercial use only
+noncommercial 3 noncommercial: (?:for )?noncommercial use only
 research-only 3 research: (?:for )?research (?:use|purposes) only
 academic-only 3 academic: (?:for )?academic (?:use|purposes) only
 dual 4 dual: dual licen[cs]ed
