@@ -4,8 +4,9 @@ Markup is stripped in one pass that gives a line for each block of a page. A
 line weighs as much as its text is long, and nothing if it cannot be main text:
 inside a menu, footer, advert, form, comment section and the like, mostly
 links, or outside the page's article where it marks one. Text lengths are
-summed over windows of three lines. A run of lines begins where the sums surge
-and ends where they dive to nothing; the heaviest run is the main text.
+summed over windows of three lines. A run of lines between dives of the sums to
+nothing is main text if they surge in it; all such runs are kept, from their
+first line on.
 """
 
 from __future__ import annotations
@@ -181,7 +182,7 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
 
 
 def main_lines(lines: list[tuple[str, int, int]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines of the heaviest run between a surge and a dive of the summed weights."""
+    """The lines of all runs between dives of the summed weights in which these surge."""
     top = max((place for _, _, place in lines), default=0)
     weights = []
     for text, linked, place in lines:
@@ -193,19 +194,20 @@ def main_lines(lines: list[tuple[str, int, int]], window: int = WINDOW, surge: i
     for i in range(len(weights) - 1, -1, -1):
         total += weights[i] - (weights[i + window] if i + window < len(weights) else 0)
         sums[i] = total
-    runs, start = [], None
+    runs, first, start = [], None, None
     for i in range(len(weights)):
+        if first is None and weights[i]:
+            first = i  # since the last dive: headline and byline are too short for a surge
         if start is None and sums[i] >= least and weights[i]:
-            start = i
+            start = first
         if start is not None and (sums[i] == 0 or i == len(weights) - 1):
             runs.append((start, i + 1))
             start = None
+        if sums[i] == 0:
+            first = None
     if not runs:  # too little text for a surge
         return [t for (t, _, _), w in zip(lines, weights) if w]
-    if top:
-        return [lines[i][0] for a, b in runs for i in range(a, b) if weights[i]]
-    a, b = max(runs, key=lambda r: sum(weights[r[0] : r[1]]))
-    return [lines[i][0] for i in range(a, b) if weights[i]]
+    return [lines[i][0] for a, b in runs for i in range(a, b) if weights[i]]
 
 
 def main_text(page: str | None) -> str:

@@ -26,6 +26,16 @@ def test_page_without_marks_is_cut_by_its_lines():
     assert main_text(page) == f"Title\n\n{long.strip()}\n\n{long}link\n\nEnd."
 
 
+def test_page_without_marks_keeps_headline_and_both_sides_of_a_list_of_links():
+    long = "Words enough to make the sums of lengths surge, as those of running text do in any page of news."
+    links = "".join(f"<div><a href={i}>Read story number {i}</a></div>" for i in range(5))
+    page = f"""<body><div>Home</div>{links}<h1>A headline of the day</h1><div>By A. Writer</div><div>1 May 2024</div><p>Short lead.</p><p>{long}</p><p>{long} {long}</p>
+    {links}<h2>Second part</h2><p>Also short.</p><p>So is this.</p><p>{long}</p>{links}<div>&copy; Site</div></body>"""
+    head = ["A headline of the day", "By A. Writer", "1 May 2024", "Short lead.", long, f"{long} {long}"]
+    assert main_text(page).split("\n\n") == [*head, "Second part", "Also short.", "So is this.", long]
+    assert main_text(page.replace("By A. Writer", "<a href=w>By A. Writer</a>")).split("\n\n") == [*head[:1], *head[2:], "Second part", "Also short.", "So is this.", long]
+
+
 @pytest.mark.parametrize(("page", "text"), [
     (None, ""), ("", ""), ("plain text", "plain text"), ("<p>a", "a"), ("a < b", "a < b"), ("<article><p>x", "x"), ("<p>a<!-- open", "a"), ("<script>x", ""),
     ("<article>a<div hidden>b</div><div role='navigation'>c</div><p aria-hidden=true>d</p>e</article>", "a\n\ne"), ("</p></div>x", "x"), ("x<", "x<"),
