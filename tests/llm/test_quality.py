@@ -76,3 +76,9 @@ def test_an_identical_rerun_gives_identical_scores(spark, documents):
     labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i, _ in ROWS[:200]], "doc_id bigint, quality int")
     a, b = (quality.train(documents(ROWS[:200]).repartition(n), labels) for n in (1, 3))
     assert a.bias == b.bias and (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
+def test_twenty_thousand_labelled_rows_take_part(spark):
+    docs = spark.range(26_000).selectExpr("id AS doc_id", "CAST(id AS string) AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS quality")
+    assert quality.training_rows(docs, labels).count() == 20_000
