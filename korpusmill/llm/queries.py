@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korpusmill.llm import decontaminate, fingerprints, html_extract, license_scan, line_dedup
-from korpusmill.llm import maxent_lm, near_dedup, quality, sp_encoding, url_filter
+from korpusmill.llm import collocations, decontaminate, fingerprints, html_extract, license_scan, line_dedup
+from korpusmill.llm import maxent_lm, near_dedup, quality, sp_encoding, token_planes, url_filter, whitening
 from korpusmill.llm.common import read
+from korpusmill.session import shared_folder
 
 QUERIES, ORACLES = {}, {}
 
@@ -144,3 +145,40 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_encoding.round_trip(read(spark, sf_dir, "documents"))
+
+
+# --- 11: token ids in files of bit planes
+@_register("op11_token_planes")
+def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    token_planes.write_token_files(read(spark, sf_dir, "documents"), path)
+    return token_planes.read_token_files(spark, path)
+
+
+# --- 12: phrase collocations
+_CUTS = """SELECT c.lang, c.phrase, c.size, c.a, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score, k
+ FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+ JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ') JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')"""
+
+
+@_register("op12_collocations", f"""WITH parts AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({SQL_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+piece_words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM parts),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM piece_words WHERE len(ws) > 0),
+grams AS (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM places, (SELECT unnest([1, 2, 3]) AS size) WHERE i + size - 1 <= len(ws)),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS ws, f AS a FROM counts WHERE size > 1 AND f >= 10),
+cuts AS ({_CUTS}),
+scored AS (SELECT lang, phrase, size, a, arg_min(l, score * 4 + k) AS l, arg_min(r, score * 4 + k) AS r, min(score)::BIGINT AS score FROM cuts GROUP BY lang, phrase, size, a),
+inner_phrases AS (SELECT lang, a AS b, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM candidates WHERE size = 3),
+taken AS (SELECT lang, phrase, max(b) AS b FROM inner_phrases GROUP BY ALL),
+left_over AS (SELECT s.* FROM scored s LEFT JOIN taken t ON s.size = 2 AND t.lang = s.lang AND t.phrase = s.phrase WHERE t.b IS NULL OR 100 * t.b < 50 * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM left_over JOIN totals USING (lang) QUALIFY rank <= 2000""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+# --- 13: embedding whitening
+@_register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
