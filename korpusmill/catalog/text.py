@@ -8,6 +8,7 @@ from korpusmill.catalog import inputs as I
 from korpusmill.catalog import sql as q
 from korpusmill.functions import headers, text, url
 from korpusmill.functions.language import detect_language, lang_to_folder
+from korpusmill.operators import language_profiles as L
 from korpusmill.profiles import KG, RU
 
 QUERIES, ORACLES = {}, {}
@@ -83,6 +84,34 @@ _register(
     SELECT doc_id, language, {q.folder('upper(language)')} AS folder FROM t""",
 )
 
+
+def _detected(spark, d):
+    docs = I.table(spark, d, "documents")
+    profiles = L.learn_profiles(docs)
+    scores = docs.select("doc_id", "text", L.language_scores(F.col("text"), profiles).alias("s"))
+    best = L.best_language(F.col("s"), profiles)
+    sums = [F.col("s")[f"s{i}"].alias(f"score_{lang}") for i, lang in enumerate(profiles.weights)]
+    return scores.select("doc_id", best.alias("detected"), F.when(best.startswith("en"), "en").alias("english"), *sums)
+
+
+_SQL_LANGS = ("de", "en", "es", "fr")
+_register(
+    "language_profiles",
+    _detected,
+    rf"""WITH spelled AS (SELECT doc_id, lang, string_split(' ' || trim(regexp_replace(lower(coalesce(text, '')), '\P{{L}}+', ' ', 'g')) || ' ', '') AS cs FROM documents),
+    grams AS (SELECT doc_id, lang, (unicode(cs[i]) * 961 + unicode(cs[i + 1]) * 31 + unicode(cs[i + 2])) % {L.BUCKETS} AS bucket
+     FROM (SELECT *, unnest(range(1, len(cs) - 1)) AS i FROM spelled)),
+    chosen AS (SELECT doc_id FROM documents WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), text) <= {L.ROWS_A_LANGUAGE}),
+    counted AS (SELECT lang, bucket, count(*) AS n FROM grams WHERE doc_id IN (SELECT doc_id FROM chosen) GROUP BY ALL),
+    totals AS (SELECT lang, sum(n) AS total FROM counted GROUP BY lang),
+    weights AS (SELECT t.lang, b.bucket, CAST(round(ln((coalesce(n, 0) + 1.0) / (total + {L.BUCKETS})) * {L.SCALE}) AS INTEGER) AS w
+     FROM totals t CROSS JOIN (SELECT unnest(range({L.BUCKETS})) AS bucket) b LEFT JOIN counted c ON c.lang = t.lang AND c.bucket = b.bucket),
+    sums AS (SELECT g.doc_id, w.lang, sum(w.w)::BIGINT AS s FROM (SELECT doc_id, bucket FROM grams) g JOIN weights w USING (bucket) GROUP BY ALL),
+    best AS (SELECT doc_id, arg_min(lang, (-s, lang)) AS detected, {', '.join(f"max(s) FILTER (WHERE lang = '{x}') AS score_{x}" for x in _SQL_LANGS)} FROM sums GROUP BY doc_id)
+    SELECT d.doc_id, detected, CASE WHEN detected LIKE 'en%' THEN 'en' END AS english, {', '.join(f"coalesce(score_{x}, 0)::BIGINT AS score_{x}" for x in _SQL_LANGS)}
+    FROM documents d LEFT JOIN best USING (doc_id)""",
+)
+
 # --- header lines
 _LETTERS, _UPPERS = headers.LETTER, headers.UPPER
 SQL_QUALITY = (

@@ -14,26 +14,25 @@ LATIN = r"\p{IsLatin}"
 FOLDERS = {"ru": "russian", "ky": "kyrgyz", "en": "english"}
 
 
-def detect_language(c: Column) -> Column:
-    """ru, ky or en from the scripts in use.
-
-    A Kyrgyz letter decides at once. Otherwise the commoner script does; a
-    text without letters counts as Russian.
-    """
-    t = F.coalesce(c, F.lit(""))
+def script_language(t: Column) -> Column:
+    """en or ru by the commoner script; a text without letters counts as Russian."""
     cyrillic = F.regexp_count(t, F.lit(CYRILLIC))
     latin = F.regexp_count(t, F.lit(LATIN))
     # Letters are only counted in texts that mix the scripts.
     return (
-        F.when(~t.rlike(rf"[^{WS}]"), "ru")
-        .when(t.rlike(KYRGYZ), "ky")
-        .when(~t.rlike(CYRILLIC), F.when(t.rlike(r"\p{L}"), "en").otherwise("ru"))
+        F.when(~t.rlike(CYRILLIC), F.when(t.rlike(r"\p{L}"), "en").otherwise("ru"))
         .when(~t.rlike(LATIN), "ru")
         .when(cyrillic >= latin, "ru")
         .otherwise("en")
     )
 
 
+def detect_language(c: Column) -> Column:
+    """ru, ky or en from the scripts in use; a Kyrgyz letter decides at once, a blank text is Russian."""
+    t = F.coalesce(c, F.lit(""))
+    return F.when(~t.rlike(rf"[^{WS}]"), "ru").when(t.rlike(KYRGYZ), "ky").otherwise(script_language(t))
+
+
 def lang_to_folder(c: Column) -> Column:
     code = F.lower(F.coalesce(c, F.lit("")))
     out = F.lit("other")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +19,13 @@ def rag_header(source_name: Column, section_name: Column) -> Column:
     return F.concat(F.lit("[Document: "), source_name, F.lit("]\n[Section: "), section_name, F.lit("]"))
 
 
-def section_record(source_name: Column, forced_lang: Column | None = None) -> Column:
+def section_record(source_name: Column, forced_lang: Column | None = None, detect: Callable[[Column], Column] = detect_language) -> Column:
     """source_name, content and metadata of a section row.
 
-    The language is the one given; where it is null or empty, the detected one.
+    The language is the one given; where it is null or empty, the one that
+    ``detect`` finds (by script, unless another detector is given).
     """
-    lang = detect_language(F.col("content"))
+    lang = detect(F.col("content"))
     if forced_lang is not None:
         lang = F.coalesce(F.nullif(forced_lang, F.lit("")), lang)
     return F.struct(
@@ -118,9 +121,9 @@ def keep_last(files: DataFrame, order: str, keys: tuple[str, ...] = ("folder", "
     return files.groupBy(*keys).agg(F.max_by(value, F.col(order)).alias("_value")).select(*keys, "_value.*")
 
 
-def majority_language(sections: DataFrame) -> DataFrame:
+def majority_language(sections: DataFrame, detect: Callable[[Column], Column] = detect_language) -> DataFrame:
     """Per document the commonest section language and its folder; ties go by name."""
-    counts = sections.groupBy("doc_id", detect_language(F.col("content")).alias("_lang")).agg(F.count("*").alias("_n"))
+    counts = sections.groupBy("doc_id", detect(F.col("content")).alias("_lang")).agg(F.count("*").alias("_n"))
     return counts.groupBy("doc_id").agg(F.min_by("_lang", F.struct(-F.col("_n"), F.col("_lang"))).alias("language")).select(
         "doc_id", "language", lang_to_folder(F.col("language")).alias("folder")
     )
