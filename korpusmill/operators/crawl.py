@@ -1,13 +1,17 @@
 """Scoped breadth-first closure over page links, for many roots at once.
 
-Every level is one join of the frontier with the link table. Levels are
-written to the shared working folder, so lineage does not grow and a lost
+Links are a table bucketed by URL, visited URLs one bucketed by root and URL
+that grows by a partition a level. So a level shuffles its frontier alone: the
+frontier meets the links in their buckets, what it finds meets the visited in
+theirs. All lie in the shared working folder: lineage does not grow and a lost
 executor costs one task, not the crawl.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from korpusmill.functions.url import canonical_url, looks_like_file, scope_path, url_host, url_path, within_scope
@@ -16,8 +20,6 @@ from korpusmill.profiles import SiteProfile
 from korpusmill.session import shared_folder, store
 
 VISITED = "root_url string, url string, level int"
-#: So many levels become one table, so a deep crawl does not open all its levels at each one.
-PACK = 16
 
 
 def crawl_roots(seeds: DataFrame, profile: SiteProfile, strict_parity: bool = False) -> DataFrame:
@@ -63,48 +65,53 @@ def discover(
     use up the limit; a URL without a page never leads further.
     """
     spark = pages.sparkSession
-    home = shared_folder(spark, "crawl")
-    links = store(link_table(pages, profile, strict_parity), f"{home}/links")
-    roots = store(crawl_roots(seeds, profile, strict_parity), f"{home}/roots")
+    home, name = shared_folder(spark, "crawl"), f"crawl_{uuid.uuid4().hex}"
+    roots = crawl_roots(seeds, profile, strict_parity).where(~looks_like_file(F.col("root_url")))
+    fresh = roots.select("root_url", F.col("root_url").alias("url"), "root_scope")
     fetched = None
     if profile.cap_counts_fetched:
         has_page = pages.where(F.col("html").isNotNull())
         fetched = has_page.select(canonical_url(F.col("url"), profile.strip_default_ports).alias("url")).distinct()
-
-    levels: list[str] = []  # those not yet packed
-    number, packed = 0, None
-    fresh = roots.where(~looks_like_file(F.col("root_url"))).select("root_url", F.col("root_url").alias("url"))
-    while True:
-        visited = _visited(spark, packed, levels)
-        if fetched is not None:
-            fresh = fresh.join(fetched, "url", "left_semi")
-        if max_pages is not None:
-            fresh = _within_limit(fresh, visited, max_pages)
-        path = f"{home}/level-{number:05d}"
-        level = store(fresh.select("root_url", "url", F.lit(number).alias("level")), path)
-        if level.isEmpty():
-            break
-        levels.append(path)
-        number += 1
-        if len(levels) == PACK:
-            together = f"{home}/packed-{number:05d}"
-            store(_visited(spark, packed, levels).repartition(F.col("root_url"), F.col("url")), together)
-            packed, levels = together, []
-        fresh = _next_level(level, links, roots, _visited(spark, packed, levels))
+        fetched = store(fetched, f"{home}/fetched")
+    number = 0
+    try:
+        links = bucketed(link_table(pages, profile, strict_parity), f"{name}_links", f"{home}/links", "url")
+        while True:
+            visited = spark.table(f"{name}_visited") if number else None
+            if fetched is not None:
+                fresh = fresh.join(fetched, "url", "left_semi")
+            if max_pages is not None:
+                fresh = _within_limit(fresh, visited, max_pages)
+            rows = Observation()
+            level = fresh.select("root_url", "url", "root_scope", F.lit(number).alias("level")).observe(rows, F.count("*").alias("n"))
+            bucketed(level, f"{name}_visited", f"{home}/visited", "root_url", "url", partition="level")
+            if not rows.get["n"]:
+                break
+            visited = spark.table(f"{name}_visited")
+            fresh = next_level(visited.where(F.col("level") == number), links, visited)
+            number += 1
+    finally:
+        for table in ("links", "visited"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}_{table}")  # the files stay
     if not number:
-        return level
-    return _visited(spark, packed, levels)
+        return spark.createDataFrame([], VISITED)
+    return spark.read.schema("root_url string, url string, root_scope string, level int").parquet(f"{home}/visited").drop("root_scope")
 
 
-def _visited(spark: SparkSession, packed: str | None, levels: list[str]) -> DataFrame | None:
-    paths = [*([packed] if packed else []), *levels]
-    return spark.read.schema(VISITED).parquet(*paths) if paths else None
+def bucketed(df: DataFrame, name: str, path: str, *keys: str, partition: str | None = None) -> DataFrame:
+    """Adds rows to a table of as many buckets as shuffles have partitions; joins on its keys need no exchange of it."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").mode("append").option("path", path).bucketBy(buckets, *keys)
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(name)
+    return spark.table(name)
 
 
-def _next_level(level: DataFrame, links: DataFrame, roots: DataFrame, visited: DataFrame) -> DataFrame:
-    reached = level.join(roots, "root_url").join(links, "url")
+def next_level(level: DataFrame, links: DataFrame, visited: DataFrame) -> DataFrame:
+    """Links of the level's URLs inside their root's scope that no level holds."""
+    reached = level.select("root_url", "root_scope", "url").join(links, "url")
     inside = reached.where(within_scope(F.col("link_scope"), F.col("root_scope")))
-    found = inside.select("root_url", F.col("link").alias("url")).distinct()
+    found = inside.groupBy("root_url", F.col("link").alias("url")).agg(F.min("root_scope").alias("root_scope"))
     return found.join(visited.select("root_url", "url"), ["root_url", "url"], "left_anti")
 
 

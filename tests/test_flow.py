@@ -50,8 +50,7 @@ def test_crawl_counting_fetched_pages_leaves_out_missing_ones(spark):
     assert found(spark, GRAPH, "https://h.example.org/kg/", KG, max_pages=2) == [(0, "/kg"), (1, "/kg/a")]
 
 
-def test_a_deep_crawl_packs_its_levels(spark, monkeypatch):
-    monkeypatch.setattr("korpusmill.operators.crawl.PACK", 3)
+def test_a_deep_crawl(spark):
     chain = {f"https://h.example.org/kg/{i}": [f"/kg/{i + 1}", f"/kg/{i // 2}", "/kg/hub"] for i in range(8)}
     got = found(spark, chain, "https://h.example.org/kg/0", RU, strict_parity=True)
     assert got == [] or len({u for _, u in got}) == len(got)
