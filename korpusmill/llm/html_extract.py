@@ -1,12 +1,16 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped in one pass that gives a line for each block of a page. A
-line weighs as much as its text is long, and nothing if it cannot be main text:
-inside a menu, footer, advert, form, comment section and the like, mostly
-links, or outside the page's article where it marks one. Text lengths are
-summed over windows of three lines. A run of lines between dives of the sums to
-nothing is main text if they surge in it; all such runs are kept, from their
-first line on.
+Markup is stripped in one pass that gives a line for each block of a page,
+without menus, footers, forms and the like. A line weighs as much as its text
+is long, more in the main part, most in an article, and nothing if it is mostly
+links or a rights notice. Weights are summed over windows of three lines. A run
+of lines between dives of the sums to nothing is main text if they surge in it
+and it does not weigh little beside the heaviest run.
+
+Names of classes and ids that speak of adverts, comments and so on silence
+their element. A name that says other things, too, does not if the element
+holds much text outside links, nor does any name if the element is an article
+with most of the page's text, or if nothing else on the page surges.
 """
 
 from __future__ import annotations
@@ -15,11 +19,16 @@ import html as html_lib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-WINDOW, SURGE = 3, 80
+#: Lines of a window and the summed weight that is a surge; what a character weighs outside, in the main part and in an
+#: article; the share of the heaviest run's weight that others need.
+WINDOW, SURGE, RAISE, RIVAL = 3, 80, (1, 2, 4), 0.25
+#: Characters outside links from which on a doubtful class name alone silences nothing.
+MUCH_TEXT = 200
 
 _RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -34,7 +43,8 @@ _NOISE_TAGS = set(
 _NOISE_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist status".split()
 )
-#: Words of class names and ids. Those of the second set count outside an article only.
+#: Words of class names and ids. Those of the second set count outside an article only. A name that says nothing else
+#: but the third set's words and numbers is certain, any other doubtful.
 _NOISE_WORDS = set(
     "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot promo promos promotion sponsor "
     "sponsored sponsors nav navbar navigation navi menu menus submenu breadcrumb breadcrumbs sidebar sidebars sidenav footer "
@@ -43,6 +53,12 @@ _NOISE_WORDS = set(
     "recommended recommendations widget widgets pagination pager search searchbox searchform paywall skiplink".split()
 )
 _PAGE_NOISE_WORDS = set("header masthead topbar toolbar banner alert alerts copyright legal disclaimer tags toc".split())
+_GENERIC_WORDS = set(
+    "area article bar block body bottom box btn button buttons card col column container content div el element form frame "
+    "group head heading holder icon icons id inline inner item items js layer left link links list main module outer page "
+    "panel part post posts region right row section sidebar site slot small stories story teaser text title top unit view "
+    "wrap wrapper zone".split()
+)
 #: A class name with one of these says something about the page's layout, not about the element.
 _LAYOUT_WORDS = set("has with no without layout enabled disabled".split())
 #: A new block of the kind ends an open one.
@@ -55,24 +71,45 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _RIGHTS = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)", re.I)
 
 
-def _noisy_name(value: str, in_article: bool) -> bool:
+def _noisy_name(value: str, in_article: bool) -> int:
+    """2 if a name is certainly one of boilerplate, 1 if it may be, else 0."""
+    worst = 0
     for name in value.split():
-        words = {w.lower() for w in _PARTS.findall(name)}
-        if not words & _LAYOUT_WORDS and (words & _NOISE_WORDS or not in_article and words & _PAGE_NOISE_WORDS):
-            return True
-    return False
+        words = {w.lower() for w in _PARTS.findall(name) if not w.isdigit()}
+        noisy = words & _NOISE_WORDS or (set() if in_article else words & _PAGE_NOISE_WORDS)
+        if noisy and not words & _LAYOUT_WORDS:
+            worst = max(worst, 2 if words <= _NOISE_WORDS | _PAGE_NOISE_WORDS | _GENERIC_WORDS else 1)
+    return worst
+
+
+@dataclass
+class _Named:
+    """An element with a noisy name: how certain, whether it is an article or main part, the one around it (-1: none), characters outside and inside links."""
+
+    certain: bool
+    body: bool
+    outer: int
+    plain: int = 0
+    linked: int = 0
+
+    def silent(self, total: int) -> bool:
+        if self.certain:
+            return not (self.body and 2 * self.plain > total)
+        return self.plain < MUCH_TEXT or self.linked > self.plain
 
 
 class _Lines:
-    """Lines of one page: text, characters of links in it, and place: 0 elsewhere, 1 main part, 2 article."""
+    """Lines of one page: text, characters of links in it, place (0 elsewhere, 1 main part, 2 article), the noisily named element around it."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.stack: list[tuple[str, bool, int, bool]] = []  # name, noise, place, link
+        self.stack: list[tuple[str, bool, int, bool, bool]] = []  # name, noise, place, link, noisy name
         self.open: Counter[str] = Counter()
         self.noise, self.place, self.link = 0, 0, 0
+        self.named: list[_Named] = []
+        self.around = -1
 
     def text(self, raw: str) -> None:
         if raw and not self.noise:
@@ -85,17 +122,34 @@ class _Lines:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.linked, self.place))
+                self.lines.append((text, self.linked, self.place, self.around))
+                if self.around >= 0:
+                    self.named[self.around].plain += max(0, len(text) - self.linked)
+                    self.named[self.around].linked += self.linked
             self.parts, self.linked = [], 0
 
+    def loud(self) -> list[tuple[str, int, int]]:
+        """All lines but those of silent elements."""
+        total = sum(max(0, len(t) - linked) for t, linked, _, _ in self.lines)
+        silent = [False]  # by number + 1
+        for e in self.named:
+            silent.append(silent[e.outer + 1] or e.silent(total))
+        return [line[:3] for line in self.lines if not silent[line[3] + 1]]
+
     def pop(self) -> None:
-        name, noise, place, link = self.stack.pop()
+        name, noise, place, link, named = self.stack.pop()
         if name not in _INLINE:
             self.end_line()
         self.open[name] -= 1
         self.noise -= noise
         self.link -= link
         self.place = place
+        if named:
+            inner = self.named[self.around]
+            self.around = inner.outer
+            if inner.outer >= 0:  # what it holds is the outer one's, too
+                outer = self.named[inner.outer]
+                outer.plain, outer.linked = outer.plain + inner.plain, outer.linked + inner.linked
 
     def start(self, name: str, attrs: str) -> None:
         if name == "br":
@@ -112,7 +166,7 @@ class _Lines:
         if name in _VOID:
             return
         article = name == "article" or self.place == 2
-        noise, place = name in _NOISE_TAGS or name == "header" and not article, self.place
+        noise, place, doubt = name in _NOISE_TAGS or name == "header" and not article, self.place, 0
         if attrs:
             for m in _ATTR.finditer(attrs):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -125,9 +179,14 @@ class _Lines:
                 elif key == "itemprop":
                     place = 2 if value.lower() == "articlebody" else place
                 elif name not in ("html", "body", "main"):
-                    noise |= _noisy_name(value, article)
+                    doubt = max(doubt, _noisy_name(value, article))
         place = 2 if name == "article" else max(place, 1) if name == "main" else place
-        self.stack.append((name, noise, self.place, name == "a"))
+        if name in _INLINE:  # part of a line
+            noise, doubt = noise or doubt == 2, 0
+        if doubt:
+            self.named.append(_Named(doubt == 2, place > self.place or name == "article", self.around))
+            self.around = len(self.named) - 1
+        self.stack.append((name, noise, self.place, name == "a", doubt > 0))
         self.open[name] += 1
         self.noise += noise
         self.link += name == "a"
@@ -142,7 +201,7 @@ class _Lines:
             self.pop()
 
 
-def page_lines(page: str) -> list[tuple[str, int, int]]:
+def page_lines(page: str) -> _Lines:
     """The page's lines in order. One pass: no part of the page is searched again and again."""
     out, at = _Lines(), 0
     last = {q: page.rfind(q) for q in "\"'"}
@@ -178,40 +237,61 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
     while out.stack:
         out.pop()
     out.end_line()
-    return out.lines
+    return out
+
+
+def _runs(lines: list[tuple[str, int, int]], window: int, surge: int) -> list[tuple[int, int, int]]:
+    """Weight, begin and end of all runs between dives of the summed weights in which these surge; a run lies in one place."""
+    weights = [0 if linked > 0.6 * len(text) or _RIGHTS.match(text) else len(text) * RAISE[place] for text, linked, place in lines]
+    runs, begin = [], 0
+    while begin < len(lines):
+        end = begin
+        while end < len(lines) and lines[end][2] == lines[begin][2]:
+            end += 1
+        own, sums, total = weights[begin:end], [0] * (end - begin), 0
+        for i in range(len(own) - 1, -1, -1):
+            total += own[i] - (own[i + window] if i + window < len(own) else 0)
+            sums[i] = total
+        first, start, dived = None, None, False
+        for i in range(len(own) + 1):
+            dive = i == len(own) or sums[i] == 0
+            if dive:
+                if start is not None:
+                    runs.append((sum(own[start:i]), begin + start, begin + i))
+                first, start, dived = None, None, True
+                continue
+            if first is None and (own[i] or lines[begin][2] and not dived):
+                first = i  # since the last dive: headline and byline are too short for a surge
+            if start is None and sums[i] >= surge and first is not None:
+                start = first
+        begin = end
+    return runs
 
 
 def main_lines(lines: list[tuple[str, int, int]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines of all runs between dives of the summed weights in which these surge."""
-    top = max((place for _, _, place in lines), default=0)
-    weights = []
-    for text, linked, place in lines:
-        light = not top and (linked > 0.6 * len(text) or _RIGHTS.match(text))
-        weights.append(0 if place < top or light else len(text))
-    # In an article every line counts: the smallest text makes a surge, and only other lines make a dive.
-    least = 1 if top else surge
-    sums, total = [0] * len(weights), 0
-    for i in range(len(weights) - 1, -1, -1):
-        total += weights[i] - (weights[i + window] if i + window < len(weights) else 0)
-        sums[i] = total
-    runs, first, start = [], None, None
-    for i in range(len(weights)):
-        if first is None and weights[i]:
-            first = i  # since the last dive: headline and byline are too short for a surge
-        if start is None and sums[i] >= least and weights[i]:
-            start = first
-        if start is not None and (sums[i] == 0 or i == len(weights) - 1):
-            runs.append((start, i + 1))
-            start = None
-        if sums[i] == 0:
-            first = None
-    if not runs:  # too little text for a surge
-        return [t for (t, _, _), w in zip(lines, weights) if w]
-    return [lines[i][0] for a, b in runs for i in range(a, b) if weights[i]]
+    """The lines of all surging runs but those that weigh little beside the heaviest.
+
+    Lines of links and rights notices weigh nothing: a window of them is a
+    dive. Fewer of them stay inside a marked run and go from others. A text too
+    short for any surge counts whole, in the innermost place there is.
+    """
+    runs = _runs(lines, window, surge)
+    plain = [not (linked > 0.6 * len(text) or _RIGHTS.match(text)) for text, linked, _ in lines]
+    if not runs:
+        top = max((place for _, _, place in lines), default=0)
+        return [t for (t, _, place), p in zip(lines, plain) if place == top and (place or p)]
+    least = RIVAL * max(w for w, _, _ in runs)
+    return [lines[i][0] for w, a, b in runs if w >= least for i in range(a, b) if lines[i][2] or plain[i]]
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(main_lines(page_lines(page or "")))
+    read = page_lines(page or "")
+    loud = read.loud()
+    if len(loud) < len(read.lines) and not _runs(loud, WINDOW, SURGE):  # a name silenced what the page is about
+        every = [line[:3] for line in read.lines]
+        if _runs(every, WINDOW, SURGE):
+            loud = every
+    return "\n\n".join(main_lines(loud))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +307,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (page_id, url, html).
 
     Blocks are joined by an empty line, white space in a block becomes one
-    space, character references are decoded. A null or empty page, or one
+    space, character references are decoded. Wherever the page marks its main
+    part, windows, surges and dives choose among the lines of all places; marks
+    raise weights. A null or empty page, or one
     without main text, gives an empty text. Pages are read whole and each for
     itself, so repeated rows give repeated results; other columns are ignored.
     """

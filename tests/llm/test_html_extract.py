@@ -2,7 +2,7 @@ import time
 
 import pytest
 
-from korpusmill.llm.html_extract import extract_main_text, main_text
+from korpusmill.llm.html_extract import extract_main_text, main_lines, main_text
 
 ARTICLE = """<!doctype html><html><head><title>Site</title><style>p{}</style><script>var a="<article>no</article>";</script></head>
 <body class="has-sidebar"><header><h1>Site name</h1></header><nav><a href="/">Home</a></nav><div id="cookieNotice"><p>We use cookies.</p></div>
@@ -61,3 +61,48 @@ def test_every_row_gives_a_row(spark):
     want = [(i, u, main_text(h), len(main_text(h))) for i, u, h, _ in rows]
     assert got == sorted(want, key=repr)
     assert extract_main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+P = "Words enough to make the sums of lengths surge, as those of running text do in any page of news, and in stories of some length."
+STORY = "".join(f"<p>{k}. {P}</p>" for k in range(5))
+TOLD = [f"{k}. {P}" for k in range(5)]
+
+
+def test_a_small_article_does_not_hide_the_story():
+    teaser = "<article><h3>Teaser</h3><p>Read next</p></article>"
+    assert main_text(f"<body><main><h1>Headline</h1>{STORY}{teaser}</main></body>").split("\n\n")[:6] == ["Headline", *TOLD]
+    assert main_text(f"<body><h1>Headline</h1>{STORY}{teaser}</body>").split("\n\n")[:6] == ["Headline", *TOLD]
+    assert main_text(f"<body>{teaser}<div>{STORY}</div>{teaser}</body>").split("\n\n") == TOLD
+
+
+@pytest.mark.parametrize("name", ["social-policy", "search", "notice", "comment", "promotion", "ad", "legal", "tags", "toc", "search-results", "LegalAdvice", "story related"])
+def test_a_noisy_name_on_the_story_weighs_but_does_not_decide(name):
+    for page in (f'<article class="{name}">{STORY}</article>', f'<body><div id="{name}">{STORY}</div><div>Short</div></body>', f'<main class="{name}">{STORY}</main><article><p>Read next</p></article>'):
+        assert [t for t in main_text(page).split("\n\n") if t in TOLD] == TOLD
+
+
+def test_noisy_names_silence_beside_a_story():
+    comments = "".join(f'<article class="comment"><p>{P} {P}</p></article>' for _ in range(20))
+    page = f'''<body><article><h1>Headline</h1>{STORY}<div class="ad-box"><p>{P}</p></div><div class="breaking-promo"><p>Buy</p></div></article>
+    <section class="comments">{comments}</section><div class="cookie-notice">{P}</div><div class="related-posts">{P}</div></body>'''
+    assert main_text(page).split("\n\n") == ["Headline", *TOLD]
+
+
+def test_windows_surges_and_dives_choose_on_marked_pages():
+    links = "".join(f"<li><a href={i}>Read story number {i}</a></li>" for i in range(6))
+    page = f"<body><article><h1>Headline</h1>{STORY}<ul>{links}</ul>{STORY}<p>Note</p></article><div>{P}</div></body>"
+    assert main_text(page).split("\n\n") == ["Headline", *TOLD, *TOLD, "Note"]  # the list is a dive, the notice outside a light run
+    assert main_text(page.replace(links, links[: links.index("</li>") + 5])).split("\n\n")[6] == "Read story number 0"  # one link is none
+    lines = [("Headline", 0, 2), *((t, 0, 2) for t in TOLD), *[("link", 4, 2)] * 3, ("Note", 0, 2), (P, 0, 0)]
+    assert main_lines(lines) == ["Headline", *TOLD]  # no surge after the dive
+    assert main_lines(lines, window=4)[-1] == "Note" and main_lines(lines, surge=16)[-1] == "Note"
+
+
+def test_an_article_of_links_alone_counts_whole():
+    assert main_text("<article><p><a href=a>One</a></p><p><a href=b>Two</a></p></article>") == "One\n\nTwo"
+
+
+def test_deep_noisy_names_are_linear():
+    start = time.perf_counter()
+    main_text('<div class="ad">x' * 100_000)
+    assert time.perf_counter() - start < 6
