@@ -4,8 +4,8 @@ Markup is stripped in one pass that gives a line for each block of a page,
 without menus, footers, forms and the like. A line weighs as much as its text
 is long, more in the main part, most in an article, and nothing if it is mostly
 links or a rights notice. Weights are summed over windows of three lines. A run
-of lines between dives of the sums to nothing is main text if they surge in it
-and it does not weigh little beside the heaviest run.
+of lines between dives of the sums to nothing is main text if they surge in it;
+one in another place than the heaviest run must not weigh little beside that.
 
 Names of classes and ids that speak of adverts, comments and so on silence
 their element. A name that says other things, too, does not if the element
@@ -269,7 +269,7 @@ def _runs(lines: list[tuple[str, int, int]], window: int, surge: int) -> list[tu
 
 
 def main_lines(lines: list[tuple[str, int, int]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines of all surging runs but those that weigh little beside the heaviest.
+    """The lines of all surging runs but those of other places that weigh little beside the heaviest.
 
     Lines of links and rights notices weigh nothing: a window of them is a
     dive. Fewer of them stay inside a marked run and go from others. A text too
@@ -280,8 +280,9 @@ def main_lines(lines: list[tuple[str, int, int]], window: int = WINDOW, surge: i
     if not runs:
         top = max((place for _, _, place in lines), default=0)
         return [t for (t, _, place), p in zip(lines, plain) if place == top and (place or p)]
-    least = RIVAL * max(w for w, _, _ in runs)
-    return [lines[i][0] for w, a, b in runs if w >= least for i in range(a, b) if lines[i][2] or plain[i]]
+    most, at, _ = max(runs, key=lambda r: r[0])
+    kept = [r for r in runs if lines[r[1]][2] == lines[at][2] or r[0] >= RIVAL * most]
+    return [lines[i][0] for _, a, b in kept for i in range(a, b) if lines[i][2] or plain[i]]
 
 
 def main_text(page: str | None) -> str:
