@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +14,8 @@ from korpusmill.session import shared_folder, store
 SIDE = ["doc_id", "side"]
 KEY = [*SIDE, "section_no"]
 NO_PAGE = -1  # every section covers it
-CUT = 24
-CROWDED = 64  # sections on a page beyond which grams are compared first
+#: Pages of a range; characters of the sections that one automaton holds and that one task runs over it, on average.
+PAGES, BLOCK_CHARS, RUN_CHARS = 16, 1 << 20, 1 << 25
 
 
 def first_page(pages: Column) -> Column:
@@ -34,7 +37,7 @@ def dedupe_exact(sections: DataFrame) -> DataFrame:
     return best.select(*SIDE, "_best.*", "position")
 
 
-def dedupe_contained(sections: DataFrame, crowded: int = CROWDED) -> DataFrame:
+def dedupe_contained(sections: DataFrame, block_chars: int = BLOCK_CHARS, run_chars: int = RUN_CHARS) -> DataFrame:
     """Drop sections whose text and pages both lie within another section's.
 
     Takes the result of ``dedupe_exact``. Containment is transitive, so testing
@@ -45,140 +48,128 @@ def dedupe_contained(sections: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """
     home = shared_folder(sections.sparkSession, "contained")
     stored = store(sections, f"{home}/sections")
-    return stored.join(store(contained(stored, home, crowded), f"{home}/drop"), KEY, "left_anti")
+    return stored.join(store(contained(stored, block_chars, run_chars), f"{home}/drop"), KEY, "left_anti")
 
 
-def contained(sections: DataFrame, home: str, crowded: int = CROWDED) -> DataFrame:
-    """Keys of contained sections; ``home`` is a folder for interim tables.
+def contained(sections: DataFrame, block_chars: int = BLOCK_CHARS, run_chars: int = RUN_CHARS) -> DataFrame:
+    """Keys of contained sections.
 
-    Whatever contains a section also covers its first page, so sections meet on
-    that page. On a crowded page they must share the section's rarest gram as
-    well, so that neither a page with many sections nor a phrase all of them
-    share pairs everything with everything.
+    Whatever contains a section also covers its first page. So a document
+    side's sections meet by ranges of pages: those that begin in a range make
+    one Aho-Corasick automaton, and all that touch the range run over it once.
+    A range with more text is dealt to several automata, and those that run
+    over each to several tasks; rows stream past, so a task holds one automaton
+    alone. Sections without a list of pages neither contain nor are contained.
     """
-    base = sections.select(
+    base = sections.where(F.col("page_numbers").isNotNull()).select(
         *KEY, "position", "page_numbers",
         F.length("content").alias("size"),
         normalize_for_dedupe(F.col("content")).alias("norm"),
     ).where("norm != ''")
-    first = F.coalesce(F.array_min("page_numbers"), F.lit(NO_PAGE)).alias("page")
-    place = F.struct(F.col("size"), -F.col("position"))  # containers come first in size, then in place
-    spread = base.select(
-        *SIDE, F.col("section_no").alias("other"), place.alias("b_place"),
-        F.explode(F.array_append("page_numbers", F.lit(NO_PAGE))).alias("page"),
-    )
-    crowd = spread.groupBy(*SIDE, "page").agg(F.count("*").alias("_crowd"))
-    # A cheap necessary condition, so that only texts likely to match travel together.
-    probe = F.substring(F.col("norm"), F.greatest(F.lit(1), F.floor(F.length("norm") / 2).cast("int") - 15), F.lit(32))
-    seekers = base.select(*KEY, first, place.alias("a_place"), probe.alias("probe")).join(crowd, [*SIDE, "page"])
-    seekers = store(seekers, f"{home}/seekers")
-    near = (
-        seekers.where(F.col("_crowd") <= crowded)
-        .join(spread, [*SIDE, "page"])
-        .where(F.col("b_place") > F.col("a_place"))
-        .select(*KEY, "a_place", "probe", "other")
-    )
-    pressed = seekers.where(F.col("_crowd") > crowded).drop("_crowd")
-    pairs = near.unionByName(_sharing_grams(base, pressed))
-
-    inner = base.select(*KEY, F.col("norm").alias("a_norm"), F.col("page_numbers").alias("a_pages"))
-    outer = base.select(
-        *SIDE, F.col("section_no").alias("other"), place.alias("b_place"),
-        F.col("norm").alias("b_norm"), F.col("page_numbers").alias("b_pages"),
-    )
-    likely = pairs.join(outer, [*SIDE, "other"]).where(
-        (F.col("b_place") > F.col("a_place")) & F.contains(F.col("b_norm"), F.col("probe"))
-    )
-    inside = F.contains(F.col("b_norm"), F.col("a_norm")) & (F.size(F.array_except("a_pages", "b_pages")) == 0)
-    return likely.join(inner, KEY).where(inside).select(*KEY).distinct()
-
-
-def _word_pairs() -> tuple[Column, Column]:
-    """Hashes of all adjacent word pairs of a section, and of those it may be found by.
-
-    A section's first and last word may be the end and the start of longer
-    words where it is contained. So every pair is also listed with all ends of
-    its first word and with all starts of its second; of words longer than
-    ``CUT`` the outermost ``CUT`` characters are enough.
-    """
-    words, n = F.col("words"), F.col("n_words")
-    firsts = F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    seconds = F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0)))
-
-    def lengths(word: Column) -> Column:
-        return F.sequence(F.lit(1), F.least(F.length(word), F.lit(CUT)))
-
-    def head(a: Column, b: Column, k: Column) -> Column:
-        return F.xxhash64(F.lit("head"), F.right(a, k), b)
-
-    def tail(a: Column, b: Column, k: Column) -> Column:
-        return F.xxhash64(F.lit("tail"), a, F.left(b, k))
-
-    whole = F.zip_with(firsts, seconds, lambda a, b: F.xxhash64(a, b))
-    ends = F.flatten(F.zip_with(firsts, seconds, lambda a, b: F.transform(lengths(a), lambda k: head(a, b, k))))
-    starts = F.flatten(F.zip_with(firsts, seconds, lambda a, b: F.transform(lengths(b), lambda k: tail(a, b, k))))
-    own_head = head(F.try_element_at(words, F.lit(1)), F.try_element_at(words, F.lit(2)), F.lit(CUT))
-    own_tail = tail(F.try_element_at(words, F.lit(-2)), F.try_element_at(words, F.lit(-1)), F.lit(CUT))
-    inner = F.slice(whole, F.lit(2), F.greatest(n - 3, F.lit(0)))
-    return (
-        F.array_distinct(F.concat(whole, ends, starts)),
-        F.array_distinct(F.concat(inner, F.array(own_head, own_tail))),
-    )
-
-
-def _letter_grams() -> tuple[Column, Column]:
-    """The same with all runs of one to three characters, and the longest of those."""
-    norm = F.col("norm")
-
-    def runs(n: int) -> Column:
-        found = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-        return F.transform(F.array_distinct(found), lambda g: F.xxhash64(g))
-
-    own = F.when(F.length(norm) >= 3, runs(3)).when(F.length(norm) == 2, runs(2)).otherwise(runs(1))
-    return F.concat(runs(1), runs(2), runs(3)), own
-
-
-def _sharing_grams(base: DataFrame, pressed: DataFrame) -> DataFrame:
-    """(section, other) for the sections in ``pressed`` and all that hold their rarest gram.
-
-    Grams are word pairs. Sections of one or two words are looked up by letters
-    instead, as neither of their words need be whole elsewhere.
-    """
-    sides = pressed.select(*SIDE).distinct()
-    words = base.join(sides, SIDE, "left_semi").withColumn("words", F.split("norm", " "))
-    words = words.withColumn("n_words", F.size("words"))
-    short = F.col("n_words") <= 2
-    pairs, inner_pairs = _word_pairs()
-    letters, own_letters = _letter_grams()
-    own = F.when(short, own_letters).otherwise(inner_pairs)
-    seeker = [*KEY, "page", "a_place", "probe"]
-    wanted = words.join(pressed, KEY).select(*seeker, F.explode(own).alias("gram"))
-    # Letters are indexed only where a short section looks for them.
-    with_short = words.where(short).select(*SIDE).distinct()
-    holder = words.select(*KEY, "page_numbers", F.explode(pairs).alias("gram")).unionByName(
-        words.join(with_short, SIDE, "left_semi").select(*KEY, "page_numbers", F.explode(letters).alias("gram"))
-    )
-    counts = holder.groupBy(*SIDE, "gram").agg(F.count("*").alias("_n"))
-    rarest = (
-        wanted.join(counts, [*SIDE, "gram"])
-        .groupBy(*seeker)
-        .agg(F.min(F.struct("_n", "gram")).alias("_best"))
-        .where(F.col("_best._n") > 1)
-        .select(*seeker, F.col("_best.gram").alias("gram"))
+    in_range = lambda page: F.floor(page / PAGES).cast("bigint")
+    own = in_range(F.coalesce(F.array_min("page_numbers"), F.lit(NO_PAGE)))
+    touched = F.array_distinct(F.array_append(F.transform("page_numbers", in_range), in_range(F.lit(NO_PAGE))))
+    spread = base.withColumn("own", own).withColumn("range", F.explode(touched))
+    here = F.col("own") == F.col("range")
+    loads = spread.groupBy(*SIDE, "range").agg(
+        F.sum(F.when(here, F.length("norm")).otherwise(0)).alias("held"), F.sum(F.length("norm")).alias("run")
     )
-    # Pages multiply rows, so only grams still looked for are spread over them.
-    used = rarest.select(*SIDE, "gram").distinct()
-    on_pages = holder.join(used, [*SIDE, "gram"], "left_semi").select(
-        *SIDE,
-        F.col("section_no").alias("other"),
-        "gram",
-        F.explode(F.array_append("page_numbers", F.lit(NO_PAGE))).alias("page"),
+    large = loads.where((F.col("held") > block_chars) | (F.col("run") > run_chars)).select(
+        *SIDE, "range", F.ceil(F.greatest("held", F.lit(1)) / block_chars).alias("blocks"), F.ceil(F.col("run") / run_chars).alias("runs")
     )
-    return (
-        rarest.join(on_pages, [*SIDE, "gram", "page"])
-        .where(F.col("other") != F.col("section_no"))
-        .select(*KEY, "a_place", "probe", "other")
+    dealt = spread.join(large, [*SIDE, "range"], "left")
+
+    def place(block: Column, run: Column, part: Column) -> Column:
+        return F.struct(block.cast("bigint").alias("block"), run.cast("bigint").alias("run"), part.alias("part"))
+
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    zero = F.lit(0)
+    own_block, own_run = F.pmod(F.xxhash64("section_no"), F.col("blocks")), F.pmod(F.xxhash64("section_no", F.lit("run")), F.col("runs"))
+    held = F.when(here, F.transform(upto("runs"), lambda r: place(own_block, r, F.lit(_HELD)))).otherwise(F.array().cast("array<struct<block:bigint,run:bigint,part:int>>"))
+    running = F.transform(upto("blocks"), lambda b: place(b, own_run, F.lit(_RUNS)))
+    places = F.when(F.col("blocks").isNull(), F.array(place(zero, zero, F.when(here, F.lit(_BOTH)).otherwise(F.lit(_RUNS))))).otherwise(F.concat(held, running))
+    group = [*SIDE, "range", "block", "run"]
+    rows = dealt.withColumn("at", F.explode(places)).select(
+        *SIDE, "range", "at.block", "at.run", "at.part", "section_no", "size", "position", "page_numbers", "norm"
     )
+    rows = rows.repartition(*group).sortWithinPartitions(*group, "part")
+    kinds = dict(rows.dtypes)
+    found = rows.mapInArrow(_contained_in_stream, ", ".join(f"{c} {kinds[c]}" for c in KEY))
+    return found.distinct()
+
+
+_BOTH, _HELD, _RUNS = 0, 1, 2
+
+
+class _Block:
+    """The sections of one automaton, and which of them were found inside others."""
+
+    def __init__(self):
+        self.sections: list[tuple] = []  # key, (size, -position), pages
+        self.by_text: dict[str, list[int]] = {}
+        self.waiting: list[tuple] = []
+        self.automaton = None
+        self.found: set[int] = set()
+
+    def add(self, key: tuple, place: tuple, pages: frozenset, text: str) -> None:
+        self.by_text.setdefault(text, []).append(len(self.sections))
+        self.sections.append((key, place, pages))
+
+    def run(self, place: tuple, pages: frozenset, text: str) -> None:
+        if self.automaton is None:
+            from ahocorasick import Automaton
+
+            self.automaton = Automaton()
+            for word, numbers in self.by_text.items():
+                self.automaton.add_word(word, tuple(numbers))
+            self.automaton.make_automaton()
+        if not self.by_text:
+            return
+        seen = set()
+        for _, numbers in self.automaton.iter(text):
+            if numbers in seen:
+                continue
+            seen.add(numbers)
+            for i in numbers:
+                if i not in self.found and place > self.sections[i][1] and self.sections[i][2] <= pages:
+                    self.found.add(i)
+
+    def close(self) -> list[tuple]:
+        if len(self.sections) > 1 or self.automaton is not None:
+            for waiting in self.waiting:
+                self.run(*waiting)
+        return [self.sections[i][0] for i in self.found]
+
+
+def _contained_in_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    group, block = None, _Block()
+    schema = None
+
+    def keys(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], names=KEY)
+
+    for batch in batches:
+        narrow = batch.select(["doc_id", "side", "range", "block", "run", "part", "section_no", "size", "position", "page_numbers"])
+        schema = [batch.schema.field(c) for c in KEY]
+        texts = batch.column(batch.schema.get_field_index("norm"))
+        for row, text in zip(zip(*(c.to_pylist() for c in narrow.columns)), texts):
+            *at, part, section, size, position, pages = row
+            if at != group:
+                if out := block.close():
+                    yield keys(out)
+                group, block = at, _Block()
+            place, pages, text = (size, -position), frozenset(pages), text.as_py()
+            if part != _RUNS:
+                block.add((at[0], at[1], section), place, pages, text)
+            if part == _BOTH:
+                block.waiting.append((place, pages, text))
+            if part == _RUNS:
+                for waiting in block.waiting:
+                    block.run(*waiting)
+                block.waiting = []
+                block.run(place, pages, text)
+    if out := block.close():
+        yield keys(out)
 
 
 def section_order() -> list[Column]:

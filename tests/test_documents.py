@@ -92,9 +92,9 @@ def contained_by_loop(rows):
     return {r[2] for r in kept}
 
 
-@pytest.mark.parametrize("crowded", [0, 2, 512])
-def test_containment_agrees_with_brute_force(spark, crowded):
-    rng = random.Random(crowded + 3)
+@pytest.mark.parametrize("limits", [(), (50, 200), (1, 1), (300, 1 << 25), (1 << 20, 100)])
+def test_containment_agrees_with_brute_force(spark, limits):
+    rng = random.Random(sum(limits) + 3)
     words = ["the", "bank", "shall", "pay", "a", "fee", "т", "ok", "1", "11"]
     rows, texts = [], set()
     for n in range(160):
@@ -106,14 +106,28 @@ def test_containment_agrees_with_brute_force(spark, crowded):
         if text in texts:
             continue
         texts.add(text)
-        pages = sorted(rng.sample(range(1, 4), rng.choice([0, 1, 1, 2, 3])))
+        pages = sorted(rng.sample([1, 2, 3, 15, 16, 40], rng.choice([0, 1, 1, 2, 3])))
         rows.append((1, "left", n, "n", None, pages, text))
     exact = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
-    got = {r.section_no for r in dedupe.dedupe_contained(exact, crowded).collect()}
+    got = {r.section_no for r in dedupe.dedupe_contained(exact, *limits).collect()}
     want = contained_by_loop(rows)
     assert got == want and len(want) < len(rows)
 
 
+def test_containment_of_odd_sections(spark):
+    rows = [(1, "left", 0, "a", None, [1], "a b c"), (1, "left", 1, "b", None, None, "a b"), (1, "left", 2, "c", None, [], "b c"), (1, "left", 3, "d", None, [2], "a"),
+            (2, "left", 4, "e", None, [1], "b"), (1, "right", 5, "f", None, [1], "c"), (1, "left", 6, "g", None, [1], " "), (1, "left", 7, "h", None, None, "q a b c q")]
+    df = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
+    assert {r.section_no for r in dedupe.dedupe_contained(df).collect()} == {0, 1, 3, 4, 5, 6, 7}
+    assert dedupe.dedupe_contained(df.limit(0)).collect() == []
+
+
+def test_one_text_in_very_many_sections(spark):
+    rows = [(1, "left", n, "n", None, [1], f"the same long phrase {n} ends") for n in range(1500)] + [(1, "left", 9000 + n, "n", None, [1], f"phrase {n} ends") for n in range(1500)]
+    df = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
+    assert {r.section_no for r in dedupe.dedupe_contained(df, 5000, 20000).collect()} == set(range(1500))
+
+
 def test_exact_dedupe_keeps_the_first_and_is_stable(spark):
     rows = [(1, "left", 3, "c", None, [2], "Text  a"), (1, "left", 1, "a", None, [1], "text A"), (1, "right", 2, "b", None, [1], "text a"), (1, "left", 2, "x", None, [1], "İ"), (1, "left", 4, "e", None, [], "")]
     once = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
