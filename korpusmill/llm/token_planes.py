@@ -34,9 +34,9 @@ from korpusmill.session import shared_folder, store
 
 END_ID = 1
 #: Ids of a block, ids from which on a file ends with its document, code points a range of documents has on average.
-BLOCK_IDS, FILE_IDS, RANGE_CHARS, MAX_RANGES = 1 << 16, 1 << 22, 8 << 20, 4096
+BLOCK_IDS, FILE_IDS, RANGE_CHARS, MAX_RANGES = 1 << 16, 1 << 21, 8 << 20, 4096
 #: Chunks between blanks whose ids a task remembers; when there are more it forgets all. Longer chunks are not kept.
-REMEMBERED, LONGEST_KEPT = 1_000_000, 64
+REMEMBERED, LONGEST_KEPT = 500_000, 64
 LEVEL = 3
 _MAGIC, _VERSION = b"KMBP", 1
 _HEADER, _FOOTER = "<4sBBBxI", "<QQQQQQII4s"
@@ -64,42 +64,54 @@ def encodes_chunks(tokenizer: str) -> bool:
     return normal == _NORMAL and cut == ("Split", {"Regex": _PATTERN}, "Removed", True) and not added
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of whole texts as packed little-endian numbers, by the tokenizers library.
 
     With the default tokenizer, chunks between blanks are encoded each for
-    itself and remembered, and one mark after a word of ASCII letters is a
-    chunk of its own. Other tokenizers encode each text at once.
+    itself and remembered here, and one mark after an ASCII letter and before a
+    blank is a chunk of its own. Other tokenizers encode each text at once. A
+    broadcast encoder lives, with its memory, as long as a Python worker.
     """
 
     def __init__(self, tokenizer: str, width: int):
-        from tokenizers import Tokenizer
+        self.model, self.kind, self.tokenizer = tokenizer, {2: "H", 4: "I"}[width], None
 
-        self.tokenizer, self.kind, self.known = Tokenizer.from_str(tokenizer), {2: "H", 4: "I"}[width], {"": b""}
-        self.chunked = encodes_chunks(tokenizer)
+    def __reduce__(self):
+        return Encoder, (self.model, {"H": 2, "I": 4}[self.kind])
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self._encode(chunk.decode())
+        if len(chunk) <= LONGEST_KEPT:
+            self[chunk] = ids
+        return ids
 
     def __call__(self, texts: list[str | None], end_id: int) -> list[bytes]:
-        texts, end = [t or "" for t in texts], array(self.kind, [end_id]).tobytes()
+        if not self.tokenizer:
+            from tokenizers import Tokenizer
+
+            self.tokenizer, self.chunked = Tokenizer.from_str(self.model), encodes_chunks(self.model)
+        end = array(self.kind, [end_id]).tobytes()
         if not self.chunked:
-            return [ids + end for ids in self._encode(texts)]
-        chunks = [(t if "<|" in t else t.encode().lower().decode()).replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        found = self.known
-        new = set().union(*chunks) - found.keys()
-        marked = [c for c in new if c[-1] in ".,;:!?" and c[-2:-1].isalpha() and c[:-1].isascii() and c[:-1].isalpha()]
-        learn = list(((new.difference(marked)) | {c[:-1] for c in marked} | {c[-1] for c in marked}) - found.keys())
-        found.update(zip(learn, self._encode(learn)))
-        for c in marked:
-            found[c] = found[c[:-1]] + found[c[-1]]
-        out = [b"".join([*map(found.__getitem__, own), end]) for own in chunks]
-        for c in [*learn, *marked]:
-            if len(c) > LONGEST_KEPT:
-                del found[c]
-        return out
+            return [self._encode(t or "") + end for t in texts]
+        if len(self) > REMEMBERED:
+            self.clear()
+        raw = [(t or "").encode() for t in texts]
+        blob = b"\xff".join([t if b"<|" in t else t.lower() for t in raw] + [b""])  # A-Z alone; a byte that no text holds
+        x = np.frombuffer(blob.replace(b"\n", b" "), np.uint8)
+        apart = _MARK[x[1:-1]] & _LETTER[x[:-2]] & _BLANK[x[2:]] if len(x) > 2 else np.zeros(0, bool)
+        blob = np.insert(x, np.flatnonzero(apart) + 1, 32).tobytes()
+        return [b"".join([*map(self.__getitem__, t.split(b" ")), end]) for t in blob.split(b"\xff")[:-1]]
+
+
+def _bytes_of(some: bytes) -> np.ndarray:
+    return np.isin(np.arange(256), list(some))
+
+
+_MARK, _BLANK = _bytes_of(b".,;:!?"), _bytes_of(b" \xff")
+_LETTER = _bytes_of(bytes(range(97, 123)) + bytes(range(65, 91)))
 
 
 def id_width(tokenizer: str, end_id: int = END_ID) -> int:
@@ -211,9 +223,9 @@ class TokenFile:
 
 
 # --- Spark
-def _encode(tokenizer, width: int, end_id: int, bounds: np.ndarray):
+def _encode(encoder, end_id: int, bounds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer.value, width)
+        encode = encoder.value
         for batch in batches:
             keys, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             # Rows of one key that spans several ranges are dealt to them by their text's hash.
@@ -223,7 +235,7 @@ def _encode(tokenizer, width: int, end_id: int, bounds: np.ndarray):
             bucket = np.where(high > low, bucket, high)
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = encoder([t.as_py() for t in part.column(3)], end_id)
+                ids = encode([t.as_py() for t in part.column(3)], end_id)
                 yield pa.record_batch({
                     "bucket": pa.array(bucket[at : at + 256].astype(np.int32)), "key": part.column(0), "tie": part.column(1),
                     "doc_id": part.column(2), "ids": pa.array(ids, pa.binary()),
@@ -286,7 +298,7 @@ def write_token_files(
     ranges = min(MAX_RANGES, max(1, -(-(chars or 0) // range_chars)))
     bounds = np.array([quantiles[i * MAX_RANGES // ranges - 1] for i in range(1, ranges)] if quantiles else [], np.int64)
     coded = keyed.mapInArrow(
-        _encode(spark.sparkContext.broadcast(model), width, end_id, bounds), "bucket int, key bigint, tie bigint, doc_id bigint, ids binary"
+        _encode(spark.sparkContext.broadcast(Encoder(model, width)), end_id, bounds), "bucket int, key bigint, tie bigint, doc_id bigint, ids binary"
     )
     ordered = coded.repartition(ranges, "bucket").sortWithinPartitions("bucket", "key", "tie", "ids").select("bucket", "doc_id", "ids")
     files = ordered.mapInArrow(_to_files(width, bits, block_ids, file_ids), "file string, content binary")
