@@ -283,19 +283,33 @@ _register(
     rf"""SELECT DISTINCT regexp_extract({q.canonical('url')}, '^[a-z]+://[^/]*') || '/' AS root_url,
     regexp_extract({q.canonical('url')}, '^[a-z]+://[^/]*') || '/' AS url, 0 AS level FROM pages""",
 )
-_register(
-    "crawl_from_pages",
-    lambda spark, d: crawl.discover(
-        _pages(spark, d),
-        _pages(spark, d).select(F.col("url").alias("root_url")).union(
-            _pages(spark, d).select(F.regexp_replace("url", "^([^/]*//[^/]*/[^/]*).*", "$1").alias("root_url"))
-        ).distinct(), RU,
-    ).select("root_url", "url", "level"),
-    rf"""WITH {_SQL_LINKS}, roots AS (SELECT {q.canonical('url')} AS r FROM pages UNION
+
+
+def _page_seeds(spark, d):
+    """Every page's URL as a root, and the first folder of its path."""
+    return _pages(spark, d).select(F.col("url").alias("root_url")).union(
+        _pages(spark, d).select(F.regexp_replace("url", "^([^/]*//[^/]*/[^/]*).*", "$1").alias("root_url"))
+    ).distinct()
+
+
+_REACH = rf"""{_SQL_LINKS}, roots AS (SELECT {q.canonical('url')} AS r FROM pages UNION
       SELECT regexp_extract({q.canonical('url')}, '^[a-z]+://[^/]*/[^/]*') FROM pages),
     reach AS (SELECT r AS root_url, r AS url, 0 AS level FROM roots UNION
-      SELECT r, link, 1 FROM roots JOIN links ON page = r WHERE link <> r AND link LIKE r || '/%')
-    SELECT root_url, url, level FROM reach""",
+      SELECT r, link, 1 FROM roots JOIN links ON page = r WHERE link <> r AND link LIKE r || '/%')"""
+_register(
+    "crawl_from_pages",
+    lambda spark, d: crawl.discover(_pages(spark, d), _page_seeds(spark, d), RU).select("root_url", "url", "level"),
+    f"WITH {_REACH} SELECT root_url, url, level FROM reach",
+)
+_register(
+    "crawl_accounts",
+    lambda spark, d: crawl.crawl_accounts(_pages(spark, d), _page_seeds(spark, d), RU),
+    rf"""WITH {_REACH}, have AS (SELECT DISTINCT {q.canonical('url')} AS url FROM pages),
+    edges AS (SELECT a.root_url, count(*) AS n FROM reach a JOIN (SELECT DISTINCT page, link FROM links) l ON l.page = a.url
+      JOIN reach b ON b.root_url = a.root_url AND b.url = l.link AND (b.level > a.level OR b.level = a.level AND b.url > a.url) GROUP BY 1)
+    SELECT r.root_url, count(*) AS visited, count(*) FILTER (WHERE level > 0) AS discovered, coalesce(any_value(n), 0)::BIGINT AS enqueued,
+     count(*) FILTER (WHERE h.url IS NULL) AS failed, count(h.url) AS saved
+    FROM reach r LEFT JOIN have h ON h.url = r.url LEFT JOIN edges e ON e.root_url = r.root_url GROUP BY r.root_url""",
 )
 _register(
     "crawl_counts",

@@ -10,6 +10,7 @@ executor costs one task, not the crawl.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,9 +58,12 @@ def discover(
     profile: SiteProfile,
     max_pages: int | None = None,
     strict_parity: bool = False,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """(root_url, url, level) of everything reachable from each root in its scope.
 
+    ``links`` may give the ``link_table`` of the pages.
+
     ``max_pages`` limits each root, lower levels first, then by URL. Profiles
     that count fetched pages return only URLs that have a page, and only those
     use up the limit; a URL without a page never leads further.
@@ -75,7 +79,8 @@ def discover(
         fetched = store(fetched, f"{home}/fetched")
     number = 0
     try:
-        links = bucketed(link_table(pages, profile, strict_parity), f"{name}_links", f"{home}/links", "url")
+        links = link_table(pages, profile, strict_parity) if links is None else links
+        links = bucketed(links, f"{name}_links", f"{home}/links", "url")
         while True:
             visited = spark.table(f"{name}_visited") if number else None
             if fetched is not None:
@@ -128,6 +133,33 @@ def _within_limit(fresh: DataFrame, visited: DataFrame | None, max_pages: int) -
     return ranked.join(used, "root_url").where(F.col("_rank") + F.col("_used") <= max_pages).drop("_rank", "_used")
 
 
+def crawl_accounts(pages: DataFrame, seeds: DataFrame, profile: SiteProfile, strict_parity: bool = False) -> DataFrame:
+    """What a crawl of each root did: ``root_url, visited, discovered, enqueued, failed, saved``.
+
+    Pages are visited by level, then by URL. ``discovered`` URLs are those that
+    links led to. ``enqueued`` counts a URL once for every visited page that
+    links to it before it is visited itself, so repeats count. ``failed`` are
+    visited URLs without a fetched page, which lead no further; ``saved`` are
+    the others. So visited = failed + saved, and enqueued >= discovered.
+    """
+    links = store(link_table(pages, profile, strict_parity), shared_folder(pages.sparkSession, "crawl-links"))
+    every = replace(profile, cap_counts_fetched=False)
+    seen = discover(pages, seeds, every, None, strict_parity, links)
+    place = F.struct("level", "url")
+    to = seen.select("root_url", F.col("url").alias("link"), place.alias("to"))
+    edges = seen.select("root_url", "url", place.alias("at")).join(links.select("url", "link").distinct(), "url").join(to, ["root_url", "link"])
+    enqueued = edges.where(F.col("to") > F.col("at")).groupBy("root_url").agg(F.count("*").alias("enqueued"))
+    fetched = pages.where(F.col("html").isNotNull()).select(canonical_url(F.col("url"), profile.strip_default_ports).alias("url"), F.lit(1).alias("_page")).distinct()
+    counts = seen.join(fetched, "url", "left").groupBy("root_url").agg(
+        F.count("*").alias("visited"),
+        F.count_if(F.col("level") > 0).alias("discovered"),
+        F.count_if(F.col("_page").isNull()).alias("failed"),
+        F.count("_page").alias("saved"),
+    )
+    repeats = F.coalesce("enqueued", F.lit(0)).cast("bigint").alias("enqueued")
+    return counts.join(enqueued, "root_url", "left").select("root_url", "visited", "discovered", repeats, "failed", "saved")
+
+
 def crawl_counts(discovered: DataFrame, records: DataFrame) -> DataFrame:
     """Per root: URLs discovered and pages saved."""
     saved = records.select(F.col("url"), F.lit(1).alias("_saved")).distinct()

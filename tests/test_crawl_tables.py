@@ -3,7 +3,7 @@ import uuid
 
 import pytest
 
-from korpusmill.operators.crawl import bucketed, discover, next_level
+from korpusmill.operators.crawl import bucketed, crawl_accounts, discover, next_level
 from korpusmill.profiles import EN, RU
 from korpusmill.session import shared_folder
 
@@ -45,6 +45,18 @@ def test_fetched_pages_alone_lead_on(spark):
     assert {u for u, _ in levels(spark, links, EN)} == {f"{HOST}/r", f"{HOST}/r/a", f"{HOST}/r/b"}
 
 
+@pytest.mark.parametrize("profile", [EN, RU])
+def test_accounts_add_up(spark, profile):
+    links = {"": ["a", "b", "a"], "a": ["b", "c", "gone", ""], "b": ["c", "gone", "a"], "c": ["d", "a"], "d": ["c", "gone"], "far": ["a"]}
+    pages = pages_of(spark, links).unionByName(spark.createDataFrame([(99, f"{HOST}/r/gone", None), (98, f"{HOST}/r/a/?x=1", "<a href='/r/b'>n</a>")], "page_id bigint, url string, html string"))
+    roots = spark.createDataFrame([(f"{HOST}/r",), (f"{HOST}/r/far",), (f"{HOST}/nothing",)], "root_url string")
+    got = {r["root_url"].removeprefix(HOST): tuple(r)[1:] for r in crawl_accounts(pages, roots, profile).collect()}
+    order = {u.removeprefix(f"{HOST}/r").strip("/"): (k, u) for u, k in plain_levels({p: [t for t in to if t] for p, to in links.items()})}
+    repeats = sum(order[t] > order[p] for p, to in links.items() if p in order for t in set(to) if t in order)
+    assert got["/r"] == (6, 5, repeats, 1, 5) and repeats > 5
+    assert got["/r/far"] == (1, 0, 0, 0, 1) and got["/nothing"] == (1, 0, 0, 1, 0)
+
+
 def test_no_roots_and_no_pages(spark):
     empty = pages_of(spark, {"": []}).limit(0)
     none = spark.createDataFrame([], "root_url string")
