@@ -219,21 +219,16 @@ _register(
 
 
 def _key_ranks(spark, d):
-    """Numeric order of dotted keys, checked as each key's neighbour."""
-    keys = I.table(spark, d, "lineitem").select(
-        F.concat_ws(".", (F.col("l_orderkey") % 120).cast("string"), F.col("l_linenumber").cast("string")).alias("k")
-    ).distinct()
-    head = F.element_at(F.split("k", r"\."), 1)
-    return ordering.row_number_in_blocks(
-        keys.withColumn("g", F.lit("all")), ["g"], F.length(head).cast("bigint"), [pairing.key_order(F.col("k"))], "rank"
-    ).select("k", "rank")
+    """Numeric order of all dotted keys of the orders, as one group."""
+    keys = I.table(spark, d, "lineitem").select(F.concat_ws(".", "l_orderkey", "l_linenumber").alias("k")).distinct()
+    return ordering.row_number_in_ranges(keys.withColumn("g", F.lit("all")), ["g"], [pairing.key_order(F.col("k"))], "rank").select("k", "rank")
 
 
 _register(
     "numeric_key_order",
     _key_ranks,
-    """WITH k AS (SELECT DISTINCT (l_orderkey % 120) || '.' || l_linenumber AS k FROM lineitem)
-    SELECT k, row_number() OVER (ORDER BY split_part(k, '.', 1)::INT, split_part(k, '.', 2)::INT) AS rank FROM k""",
+    """WITH k AS (SELECT DISTINCT l_orderkey || '.' || l_linenumber AS k FROM lineitem)
+    SELECT k, row_number() OVER (ORDER BY split_part(k, '.', 1)::BIGINT, split_part(k, '.', 2)::BIGINT) AS rank FROM k""",
 )
 
 # --- tables of contents

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import normalize_multiline
+from korpusmill.session import shared_folder, store
 
 BLOCK = 4096
 
@@ -67,6 +68,23 @@ def row_number_in_blocks(
     return joined.withColumn(out, F.col("_before") + local).drop("_block", "_before")
 
 
+def in_ranges(df: DataFrame, keys: list[str], order: list[Column], ranges: int | None = None) -> DataFrame:
+    """A stored table with ``_block``: ranges of group and sort key between splitters that Spark samples.
+
+    Block numbers never fall as groups and sort keys rise, and a group of any
+    size is split wherever its sort keys differ.
+    """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *map(F.col, keys), *order)
+    return store(dealt.withColumn("_block", F.spark_partition_id().cast("bigint")), shared_folder(spark, "ranges"))
+
+
+def row_number_in_ranges(df: DataFrame, keys: list[str], order: list[Column], out: str, ranges: int | None = None) -> DataFrame:
+    """Position in the group, however many of its rows share a page or any other part of the sort key."""
+    return row_number_in_blocks(in_ranges(df, keys, order, ranges), keys, F.col("_block"), order, out)
+
+
 def concat_lines(df: DataFrame, keys: list[str], order: str = "line_no", block: int = BLOCK) -> DataFrame:
     """Per group: its lines in order as one text, and its sorted pages.
 

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.text import ascii_digits
-from korpusmill.operators.dedupe import KEY, first_page, section_order
-from korpusmill.operators.ordering import row_number_in_blocks
+from korpusmill.operators.dedupe import KEY, section_order
+from korpusmill.operators.ordering import row_number_in_ranges
 from korpusmill.session import shared_folder, store
 
-PAGE_BLOCK = 64
-
 
 def key_order(key: Column) -> Column:
     """Dotted keys as number lists, 2 before 10; the numbers may have any length."""
@@ -26,13 +24,12 @@ def key_order(key: Column) -> Column:
 def number_sections(sections: DataFrame) -> DataFrame:
     """Add ``place``, the position on the document side in output order.
 
-    What is sorted has no texts, so a document whose sections all begin on one
-    page is a list of names.
+    What is sorted has no texts. It is dealt by ranges of the whole sort key,
+    so a document whose sections all begin on one page is split, too.
     """
-    block = F.floor(first_page(F.col("page_numbers")) / PAGE_BLOCK).cast("bigint").alias("_pages")
-    narrow = sections.select(*KEY, block, *(c.alias(f"_by{i}") for i, c in enumerate(section_order())))
+    narrow = sections.select(*KEY, *(c.alias(f"_by{i}") for i, c in enumerate(section_order())))
     by = [F.col(f"_by{i}") for i in range(len(section_order()))]
-    placed = row_number_in_blocks(narrow, ["doc_id", "side"], F.col("_pages"), by, "place")
+    placed = row_number_in_ranges(narrow, ["doc_id", "side"], by, "place")
     return sections.join(placed.select(*KEY, "place"), KEY)
 
 

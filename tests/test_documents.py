@@ -82,6 +82,29 @@ def test_running_count_over_blocks(spark, inclusive):
     assert {r.t for r in got} == {17}
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 7])
+def test_ranks_of_one_large_group(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [("g" if rng.random() < 0.9 else f"h{rng.randrange(3)}", rng.randrange(40), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, a int, b int").repartition(5)
+    by = [F.col("a"), F.desc("b")]
+    got = {(r.k, r.a, r.b): r.n for r in ordering.row_number_in_ranges(df, ["k"], by, "n", ranges).collect()}
+    want, seen = {}, {}
+    for k, a, b in sorted(rows, key=lambda r: (r[0], r[1], -r[2])):
+        seen[k] = want[k, a, b] = seen.get(k, 0) + 1
+    assert got == want
+    blocks = ordering.in_ranges(df, ["k"], by, ranges).where("k = 'g'").groupBy("_block").count().collect()
+    assert len(blocks) >= min(ranges, 2) and max(r["count"] for r in blocks) < 600 / ranges * 1.6
+
+
+def test_sections_of_one_page_are_placed_in_several_ranges(spark):
+    rows = [(1, "left", n, f"name {n % 50:03d}", None, [1], "x" * (n % 7 + 1) + str(n)) for n in range(400)]
+    exact = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
+    got = {r.section_no: r.place for r in pairing.number_sections(exact).collect()}
+    order = sorted(rows, key=lambda r: (r[3], -len(r[6]), r[2]))
+    assert got == {r[2]: i + 1 for i, r in enumerate(order)}
+
+
 def contained_by_loop(rows):
     """Sections that survive when each is compared with all larger or earlier ones."""
     norm = {r[2]: " ".join(r[6].split()).lower() for r in rows}
