@@ -8,7 +8,7 @@ from korpusmill.catalog import inputs as I
 from korpusmill.catalog import sql as q
 from korpusmill.catalog.text import SQL_QUALITY, sql_section_key, sql_toc_key
 from korpusmill.functions.headers import section_key
-from korpusmill.operators import dedupe, layout, naming, ordering, pairing, sections, toc
+from korpusmill.operators import dedupe, layout, naming, ordering, pairing, rejects, sections, toc
 from korpusmill.plans import pdf_corpus
 from korpusmill.session import shared_folder
 from korpusmill.sinks.files import read_section_files, write_section_files
@@ -83,6 +83,58 @@ _register(
     CAST(least(page_count, CASE WHEN doc_id % 4 <> 0 THEN doc_id % 50 + 1 ELSE page_count END) AS INTEGER) AS page_to FROM page_counts""",
 )
 
+
+
+def _requests(spark, d):
+    """What is asked of each document: some ranges end before they start, some paths are no PDFs, some lack their number of pages."""
+    k = F.col("doc_id")
+    name = F.when(k % 11 == 3, ".docx").when(k % 2 == 0, ".PDF").otherwise(".pdf")
+    return I.page_counts(spark, d).select(
+        "doc_id",
+        F.when(k % 13 != 5, F.concat(F.lit("d"), k.cast("string"), name)).alias("path"),
+        F.when(k % 3 != 0, (k % 7 - 1).cast("int")).alias("page_from"),
+        F.when(k % 4 != 0, (k % 50 + 1).cast("int")).alias("page_to"),
+        F.when(k % 17 != 9, F.col("page_count")).alias("page_count"),
+    )
+
+
+def _accepted(spark, d):
+    good, bad = rejects.accept_requests(_requests(spark, d))
+    columns = ["doc_id", "path", "page_from", "page_to", "reason"]
+    return good.withColumn("reason", F.lit(None).cast("string")).select(columns).unionByName(bad.select(columns))
+
+
+_register(
+    "page_requests",
+    _accepted,
+    f"""WITH {I.LINES}, page_counts AS (SELECT doc_id, max(page) AS n FROM lines GROUP BY doc_id),
+    asked AS (SELECT doc_id, CASE WHEN doc_id % 13 <> 5 THEN 'd' || doc_id || CASE WHEN doc_id % 11 = 3 THEN '.docx' WHEN doc_id % 2 = 0 THEN '.PDF' ELSE '.pdf' END END AS path,
+     CASE WHEN doc_id % 3 <> 0 THEN doc_id % 7 - 1 END::INTEGER AS page_from, CASE WHEN doc_id % 4 <> 0 THEN doc_id % 50 + 1 END::INTEGER AS page_to,
+     CASE WHEN doc_id % 17 <> 9 THEN n END AS n FROM page_counts),
+    judged AS (SELECT *, greatest(1, coalesce(page_from, 1))::INTEGER AS a, least(n, coalesce(page_to, n))::INTEGER AS b,
+     CASE WHEN path IS NULL THEN 'no path' WHEN NOT ends_with(lower(path), '.pdf') THEN 'not a PDF: ' || path END AS p FROM asked),
+    reasons AS (SELECT *, CASE WHEN n IS NULL THEN 'unknown number of pages' WHEN n > 0 AND a > b THEN 'invalid page range ' || a || ' to ' || b || ' of ' || n END AS r FROM judged),
+    said AS (SELECT *, nullif(concat_ws('; ', p, r), '') AS reason FROM reasons)
+    SELECT doc_id, path, CASE WHEN reason IS NULL THEN a ELSE page_from END AS page_from, CASE WHEN reason IS NULL THEN b ELSE page_to END AS page_to, reason FROM said""",
+)
+
+
+def _toc_requests(spark, d):
+    """Every page that holds contents, and pages before and behind the document."""
+    k = F.col("doc_id")
+    asked = I.page_counts(spark, d).select(k, F.explode(F.array(F.lit(0), F.lit(1), F.lit(7), F.col("page_count"), F.col("page_count") + 1)).alias("toc_page"))
+    good, bad = rejects.accept_toc_pages(asked, I.page_counts(spark, d))
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad.select("doc_id", "toc_page", "reason"))
+
+
+_register(
+    "toc_page_requests",
+    _toc_requests,
+    f"""WITH {I.LINES}, page_counts AS (SELECT doc_id, max(page) AS n FROM lines GROUP BY doc_id),
+    asked AS (SELECT doc_id, n, unnest([0, 1, 7, n, n + 1])::INTEGER AS toc_page FROM page_counts)
+    SELECT doc_id, toc_page, CASE WHEN toc_page < 1 OR toc_page > n THEN 'TOC page out of range: ' || toc_page || ' of ' || n END AS reason FROM asked""",
+)
+
 # --- headers and sections
 _THRESHOLDS = """thresholds AS (SELECT doc_id, side, count(*) FILTER (WHERE font_size > 0) AS n_sizes,
  CASE WHEN count(*) FILTER (WHERE font_size > 0) >= 12 THEN median(font_size) * 1.2::DOUBLE ELSE 0 END::DOUBLE AS threshold
