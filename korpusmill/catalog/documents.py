@@ -57,12 +57,12 @@ _register(
 
 
 def _whole_pages(spark, d):
-    """Left sides only, read as single-column pages."""
-    spans = I.document_spans(spark, d).where("line_x0 < 300")
+    """Both sides, read as single-column pages."""
+    spans = I.document_spans(spark, d).withColumn("line_in_block", F.col("line_in_block") * 2 + F.when(F.col("line_x0") < 300, 0).otherwise(1))
     return layout.lines_from_spans(spans, None, by_position=True).drop("side")
 
 
-_register("lines_whole_page_sorted", _whole_pages, _sql_lines_of("side = 'left'", "trunc(y0 * 10), trunc(x0 * 10), lb"))
+_register("lines_whole_page_sorted", _whole_pages, _sql_lines_of("TRUE", "trunc(y0 * 10), trunc(x0 * 10), lb"))
 
 
 def _page_ranges(spark, d):
@@ -310,6 +310,10 @@ ranked AS (SELECT *, sha1(lower({q.norm_space('content')})) AS h FROM sections),
 toc_uniq AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY doc_id, side, h ORDER BY length(content) DESC, section_no) = 1)"""
 
 
+_COLUMN_SECTIONS = f"{_TOC_SECTIONS}".replace("sides AS (SELECT DISTINCT doc_id, side FROM lines)", f"{I.COLUMN_LINES},\nsides AS (SELECT DISTINCT doc_id, side FROM column_lines)")
+_COLUMN_SECTIONS = _COLUMN_SECTIONS.replace("LEFT JOIN lines l", "LEFT JOIN column_lines l")
+
+
 def _sides_of(sql: str, lines: str) -> str:
     """The check query over the lines of one side."""
     return sql.replace("SELECT DISTINCT doc_id, side FROM lines", f"SELECT DISTINCT doc_id, side FROM lines WHERE {lines}")
@@ -432,22 +436,18 @@ _register(
 )
 
 
-def _left(spark, d):
-    return I.document_lines(spark, d).where("side = 'left'")
-
-
 _register(
     "full_files",
-    lambda spark, d: _record_fields(pdf_corpus.full_files(_left(spark, d), _sources(spark, d))),
-    f"""WITH {I.LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
-     string_agg(text, chr(10) ORDER BY line_no) AS content FROM lines WHERE side = 'left' GROUP BY doc_id),
+    lambda spark, d: _record_fields(pdf_corpus.full_files(I.column_lines(spark, d), _sources(spark, d))),
+    f"""WITH {I.LINES}, {I.COLUMN_LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
+     string_agg(text, chr(10) ORDER BY line_no) AS content FROM column_lines GROUP BY doc_id),
     t AS (SELECT *, {q.language('content')} AS lang FROM s)
     SELECT {_sql_fields('lang', q.folder('lang'), f"{_SQL_STEM} || '.json'")} FROM t""",
 )
 _register(
     "toc_files",
-    lambda spark, d: _record_fields(pdf_corpus.toc_files(_left(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d))),
-    f"""WITH {_sides_of(_TOC_SECTIONS, "side = 'left'")},
+    lambda spark, d: _record_fields(pdf_corpus.toc_files(I.column_lines(spark, d), I.toc_lines(spark, d), _counts(spark, d), _sources(spark, d))),
+    f"""WITH {_COLUMN_SECTIONS},
     l AS (SELECT *, {q.language('content')} AS lang FROM toc_uniq),
     v AS (SELECT doc_id, lang AS major FROM (SELECT doc_id, lang, count(*) AS n FROM l GROUP BY doc_id, lang)
      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) = 1),
@@ -496,24 +496,24 @@ _register(
 
 
 def _contents_lines(spark, d):
-    """Raw lines of the pages whose numbers are those of contents pages, from left spans."""
-    spans = I.document_spans(spark, d).where("line_x0 < 300")
+    """Raw lines of the pages whose numbers are those of contents pages, from the spans of both sides."""
+    spans = I.document_spans(spark, d).withColumn("line_in_block", F.col("line_in_block") * 2 + F.when(F.col("line_x0") < 300, 0).otherwise(1))
     return pdf.toc_page_lines(spans, I.toc_lines(spark, d).select("doc_id", "toc_page").distinct())
 
 
 _register(
     "contents_lines",
     _contents_lines,
-    f"""WITH {I.SPANS}, toc AS (SELECT DISTINCT doc_id, CAST((line_no // 10) // 40 + 1 AS INTEGER) AS toc_page FROM lines WHERE side = 'left' AND line_no % 10 = 0)
-    SELECT s.doc_id, toc_page, line_no, string_agg(' ' || t, '' ORDER BY span_no) AS text FROM spans s JOIN toc ON toc.doc_id = s.doc_id AND toc.toc_page = s.page
-    WHERE side = 'left' AND block_type = 0 GROUP BY s.doc_id, toc_page, line_no""",
+    f"""WITH {I.SPANS}, toc AS (SELECT DISTINCT doc_id, CAST((line_no * 2 + (side = 'right')::INT) // 40 + 1 AS INTEGER) AS toc_page FROM lines)
+    SELECT s.doc_id, toc_page, line_no * 2 + (side = 'right')::INT AS line_no, string_agg(' ' || t, '' ORDER BY span_no) AS text FROM spans s JOIN toc ON toc.doc_id = s.doc_id AND toc.toc_page = s.page
+    WHERE block_type = 0 GROUP BY s.doc_id, toc_page, line_no, side""",
 )
 
 
 def _read_back(spark, d):
     """Files of whole documents, written one by one and read again."""
     path = shared_folder(spark, "section-files")
-    write_section_files(pdf_corpus.full_files(_left(spark, d), _sources(spark, d)), path.removeprefix("file://"))
+    write_section_files(pdf_corpus.full_files(I.column_lines(spark, d), _sources(spark, d)), path.removeprefix("file://"))
     return read_section_files(spark, path).select(
         "folder", "file_name", F.sha1("record.content").alias("digest"), F.col("record.metadata.section_name").alias("section_name"),
         _pages("record.metadata.page_numbers"), F.col("record.metadata.rag_header").alias("rag_header"),
@@ -523,8 +523,8 @@ def _read_back(spark, d):
 _register(
     "files_read_back",
     _read_back,
-    f"""WITH {I.LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
-     string_agg(text, chr(10) ORDER BY line_no) AS content FROM lines WHERE side = 'left' GROUP BY doc_id),
+    f"""WITH {I.LINES}, {I.COLUMN_LINES}, s AS (SELECT doc_id, 'Full Document' AS name, list_sort(list_distinct(list(page))) AS page_numbers,
+     string_agg(text, chr(10) ORDER BY line_no) AS content FROM column_lines GROUP BY doc_id),
     t AS (SELECT *, {q.language('content')} AS lang FROM s),
     f AS (SELECT {_sql_fields('lang', q.folder('lang'), f"{_SQL_STEM} || '.json'")} FROM t)
     SELECT folder, file_name, digest, section_name, pages, rag_header FROM f""",

@@ -7,7 +7,9 @@ the work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import string
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korpusmill.catalog import sql as q
@@ -187,6 +189,16 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def place_in_column() -> Column:
+    """Where a line stands if the sides' lines take turns in one column."""
+    return F.col("line_no") * 2 + F.when(F.col("side") == "right", 1).otherwise(0)
+
+
+def column_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of both sides as single-column documents."""
+    return document_lines(spark, sf_dir).withColumn("line_no", place_in_column()).withColumn("side", F.lit("left"))
+
+
 LINES = f"""raw_lines AS (
  SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS ln
  FROM documents),
@@ -244,22 +256,25 @@ spans AS (
  FROM lines, (SELECT unnest([1, 2, 3]) AS span_no))"""
 
 
-# --- tables of contents: one line per ten lines of a document, every third one wrapped
+COLUMN_LINES = """column_lines AS (SELECT doc_id, 'left' AS side, line_no * 2 + (side = 'right')::INT AS line_no, page, text, is_bold, font_size FROM lines)"""
+
+
+# --- tables of contents: an entry for every line of both sides, with its whole text; every third one wrapped
 def toc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = document_lines(spark, sf_dir).where((F.col("side") == "left") & (F.col("line_no") % 10 == 0))
-    entry = F.col("line_no") / 10
+    lines = document_lines(spark, sf_dir).withColumn("entry", place_in_column())
+    entry = F.col("entry")
     start = F.concat(F.lit(" .... "), F.col("page").cast("string"))
-    head = F.substring("text", 1, 20)
+    head = F.col("text")
     parts = (
         F.when(entry % 3 == 0, F.array(F.concat(F.lit("• "), head), F.concat(F.lit("жана уландысы"), start)))
         .when(entry % 7 == 1, F.array(F.lit("СОДЕРЖАНИЕ"), F.concat(head, start), F.lit("12"), F.lit("–")))
-        .when(entry % 7 == 2, F.array(F.concat(head, start), F.concat(F.upper(head), start), F.concat(head, F.lit(" 9000"))))
+        .when(entry % 7 == 2, F.array(F.concat(head, start), F.concat(F.translate(head, string.ascii_lowercase, string.ascii_uppercase), start), F.concat(head, F.lit(" 9000"))))
         .otherwise(F.array(F.concat(head, start), F.concat(F.lit("Тиркеме"), start)))
     )
     return lines.select(
         "doc_id",
         (F.floor(entry / 40) + 1).cast("int").alias("toc_page"),
-        (F.col("line_no") * 10).alias("base"),
+        (entry * 10).alias("base"),
         F.posexplode(parts).alias("part", "text"),
     ).select("doc_id", "toc_page", (F.col("base") + F.col("part")).alias("line_no"), "text")
 
@@ -270,12 +285,12 @@ def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOC_LINES = LINES + """,
 toc_parts AS (
- SELECT doc_id, (line_no // 10) // 40 + 1 AS toc_page, line_no * 10 AS base, CASE
-  WHEN (line_no // 10) % 3 = 0 THEN ['• ' || left(text, 20), 'жана уландысы .... ' || page]
-  WHEN (line_no // 10) % 7 = 1 THEN ['СОДЕРЖАНИЕ', left(text, 20) || ' .... ' || page, '12', '–']
-  WHEN (line_no // 10) % 7 = 2 THEN [left(text, 20) || ' .... ' || page, upper(left(text, 20)) || ' .... ' || page, left(text, 20) || ' 9000']
-  ELSE [left(text, 20) || ' .... ' || page, 'Тиркеме .... ' || page] END AS parts
- FROM lines WHERE side = 'left' AND line_no % 10 = 0),
+ SELECT doc_id, entry // 40 + 1 AS toc_page, entry * 10 AS base, CASE
+  WHEN entry % 3 = 0 THEN ['• ' || text, 'жана уландысы .... ' || page]
+  WHEN entry % 7 = 1 THEN ['СОДЕРЖАНИЕ', text || ' .... ' || page, '12', '–']
+  WHEN entry % 7 = 2 THEN [text || ' .... ' || page, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || ' .... ' || page, text || ' 9000']
+  ELSE [text || ' .... ' || page, 'Тиркеме .... ' || page] END AS parts
+ FROM (SELECT *, line_no * 2 + (side = 'right')::INT AS entry FROM lines)),
 toc_raw AS (SELECT doc_id, toc_page, base + i AS line_no, parts[i + 1] AS text
  FROM (SELECT *, unnest(range(len(parts))) AS i FROM toc_parts)),
 page_counts AS (SELECT doc_id, max(page) AS page_count FROM lines GROUP BY doc_id)"""
