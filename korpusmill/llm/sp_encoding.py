@@ -5,13 +5,16 @@ its neighbouring symbols; each step pops the best candidate of every agenda. A
 hash of the document, the word's place in it and the candidate's turn decides
 whether it is skipped; if not, its symbols become one. So each occurrence of a
 word has skips of its own; one whose skips are those of another occurrence has
-its pieces, too, and they are remembered. Skipping varies the segmentation, never the text: the pieces of any
+its pieces, too, and they are remembered. Long words, such as texts without a
+blank, take the same turns one word at a time, with a heap as the agenda and
+linked symbols. Skipping varies the segmentation, never the text: the pieces of any
 segmentation decode to it, white space and unknown characters included.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,6 +30,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT, SEED = 0.1, 1
 #: Words whose undropped segmentations a task remembers; when there are more it forgets all.
 REMEMBERED = 300_000
+#: Words of more characters have a heap of their own: a row of ranks costs its length a turn, a heap the logarithm.
+LONG = 1024
 _NEVER = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 #: Pieces begin at spaces and none crosses a line break, so words are encoded each for itself.
@@ -79,6 +84,7 @@ class Encoder:
         rank[self.by_rank] = np.arange(len(rank), dtype=np.int32)
         pairs = [(known[t[:k]], known[t[k:]], rank[i]) for t, i in known.items() for k in range(1, len(t)) if t[:k] in known and t[k:] in known]
         self._fill_table(*(np.array(c, np.int64) for c in zip(*pairs)))
+        self.rank_of: dict[int, int] = {}  # the same table for single pairs, filled with the first long word
         self.decoded = [b"" if t is None else t.replace("▁", " ").encode() for t in pieces.texts]
         for b, i in enumerate(pieces.bytes):
             self.decoded[i] = bytes([b])
@@ -173,13 +179,71 @@ class Encoder:
             start = end
         return out, turns
 
+    def _merge_long(self, word: str, salt: np.uint64 | None) -> tuple[bytes, int]:
+        """As ``_merge``, for one word, in n log n.
+
+        The heap holds rank and place of each candidate as one number, so ties
+        go to the left. A pair that a merge has changed spells more than before
+        and so has another rank: what the heap still holds of it is passed over.
+        """
+        if not self.rank_of:
+            used = self.keys != _EMPTY
+            self.rank_of = dict(zip(self.keys[used].tolist(), self.ranks[used].tolist()))
+        rank_of, by_rank = self.rank_of, self.by_rank.tolist()
+        symbols = self.symbol[np.frombuffer(word.encode("utf-32-le"), np.uint32)]
+        n, never = len(symbols), int(_NEVER)
+        first = self._pair_ranks(symbols[:-1], symbols[1:])
+        places = np.flatnonzero(first != _NEVER)
+        heap = (first[places].astype(np.int64) << 32 | places).tolist()
+        heapq.heapify(heap)
+        ids, ranks = symbols.tolist(), [*first.tolist(), never]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        turn, skips = 0, []
+        while heap:
+            top = heapq.heappop(heap)
+            at, rank = top & 0xFFFFFFFF, top >> 32
+            if ranks[at] != rank:
+                continue
+            if salt is not None:
+                if turn % 65536 == 0:
+                    skips = self._skipped(salt, np.arange(turn, turn + 65536)).tolist()
+                if skips[turn % 65536]:
+                    ranks[at] = never
+                    turn += 1
+                    continue
+            turn += 1
+            gone = after[at]
+            right, left = after[gone], before[at]
+            own = ids[at] = by_rank[rank]
+            ids[gone], ranks[gone], after[at] = -2, never, right
+            ranks[at] = never
+            if right < n:
+                before[right] = at
+                if ids[right] >= 0 and (new := rank_of.get(own << 32 | ids[right])) is not None:
+                    ranks[at] = new
+                    heapq.heappush(heap, new << 32 | at)
+            if left >= 0:
+                ranks[left] = never
+                if ids[left] >= 0 and (new := rank_of.get(ids[left] << 32 | own)) is not None:
+                    ranks[left] = new
+                    heapq.heappush(heap, new << 32 | left)
+        kept = np.array(ids, np.int32)
+        kept = kept[kept != -2]
+        return self._spelt(word, kept) if (kept == -1).any() else kept.tobytes(), turn
+
     def _merge_all(self, words: list[str], salts: np.ndarray | None = None) -> tuple[list[bytes], np.ndarray]:
         """As ``_merge``, for words in order of length."""
         out, turns, at = [], [np.zeros(0, np.int64)], 0
         while at < len(words):
-            # Words of similar length together; rows times columns stay bounded but for a single long word.
-            part = words[at : at + max(1, min(8192, (1 << 18) // len(words[at])))]
-            while len(part) > 1 and len(part[-1]) > 2 * len(part[0]) + 8:
+            if len(words[at]) > LONG:
+                raw, count = self._merge_long(words[at], None if salts is None else salts[at])
+                out.append(raw)
+                turns.append(np.array([count]))
+                at += 1
+                continue
+            # Words of similar length together, so rows times columns stay bounded.
+            part = words[at : at + min(8192, (1 << 18) // len(words[at]))]
+            while len(part[-1]) > min(LONG, 2 * len(part[0]) + 8):
                 part = part[: len(part) // 2]
             raw, own = self._merge(part, None if salts is None else salts[at : at + len(part)])
             out += raw
@@ -244,7 +308,7 @@ class Encoder:
         return [b"".join(out[end - len(doc) : end]) for doc, end in zip(docs, ends)]
 
     def decode(self, ids: bytes) -> str:
-        """The text of piece ids; special pieces have none."""
+        """The text of piece ids, all in the vocabulary; special pieces have none."""
         text = b"".join(map(self.decoded.__getitem__, np.frombuffer(ids, np.int32).tolist())).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
@@ -294,13 +358,18 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """``encoded`` with ``decoded``: the text of ``ids`` (empty for null), as a column that replaces one of its name."""
+    """``encoded`` with ``decoded``: the text of ``ids`` (empty for null), as a column that replaces one of its name.
+
+    Null ids and those outside the vocabulary have no text, as special pieces.
+    """
     shared = encoded.sparkSession.sparkContext.broadcast(vars(load_pieces(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces(**shared.value), 0)
         for batch in _batches(batches):
-            texts = [encoder.decode(np.array(i.as_py() or [], np.int32).tobytes()) for i in batch.column(batch.schema.names.index("ids"))]
+            size = len(encoder.decoded)
+            known = ([i for i in row.as_py() or [] if i is not None and 0 <= i < size] for row in batch.column(batch.schema.names.index("ids")))
+            texts = [encoder.decode(np.array(ids, np.int32).tobytes()) for ids in known]
             kept = {n: c for n, c in zip(batch.schema.names, batch.columns) if n != "decoded"}
             yield pa.RecordBatch.from_pydict(kept | {"decoded": pa.array(texts, pa.string())})
 

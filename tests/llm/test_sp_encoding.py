@@ -90,3 +90,63 @@ def test_batches_do_not_change_the_pieces(dropout):
     together = Encoder(PIECES, dropout).encode(TEXTS, list(range(len(TEXTS))))
     alone = [Encoder(PIECES, dropout).encode([t], [i])[0] for i, t in enumerate(TEXTS)]
     assert together == alone
+
+
+def plain_agenda(word, key, place, dropout, seed):
+    """Every turn looks at all pairs again: the best piece, the leftmost of equals, is merged or, by its hash, skipped."""
+    full = 2**64 - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & full
+        return x ^ (x >> 31)
+
+    salt = mix(mix(place + mix(key) & full) + seed * 0x9E3779B97F4A7C15 & full)
+    known = {t: i for i, t in enumerate(PIECES.texts) if t is not None}
+    symbols, skipped, turn = list(word.replace(" ", "▁")), set(), 0
+    while True:
+        at = [sum(map(len, symbols[:i])) for i in range(len(symbols))]
+        pairs = [(-PIECES.scores[known[a + b]], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in known and (at[i], a, b) not in skipped]
+        if not pairs:
+            return [i for s in symbols for i in ([known[s]] if s in known else [PIECES.bytes[b] for b in s.encode()])]
+        _, i = min(pairs)
+        if mix(salt ^ turn) < int(dropout * 2.0**64):
+            skipped.add((at[i], symbols[i], symbols[i + 1]))
+        else:
+            symbols[i : i + 2] = ["".join(symbols[i : i + 2])]
+        turn += 1
+
+
+@pytest.mark.parametrize("dropout", [0, 0.1, 0.6])
+def test_pieces_are_those_of_a_plain_agenda(dropout):
+    words = ["internationally", "the", "日本x", "aaaaaaaaaaaaaaaaaaa", "don't", "verylongwordwithoutanyspaceatall", "x", "abababababababab"]
+    got = Encoder(PIECES, dropout, seed=3).encode([" ".join(words)], [11])[0]
+    assert ids(got) == [i for place, w in enumerate(words) for i in plain_agenda(" " + w, 11, place, dropout, 3)]
+
+
+LETTERS = "".join(chr(97 + n % 26) for n in np.random.default_rng(5).integers(0, 26 * 40, 40_000)) + "é日本" + "a" * 5000
+
+
+def test_long_words_take_the_turns_of_short_ones(monkeypatch):
+    from korpusmill.llm import sp_encoding
+
+    assert ids(PLAIN.encode([LETTERS], [0])[0]) == PUBLIC.encode(LETTERS)
+    text = LETTERS[:1500] + " internationally 日本x " + "ab" * 700 + " " + LETTERS[-1200:]
+    heaps = [Encoder(PIECES, d, seed=3).encode([text], [4])[0] for d in (0, 0.3, 1)]
+    monkeypatch.setattr(sp_encoding, "LONG", 10**9)
+    assert heaps == [Encoder(PIECES, d, seed=3).encode([text], [4])[0] for d in (0, 0.3, 1)]
+    monkeypatch.setattr(sp_encoding, "LONG", 1)
+    assert heaps == [Encoder(PIECES, d, seed=3).encode([text], [4])[0] for d in (0, 0.3, 1)]
+    assert PLAIN.encode(TEXTS, [0] * len(TEXTS)) == Encoder(PIECES, 0).encode(TEXTS, [0] * len(TEXTS))
+
+
+def test_a_million_letters_without_a_blank():
+    word = LETTERS[:40_000] * 25
+    assert DROPPING.decode(DROPPING.encode([word], [1])[0]) == word
+
+
+def test_ids_outside_the_vocabulary_have_no_text(spark):
+    good = ids(PLAIN.encode(["good text"], [0])[0])
+    rows = [(1, [*good[:2], None, -1, 10**9, *good[2:]]), (2, []), (3, None), (4, [None])]
+    out = decode_documents(spark.createDataFrame(rows, "doc_id bigint, ids array<int>"))
+    assert {r["doc_id"]: r["decoded"] for r in out.collect()} == {1: "good text", 2: "", 3: "", 4: ""}
