@@ -32,3 +32,11 @@ def with_fields(df: DataFrame, ddl: str, drop: tuple[str, ...] = ()) -> StructTy
 def doc_order(c: str = "doc_id") -> Column:
     """doc_id for comparisons; documents without one count as one document after all others."""
     return F.coalesce(F.col(c).cast("bigint"), F.lit(2**63 - 1))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A name for an interim column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

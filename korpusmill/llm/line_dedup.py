@@ -1,10 +1,11 @@
 """Line deduplication by sharded minimal perfect hashing.
 
-Lines never meet in a join. Documents give 128-bit line keys; those that
-several documents share are dealt to shards. Each shard gets a minimal perfect
-hash (a cascade of bit arrays, each holding the keys that are alone in their
-slot) whose slots number compact arrays: fingerprint, count of documents, and
-first document. Batches of line keys probe the arrays of their shard.
+Lines never meet in a join. Documents give 128-bit line keys, which are dealt
+to shards. Each shard counts the documents of its distinct keys and gets a
+minimal perfect hash over them (a cascade of bit arrays, each holding the keys
+that are alone in their slot) whose slots number compact arrays: fingerprint,
+count of documents, and first document. The shard's lines probe the arrays,
+and the counts decide which of them go.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korpusmill.llm.common import SPACE_BYTES, doc_order, with_fields
+from korpusmill.llm.common import SPACE_BYTES, doc_order, free_name, with_fields
 from korpusmill.session import shared_folder, store
 
 MIN_CHARS = 10
-#: Keys a shard holds at most on average while there are fewer shards than MAX_SHARDS, and probes a task takes.
+#: Lines a shard holds on average while there are fewer shards than MAX_SHARDS, and lines beyond which it is cut in slices.
 SHARD_KEYS, MAX_SHARDS, SLICE_PROBES = 1 << 17, 1 << 16, 1 << 20
 
 
@@ -101,35 +102,64 @@ class Lookup:
 _INDEX = "shard int, sizes array<int>, bits binary, prints binary, counts binary, firsts binary"
 
 
-def _build_shard(table: pa.Table) -> pa.Table:
-    hi, lo = (table[c].to_numpy().view(np.uint64) for c in ("hi", "lo"))
+_TALLY = "shard int, hi bigint, lo bigint, n bigint, first bigint"
+
+
+def _distinct(hi: np.ndarray, lo: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of key, then ``within``, and where in this order a key begins."""
+    order = np.lexsort((within, lo, hi))
+    changes = (np.diff(hi[order]) != 0) | (np.diff(lo[order]) != 0)
+    return order, np.flatnonzero(np.append(True, changes))
+
+
+def _tally(lines: pa.Table) -> pa.Table:
+    """Each distinct key of a shard, or of a slice of it, with its number of documents and the first of them."""
+    hi, lo, doc = (lines[c].to_numpy() for c in ("hi", "lo", "doc"))
+    order, starts = _distinct(hi, lo, doc)
+    docs = doc[order]
+    fresh = np.append(True, np.diff(docs) != 0)
+    fresh[starts] = True  # a document that holds the line twice, or has several rows, counts once
+    n, at = np.add.reduceat(fresh.astype(np.int64), starts), order[starts]
+    shard = np.full(len(at), lines["shard"][0].as_py(), np.int32)
+    return pa.table({"shard": shard, "hi": hi[at], "lo": lo[at], "n": n, "first": docs[starts]})
+
+
+def _build_shard(tallies: pa.Table) -> pa.Table:
+    """The arrays of one shard. Slices hold different documents, so their counts add up."""
+    hi, lo, n, first = (tallies[c].to_numpy() for c in ("hi", "lo", "n", "first"))
+    order, starts = _distinct(hi, lo, first)
+    total, at = np.minimum(np.add.reduceat(n[order], starts), 2**31 - 1), order[starts]
+    hi, lo, first = hi[at].view(np.uint64), lo[at].view(np.uint64), first[at]
     sizes, bits, slot = build_hash(hi, lo)
     prints, counts, firsts = np.empty(len(hi), np.uint64), np.empty(len(hi), np.int32), np.empty(len(hi), np.int64)
-    prints[slot], counts[slot], firsts[slot] = lo, table["n"].to_numpy(), table["first"].to_numpy()
-    row = {"shard": [table["shard"][0].as_py()], "sizes": [sizes], "bits": [bits], "prints": [prints.tobytes()], "counts": [counts.tobytes()], "firsts": [firsts.tobytes()]}
+    prints[slot], counts[slot], firsts[slot] = lo, total, first
+    row = {"shard": [tallies["shard"][0].as_py()], "sizes": [sizes], "bits": [bits], "prints": [prints.tobytes()], "counts": [counts.tobytes()], "firsts": [firsts.tobytes()]}
     return pa.table(row, pa.schema([("shard", pa.int32()), ("sizes", pa.list_(pa.int32()))] + [(c, pa.binary()) for c in ("bits", "prints", "counts", "firsts")]))
 
 
-def _probe(probes: pa.Table, index: pa.Table) -> pa.Table:
-    probes = probes.select(["doc", "hi", "lo"])
-    if not index.num_rows or not probes.num_rows:
-        return probes.slice(0, 0)
-    row = {c: index[c][0].as_py() for c in ("sizes", "bits", "prints", "counts", "firsts")}
-    hi, lo = (probes[c].to_numpy().view(np.uint64) for c in ("hi", "lo"))
-    slot = Lookup(row["sizes"], row["bits"]).slots(hi, lo)
-    at = np.maximum(slot, 0)
-    known = (slot >= 0) & (np.frombuffer(row["prints"], np.uint64)[at] == lo)
-    shared = np.frombuffer(row["counts"], np.int32)[at] >= 2
-    later = probes["doc"].to_numpy() > np.frombuffer(row["firsts"], np.int64)[at]
-    return probes.filter(pa.array(known & shared & later))
+def _probe(min_docs: int):
+    def run(lines: pa.Table, index: pa.Table) -> pa.Table:
+        probes = lines.select(["doc", "hi", "lo"])
+        if not index.num_rows or not probes.num_rows:
+            return probes.slice(0, 0)
+        row = {c: index[c][0].as_py() for c in ("sizes", "bits", "prints", "counts", "firsts")}
+        hi, lo = (probes[c].to_numpy().view(np.uint64) for c in ("hi", "lo"))
+        slot = Lookup(row["sizes"], row["bits"]).slots(hi, lo)
+        at = np.maximum(slot, 0)
+        known = (slot >= 0) & (np.frombuffer(row["prints"], np.uint64)[at] == lo)
+        shared = np.frombuffer(row["counts"], np.int32)[at] >= min_docs
+        later = probes["doc"].to_numpy() > np.frombuffer(row["firsts"], np.int64)[at]
+        return probes.filter(pa.array(known & shared & later))
+
+    return run
 
 
-def _cut(min_chars: int):
+def _cut(min_chars: int, doc_name: str, drop_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, n_lines, n_dropped = [], [], []
             names = batch.schema.names
-            for text, drop in zip(batch.column(names.index("text")), batch.column(names.index("_drop"))):
+            for text, drop in zip(batch.column(names.index("text")), batch.column(names.index(drop_name))):
                 text = text.as_py() or ""
                 lines = text.split("\n")
                 n_lines.append(len(lines))
@@ -140,52 +170,60 @@ def _cut(min_chars: int):
                 n_dropped.append(n_lines[-1] - len(lines))
                 kept.append(text)
             new = {"kept_text": pa.array(kept, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
-            old = {n: c for n, c in zip(names, batch.columns) if n not in {*new, "_drop", "_doc"}}
+            old = {n: c for n, c in zip(names, batch.columns) if n not in {*new, drop_name, doc_name}}
             yield pa.RecordBatch.from_pydict(old | new)
 
     return run
 
 
-def shared_line_index(keys: DataFrame) -> tuple[DataFrame, int]:
-    """One row of arrays a shard for ``keys`` (hi, lo, n, first), and the number of shards."""
-    shards = min(MAX_SHARDS, max(1, -(-keys.count() // SHARD_KEYS)))
-    dealt = keys.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInArrow(_build_shard, _INDEX), shards
-
+def dropped_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """Of ``lines`` (doc, hi, lo) those that ``min_docs`` documents hold, but not those of the first of them.
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    A shard is one task that counts, indexes and probes. One with many lines,
+    as a hot line makes it, is cut in slices by document; these are counted
+    each for itself, the counts make one index, and each slice probes a copy.
+    """
+    shards = min(MAX_SHARDS, max(1, -(-lines.count() // SHARD_KEYS)))
+    dealt = lines.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
+    sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / SLICE_PROBES).cast("int").alias("slices"))
+    cuts = sizes.where("slices > 1").collect()  # a row a shard at most
+    hot = lambda: F.broadcast(lines.sparkSession.createDataFrame(cuts, "shard int, slices int"))
+    probe, found = _probe(min_docs), "doc bigint, hi bigint, lo bigint"
+
+    whole = dealt.join(hot(), "shard", "left_anti").groupBy("shard")
+    dropped = whole.applyInArrow(lambda own: probe(own, _build_shard(_tally(own))), found)
+    if cuts:
+        sliced = dealt.join(hot(), "shard").withColumn("slice", F.pmod(F.xxhash64("doc"), "slices").cast("int"))
+        tallies = sliced.groupBy("shard", "slice").applyInArrow(_tally, _TALLY)
+        index = tallies.groupBy("shard").applyInArrow(_build_shard, _INDEX).join(hot(), "shard")
+        index = index.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        probed = sliced.groupBy("shard", "slice").cogroup(index.groupBy("shard", "slice"))
+        dropped = dropped.unionByName(probed.applyInArrow(probe, found))
+    return dropped
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = 2) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``.
 
     A line's key is the line stripped of ASCII white space, A-Z lower-cased.
-    Keys of at least ``min_chars`` code points that several documents hold lose
-    their lines everywhere but in the smallest doc_id. Repeats within that
-    document stay.
+    Keys of at least ``min_chars`` code points that at least ``min_docs``
+    documents hold lose their lines everywhere but in the smallest doc_id.
+    Repeats within that document stay.
 
     A null or empty text is one empty line and stays empty. Rows with one
     doc_id are one document; rows without doc_id are one document that comes
-    last. Empty tables give empty results. Other columns stay, except that the
-    three named ones are replaced. Texts are handled row by row, whole.
+    last. Empty tables give empty results. Other columns stay, whatever their
+    names, except that the three named ones are replaced. Texts are handled
+    row by row, whole.
 
-    A hot line makes a hot shard: shards with many probes are cut in slices by
-    document, each of which gets the shard's arrays. There are at most
-    ``MAX_SHARDS`` shards, so the table of slices is small enough to broadcast.
+    There are at most ``MAX_SHARDS`` shards, so the table of slices is small
+    enough to broadcast.
     """
     spark = docs.sparkSession
     lines = docs.select(doc_order().alias("doc"), F.col("text")).mapInArrow(_emit_keys(min_chars), "doc bigint, hi bigint, lo bigint")
     lines = store(lines, shared_folder(spark, "line-keys"))
-    keys = lines.groupBy("hi", "lo").agg(F.count("*").cast("int").alias("n"), F.min("doc").alias("first"), F.max("doc").alias("last"))
-    keys = store(keys.where("first < last").select("hi", "lo", "n", "first"), shared_folder(spark, "shared-lines"))
-    index, shards = shared_line_index(keys)
-
-    probes = lines.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
-    sizes = probes.groupBy("shard").agg(F.ceil(F.count("*") / SLICE_PROBES).cast("int").alias("slices"))
-    cuts = sizes.where("slices > 1").collect()  # a row a shard at most
-    hot = lambda: F.broadcast(spark.createDataFrame(cuts, "shard int, slices int"))
-    probes = probes.join(hot(), "shard", "left").withColumn("slice", F.coalesce(F.pmod(F.xxhash64("doc"), "slices"), F.lit(0)).cast("int"))
-    index = index.join(hot(), "shard", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
-    probed = probes.groupBy("shard", "slice").cogroup(index.groupBy("shard", "slice")).applyInArrow(_probe, "doc bigint, hi bigint, lo bigint")
-    drop = probed.groupBy("doc").agg(F.collect_list(F.struct("hi", "lo")).alias("_drop")).withColumnRenamed("doc", "_doc")
-
-    joined = docs.withColumn("_doc", doc_order()).join(drop, "_doc", "left")
+    doc_name, drop_name = free_name(docs, "doc"), free_name(docs, "drop")
+    drop = dropped_lines(lines, min_docs).groupBy(F.col("doc").alias(doc_name)).agg(F.collect_list(F.struct("hi", "lo")).alias(drop_name))
+    joined = docs.withColumn(doc_name, doc_order()).join(drop, doc_name, "left")
     schema = with_fields(docs, "kept_text string, n_lines bigint, n_dropped bigint")
-    return joined.mapInArrow(_cut(min_chars), schema)
+    return joined.mapInArrow(_cut(min_chars, doc_name, drop_name), schema)

@@ -8,7 +8,7 @@ SPACE = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
-def expected(rows):
+def expected(rows, min_docs=2):
     key = lambda line: line.strip(SPACE).translate(LOWER)
     order = lambda d: 2**63 - 1 if d is None else d
     holders = {}
@@ -19,7 +19,7 @@ def expected(rows):
     out = []
     for d, t in rows:
         lines = (t or "").split("\n")
-        kept = [x for x in lines if len(holders.get(key(x), ())) < 2 or min(holders[key(x)]) == order(d)]
+        kept = [x for x in lines if len(holders.get(key(x), ())) < min_docs or min(holders[key(x)]) == order(d)]
         out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return sorted(out, key=repr)
 
@@ -45,6 +45,22 @@ def test_matches_brute_force_also_when_shards_are_sliced(documents, monkeypatch,
     assert got(out) == expected(ROWS)
 
 
+@pytest.mark.parametrize("slice_probes", [1 << 20, 3])
+@pytest.mark.parametrize("min_docs", [1, 3, 4, 6])
+def test_counts_of_documents_decide(documents, monkeypatch, slice_probes, min_docs):
+    monkeypatch.setattr(line_dedup, "SLICE_PROBES", slice_probes)
+    want = expected(ROWS, min_docs)
+    assert got(dedup_lines(documents(ROWS), min_docs=min_docs)) == want
+    assert (want == expected(ROWS)) == (min_docs == 1)
+
+
+def test_other_columns_may_have_any_name(documents):
+    docs = documents(ROWS[:4]).withColumnsRenamed({"lang": "_doc", "source": "doc", "score": "drop", "kept": "_drop"})
+    out = dedup_lines(docs)
+    assert out.columns == [*docs.drop("kept_text").columns, "kept_text", "n_lines", "n_dropped"] and got(out) == expected(ROWS[:4])
+    assert {(r["doc"], r["drop"]) for r in out.collect()} == {(r["doc"], r["drop"]) for r in docs.collect()}
+
+
 def test_empty_table(documents):
     assert dedup_lines(documents([])).collect() == []
 
