@@ -11,6 +11,8 @@ from korpusmill.functions.url import canonical_url, category_name
 from korpusmill.operators import crawl, webdocs
 from korpusmill.plans.web_corpus import collect_site
 from korpusmill.profiles import EN, KG, RU
+from korpusmill.session import shared_folder
+from korpusmill.streaming import web_stream
 
 QUERIES, ORACLES = {}, {}
 
@@ -219,6 +221,26 @@ for _keep, _pick in (("first", "arg_min"), ("last", "arg_max")):
         round({_pick}(value, ordinal), 6) AS value FROM visits GROUP BY url""",
     )
 
+
+
+def _streamed_first(spark, d):
+    """Pages by site section, as several batches in an order that is not that of page_id."""
+    section = F.regexp_extract("url", r"^[^/]*//[^/]*(/[^/?#]*)?", 0)
+    pages = _pages(spark, d).select(F.col("page_id").alias("ordinal"), section.alias("url"), F.md5("html").alias("html_md5"))
+    arriving, saved = shared_folder(spark, "arriving"), shared_folder(spark, "saved")
+    pages.repartitionByRange(6, F.xxhash64("ordinal")).write.parquet(arriving)
+    stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    web_stream.save_batches(web_stream.first_by_ordinal(stream), saved).awaitTermination()
+    return web_stream.read_saved(spark, saved, pages.schema)
+
+
+_register(
+    "stream_keep_first",
+    _streamed_first,
+    """WITH p AS (SELECT page_id, regexp_extract(url, '^[^/]*//[^/]*(/[^/?#]*)?', 0) AS url, md5(html) AS html_md5 FROM pages)
+    SELECT min(page_id) AS ordinal, url, arg_min(html_md5, page_id) AS html_md5 FROM p GROUP BY url""",
+)
+
 _register(
     "category_names",
     lambda spark, d: I.rich_pages(spark, d).select(

@@ -14,7 +14,7 @@ from korpusmill.profiles import EN, KG, RU
 from korpusmill.session import shared_folder
 from korpusmill.sinks.files import read_section_files, write_jsonl, write_section_files
 from korpusmill.sources import pdf
-from korpusmill.streaming.web_stream import read_pages, save_stream, stream_documents
+from korpusmill.streaming.web_stream import first_by_ordinal, read_pages, read_saved, save_batches, save_stream, stream_documents
 
 SF = "/root/testdata/sf0.001"
 PAGE = "page_id bigint, url string, html string"
@@ -157,7 +157,46 @@ def test_stream_forgets_urls_beyond_the_horizon(spark, tmp_path):
     assert 2 <= spark.read.json(out).count() < 5
 
 
+VISIT = "ordinal bigint, url string, note string"
+VISITS = [(i, f"u{i % 4}" if i % 7 else None, f"n{i}") for i in range(60, 0, -1)] + [(None, "u0", "none"), (None, "only", "last")]
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_first_of_a_stream_goes_by_ordinal(spark, tmp_path, salts):
+    source, out, place = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = spark.createDataFrame([], VISIT).schema
+    batch = spark.createDataFrame(VISITS, VISIT)
+    want = {r.url: (r.ordinal, r.note) for r in sorted(batch.collect(), key=lambda r: -(r.ordinal or 99))}
+    spark.createDataFrame([], VISIT).write.parquet(source)
+    for at in range(0, len(VISITS), 31):
+        spark.createDataFrame(VISITS[at : at + 31], VISIT).coalesce(1).write.mode("append").parquet(source)
+        stream = first_by_ordinal(spark.readStream.schema(schema).parquet(source), salts=salts)
+        save_batches(stream, out, place).awaitTermination()
+        if at == 0:
+            early = {r.url: r.ordinal for r in read_saved(spark, out, schema).collect()}
+    got = read_saved(spark, out, schema)
+    assert {r.url: (r.ordinal, r.note) for r in got.collect()} == want and got.count() == len(want)
+    assert early["u1"] > want["u1"][0]
+    save_batches(first_by_ordinal(spark.readStream.schema(schema).parquet(source), salts=salts), out, str(tmp_path / "anew")).awaitTermination()
+    assert sorted(map(repr, read_saved(spark, out, schema).collect())) == sorted(map(repr, got.collect()))  # batches run again double nothing
+
+
+def test_first_of_a_stream_forgets_by_timer(spark, tmp_path):
+    source, out, place = (str(tmp_path / n) for n in ("in", "out", "state"))
+    ddl = "ordinal bigint, url string, at timestamp"
+    schema = spark.createDataFrame([], ddl).schema
+    for i, day in enumerate(("2024-01-01", "2024-01-02", "2024-06-01", "2024-06-02", "2024-12-01")):
+        rows = [(10 + i, "u" if i in (0, 1, 4) else "v", day), (i, f"other{i}", day)]
+        spark.createDataFrame(rows, "ordinal bigint, url string, at string").withColumn("at", F.to_timestamp("at")).coalesce(1).write.mode("append").parquet(source)
+        stream = first_by_ordinal(spark.readStream.schema(schema).parquet(source), seen_at="at", salts=1)
+        save_batches(stream, out, place).awaitTermination()
+    given = sorted(r.ordinal for r in spark.read.schema(schema).parquet(out).where("url = 'u'").collect())
+    assert given == [10, 14]  # a day later it is still known, eleven months later it is not
+    assert {r.ordinal for r in read_saved(spark, out, schema).where("url = 'u'").collect()} == {10}
+
+
 QUICK = (
+    "stream_keep_first",
     "normalize_multiline", "trim_footer_noise", "detect_language", "canonical_urls", "join_urls", "page_documents", "url_keep_last",
     "header_sections", "toc_entries", "collision_names",
 )
