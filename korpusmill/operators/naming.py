@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpusmill.functions.language import detect_language, lang_to_folder
 from korpusmill.functions.text import sanitize_filename
+from korpusmill.operators.free_names import MAX_NAME, first_free, with_suffix
 from korpusmill.operators.ordering import BLOCK, row_number_in_blocks
 
-MAX_NAME = 160
-
 
 def rag_header(source_name: Column, section_name: Column) -> Column:
     return F.concat(F.lit("[Document: "), source_name, F.lit("]\n[Section: "), section_name, F.lit("]"))
@@ -56,25 +54,6 @@ def side_file(stem: Column, lang: Column, key: Column | None = None, name: Colum
     return F.concat(F.concat_ws("__", *parts), F.lit(".json"))
 
 
-def _suffixed(base: str, k: int) -> str:
-    suffix = f"__{k}"
-    return base[: MAX_NAME - len(suffix)] + suffix
-
-
-def _first_free_names(family: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one family in order: each takes the first free name, as the ones before it left them."""
-    used, following, names = set(), {}, []
-    family = family.sort_values("_order", kind="stable")
-    for base in family["_base"]:
-        name, k = base, following.get(base.lower(), 2)
-        while name.lower() in used:
-            name, k = _suffixed(base, k), k + 1
-        used.add(name.lower())
-        following[base.lower()] = k
-        names.append(name)
-    return family.assign(_base=names)
-
-
 def unique_names(
     sections: DataFrame, base: Column, order: str, out: str = "file_name", keys: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
@@ -96,15 +75,12 @@ def unique_names(
     mixed = named.groupBy(*family).agg((F.min("_low") != F.max("_low")).alias("_mixed")).where("_mixed")
     simple = named.join(mixed, family, "left_anti")
     simple = row_number_in_blocks(simple, [*keys, "_low"], F.floor(F.col(order) / BLOCK).cast("bigint"), [F.col(order)], "_nth")
-    suffix = F.concat(F.lit("__"), F.col("_nth").cast("string"))
-    cut = F.substring(F.col(out), F.lit(1), F.lit(MAX_NAME) - F.length(suffix))
-    simple = simple.withColumn(out, F.when(F.col("_nth") == 1, F.col(out)).otherwise(F.concat(cut, suffix))).drop("_nth")
+    simple = simple.withColumn(out, with_suffix(F.col(out), F.col("_nth"))).drop("_nth")
 
     clashing = named.join(mixed.drop("_mixed"), family)
-    narrow = clashing.select(*family, F.col(order).alias("_order"), F.col(out).alias("_base"))
-    settled = narrow.groupBy(*family).applyInPandas(_first_free_names, narrow.schema)
-    settled = settled.select(*family, F.col("_order").alias(order), F.col("_base").alias("_settled"))
-    clashing = clashing.join(settled, [*family, order]).withColumn(out, F.col("_settled")).drop("_settled")
+    settled = first_free(clashing.select(*keys, F.col(order).alias("_order"), F.col(out).alias("_base")), [*keys])
+    settled = settled.select(*keys, F.col("_order").alias(order), F.col("_name").alias("_settled"))
+    clashing = clashing.join(settled, [*keys, order]).withColumn(out, F.col("_settled")).drop("_settled")
     return simple.unionByName(clashing).drop("_low", "_family")
 
 
