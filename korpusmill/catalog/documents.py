@@ -553,6 +553,29 @@ _register(
 )
 
 
+def _mixed_collisions(spark, d):
+    """Orders named by year, in mixed case; a quarter already carries the suffix the others need. One document holds a third."""
+    key, base = F.col("o_orderkey"), F.concat(F.lit("Orders of "), F.year("o_orderdate"))
+    base = F.concat(base, F.when(F.col("o_custkey") % 4 == 0, "__2").otherwise(""))
+    rows = I.table(spark, d, "orders").select(
+        F.when(key % 3 == 0, 0).otherwise(F.col("o_custkey") % 20).alias("doc_id"), key.alias("position"),
+        F.when(key % 2 == 0, F.upper(base)).otherwise(base).alias("base"),
+    )
+    return naming.unique_names(rows, F.col("base"), "position").select("doc_id", "position", "file_name")
+
+
+_register(
+    "collision_names_mixed",
+    _mixed_collisions,
+    """WITH n AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey % 20 END AS doc_id, o_orderkey AS position, year(o_orderdate) AS y,
+     o_custkey % 4 = 0 AS suffixed, 'Orders of ' || year(o_orderdate) || CASE WHEN o_custkey % 4 = 0 THEN '__2' ELSE '' END AS name FROM orders),
+    r AS (SELECT *, CASE WHEN position % 2 = 0 THEN upper(name) ELSE name END AS base, row_number() OVER (PARTITION BY doc_id, y, suffixed ORDER BY position) AS k FROM n),
+    f AS (SELECT doc_id, y, min(position) FILTER (suffixed) < coalesce(min(position) FILTER (NOT suffixed AND k = 2), 9e18) AS kept FROM r GROUP BY doc_id, y),
+    s AS (SELECT doc_id, position, base, CASE WHEN suffixed AND NOT kept OR NOT suffixed AND kept AND k > 1 THEN k + 1 ELSE k END AS k FROM r JOIN f USING (doc_id, y))
+    SELECT doc_id, position, CASE WHEN k = 1 THEN base ELSE base || '__' || k END AS file_name FROM s""",
+)
+
+
 def _keyed_headers(spark, d):
     """How many lines carry each key, over all documents."""
     keyed = I.document_lines(spark, d).withColumn("k", section_key(F.col("text"))).where("k is not null")

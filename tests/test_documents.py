@@ -279,6 +279,27 @@ def test_names_that_clash_once_suffixed_match_the_plain_loop(spark):
     assert [got[d] for d in range(len(cases))] == [first_free(names) for names in cases]
 
 
+def test_families_of_a_third_of_all_rows_match_the_plain_loop(spark):
+    rng = random.Random(12)
+    hot = ["Part"] * 900 + [f"part__{k}" for k in range(2, 120)] + ["PART__5__2", "part__01", "part__1", "part__99999999999999999999"]
+    cut = ["z" * 156 + rng.choice("abcd") + "tail"[: rng.randint(0, 3)] for _ in range(300)] + ["z" * 156 + "__30", "z" * 157 + "__4"]
+    late = ["Part"] * 50 + [f"part__{k}" for k in range(2, 40)]
+    early = late[::-1]
+    cases = [rng.sample(hot, len(hot)), rng.sample(cut, len(cut)), late, early]
+    rows = [(d, 7 * i, n) for d, names in enumerate(cases) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id bigint, position bigint, n string").repartition(3)
+    got = {}
+    for r in naming.unique_names(df, F.col("n"), "position").orderBy("doc_id", "position").collect():
+        got.setdefault(r.doc_id, []).append(r.file_name)
+    assert [got[d] for d in range(len(cases))] == [first_free(names) for names in cases]
+
+
+def test_no_python_where_names_clash(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "A"), (1, 3, "a__2")], "doc_id bigint, position bigint, n string")
+    plan = naming.unique_names(df, F.col("n"), "position")._jdf.queryExecution().toString()
+    assert "InPandas" not in plan and "ArrowEval" not in plan
+
+
 def test_equal_stems_of_one_run_get_different_files(spark):
     rows = [(d, "left", 0, 1, f"text {d}", False, 1.0) for d in (1, 2, 3)]
     names = spark.createDataFrame([(1, "a.pdf", "a"), (2, "b/A.pdf", "A"), (3, "a__2.pdf", "a__2")], "doc_id bigint, source_name string, stem string")
