@@ -40,12 +40,15 @@ def _stored(df: DataFrame) -> DataFrame:
     return store(df, shared_folder(df.sparkSession, "free-names"))
 
 
-def _compete(rows: DataFrame, held: DataFrame, keys: list[str], start: int) -> tuple[DataFrame, DataFrame]:
-    """The number of each row of a stem, from ``start`` on, and the held bases that rows before them reach.
+def _compete(rows: DataFrame, held: DataFrame, keys: list[str], start: int) -> tuple[DataFrame, DataFrame | None]:
+    """The number of each row of a stem, from ``start`` on, and the held bases (if any) that earlier rows reach.
 
     ``rows``: keys, _stem, _order. ``held``: keys, _stem, _number, _first, _low.
     """
     stem = [*keys, "_stem"]
+    if held.isEmpty():
+        ranked = row_number_in_ranges(rows, stem, [F.col("_order")], "_rank")
+        return ranked.withColumn("_number", (F.col("_rank") + start - 1).cast("bigint")).drop("_rank"), None
     held = row_number_in_ranges(held, stem, [F.col("_number")], "_nth")
     held = held.withColumn("_free", F.col("_number") - start + 1 - F.col("_nth"))
     ranked = _stored(row_number_in_ranges(rows, stem, [F.col("_order")], "_rank"))
@@ -68,11 +71,12 @@ def _compete(rows: DataFrame, held: DataFrame, keys: list[str], start: int) -> t
         surely = asking.withColumn("_number", F.col("_free") + start).drop("_free")
         surely = held.join(surely, [*stem, "_number"]).where("_asker < _first")
         lost = lost.unionByName(surely.select(*keys, "_low")).distinct()
-    return numbered.drop("_at", "_skip", "_skipped", "_rank"), _stored(lost)
+    lost = _stored(lost)
+    return numbered.drop("_at", "_skip", "_skipped", "_rank"), None if lost.isEmpty() else lost
 
 
-def _round(rows: DataFrame, bases: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Numbers of all rows if ``bases`` keep their names, and the bases that cannot."""
+def _round(rows: DataFrame, bases: DataFrame, keys: list[str], has_long: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """Numbers of all rows if ``bases`` keep their names, and tables of the bases that cannot."""
     suffix = r"(?s)^(.*)__([1-9][0-9]{0,17})$"
     held = bases.where(F.col("_low").rlike(suffix)).withColumns({
         "_stem": F.regexp_extract("_low", suffix, 1), "_number": F.regexp_extract("_low", suffix, 2).cast("bigint"),
@@ -82,24 +86,21 @@ def _round(rows: DataFrame, bases: DataFrame, keys: list[str]) -> tuple[DataFram
     rest = rows.join(first, [*keys, "_low", "_order"], "left_anti")
 
     whole = F.length("_low") <= WHOLE
-    short, lost = _compete(
+    short, early = _compete(
         rest.where(whole).withColumn("_stem", F.col("_low")), held.where(F.length("_stem") <= WHOLE), keys, 2
     )
-    done = [bare, short.drop("_stem")]
-    rest, digits = _stored(rest.where(~whole)), 1
-    while not rest.isEmpty():
+    numbers, lost = bare.unionByName(short.drop("_stem")), [early] if early else []
+    rest, digits = rest.where(~whole), 1
+    while has_long and not rest.isEmpty():
         stems = rest.withColumn("_stem", F.lower(F.left("_base", F.lit(MAX_NAME - 2 - digits))))
         of_length = held.where(F.length(F.col("_number").cast("string")) == digits)
-        numbered, longer_lost = _compete(stems, of_length, keys, max(2, 10 ** (digits - 1)))
-        if not longer_lost.isEmpty():
-            lost = lost.unionByName(longer_lost)
+        numbered, early = _compete(stems, of_length, keys, max(2, 10 ** (digits - 1)))
+        if early:
+            lost.append(early)
             break
         fits = F.col("_number") < 10**digits
-        done.append(numbered.where(fits).drop("_stem"))
+        numbers = numbers.unionByName(numbered.where(fits).drop("_stem"))
         rest, digits = _stored(numbered.where(~fits).drop("_stem", "_number")), digits + 1
-    numbers = done[0]
-    for part in done[1:]:
-        numbers = numbers.unionByName(part)
     return numbers, lost
 
 
@@ -110,8 +111,11 @@ def first_free(rows: DataFrame, keys: list[str]) -> DataFrame:
     if rows.isEmpty():
         return rows.withColumnRenamed("_base", "_name").select(*columns)
     bases = _stored(rows.groupBy(*keys, "_low").agg(F.min("_order").alias("_first")))
+    has_long = not rows.where(F.length("_low") > WHOLE).isEmpty()
     while True:
-        numbers, lost = _round(rows, bases, keys)
-        if lost.isEmpty():
+        numbers, lost = _round(rows, bases, keys, has_long)
+        if not lost:
             return numbers.withColumn("_name", with_suffix(F.col("_base"), F.col("_number"))).select(*columns)
-        bases = _stored(bases.join(lost, [*keys, "_low"], "left_anti"))
+        for some in lost:
+            bases = bases.join(some, [*keys, "_low"], "left_anti")
+        bases = _stored(bases)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from korpusmill.functions.language import detect_language, lang_to_folder
 from korpusmill.functions.text import sanitize_filename
 from korpusmill.operators.free_names import MAX_NAME, first_free, with_suffix
-from korpusmill.operators.ordering import BLOCK, row_number_in_blocks
+from korpusmill.operators.ordering import BLOCK, row_number_in_blocks, row_number_in_ranges
 
 
 def rag_header(source_name: Column, section_name: Column) -> Column:
@@ -55,13 +55,15 @@ def side_file(stem: Column, lang: Column, key: Column | None = None, name: Colum
 
 
 def unique_names(
-    sections: DataFrame, base: Column, order: str, out: str = "file_name", keys: tuple[str, ...] = ("doc_id",)
+    sections: DataFrame, base: Column, order: str, out: str = "file_name", keys: tuple[str, ...] = ("doc_id",),
+    dense: bool = True,
 ) -> DataFrame:
     """Names that differ within a document even when case is ignored.
 
     In the order given, each row takes the first free one of its base,
     ``base__2``, ``base__3`` and so on; the base is cut so that the suffix
-    always fits. ``order`` is unique within the keys.
+    always fits. ``order`` is unique within the keys; if its numbers are far
+    apart (``dense`` false), rows are cut by ranges that Spark samples.
 
     Only names of one family can clash: those equal but for case and numeric
     suffixes, compared by their first characters, which a cut leaves alone. A
@@ -74,7 +76,12 @@ def unique_names(
     family = [*keys, "_family"]
     mixed = named.groupBy(*family).agg((F.min("_low") != F.max("_low")).alias("_mixed")).where("_mixed")
     simple = named.join(mixed, family, "left_anti")
-    simple = row_number_in_blocks(simple, [*keys, "_low"], F.floor(F.col(order) / BLOCK).cast("bigint"), [F.col(order)], "_nth")
+    spelled = [*keys, "_low"]
+    if dense:
+        block = F.floor(F.col(order) / BLOCK).cast("bigint")
+        simple = row_number_in_blocks(simple, spelled, block, [F.col(order)], "_nth")
+    else:
+        simple = row_number_in_ranges(simple, spelled, [F.col(order)], "_nth")
     simple = simple.withColumn(out, with_suffix(F.col(out), F.col("_nth"))).drop("_nth")
 
     clashing = named.join(mixed.drop("_mixed"), family)
@@ -87,7 +94,7 @@ def unique_names(
 def unique_stems(sources: DataFrame) -> DataFrame:
     """Sources of one run whose stems differ: equal ones get suffixes, in the order of a number or a hash of doc_id."""
     place = F.xxhash64("doc_id") if dict(sources.dtypes)["doc_id"] == "string" else F.col("doc_id")
-    named = unique_names(sources.withColumn("_place", place), F.col("stem"), "_place", "stem", ())
+    named = unique_names(sources.withColumn("_place", place), F.col("stem"), "_place", "stem", (), dense=False)
     return named.select(*sources.columns)
 
 

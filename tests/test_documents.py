@@ -294,6 +294,16 @@ def test_families_of_a_third_of_all_rows_match_the_plain_loop(spark):
     assert [got[d] for d in range(len(cases))] == [first_free(names) for names in cases]
 
 
+def test_stems_of_sources_named_by_strings(spark):
+    stems = ["report"] * 40 + ["Report", "other", "report__3"]
+    rows = [(f"id {i}", "s", n) for i, n in enumerate(stems)]
+    df = spark.createDataFrame(rows, "doc_id string, source_name string, stem string")
+    placed = [r.stem for r in df.orderBy(F.xxhash64("doc_id")).collect()]
+    got = naming.unique_stems(df)
+    assert got.columns == df.columns
+    assert [r.stem for r in got.orderBy(F.xxhash64("doc_id")).collect()] == first_free(placed)
+
+
 def test_no_python_where_names_clash(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "A"), (1, 3, "a__2")], "doc_id bigint, position bigint, n string")
     plan = naming.unique_names(df, F.col("n"), "position")._jdf.queryExecution().toString()
