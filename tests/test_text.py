@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import sys
+import time
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -30,6 +31,32 @@ def test_normalize_multiline(apply):
     assert apply(text.normalize_multiline, got) == got
 
 
+def test_normalization_of_any_space_between_and_at_ends(apply):
+    spaces = ["", " ", *SPACES, chr(0x200B), chr(0x2014), chr(0x180E)]
+    values = [f"a{x}{y}b{y}" for x in spaces for y in spaces]
+    assert apply(text.normalize_space, values) == [" ".join(v.split()) for v in values]
+    assert apply(text.normalize_multiline, values) == ["\n".join(" ".join(p.split()) for p in v.splitlines() if p.split()) for v in values]
+
+
+def test_plain_lines_need_no_pattern(spark):
+    """Lines with single blanks must cost less than the pattern for runs of white space alone."""
+    lines = spark.range(20000).select(F.concat_ws(" ", *(F.concat(F.lit("word"), (F.col("id") * i).cast("string")) for i in range(1, 30))).alias("t")).cache()
+    lines.count()
+    inner = rf"[{text.WS}&&[^{text._BREAKS}]]*+"
+    pattern = F.regexp_replace("t", rf" ?[{text.WS}&&[^ {text._BREAKS}]]{inner}| {{2,}}+{inner}", " ")
+
+    def seconds(c):
+        spent = []
+        for _ in range(4):
+            start = time.time()
+            lines.select(F.sum(F.hash(c))).collect()
+            spent.append(time.time() - start)
+        return min(spent)
+
+    assert seconds(text.normalize_multiline(F.col("t"))) < 0.7 * seconds(pattern)
+    lines.unpersist()
+
+
 def test_sha1_norm(apply):
     values = ["  Ысык-Көл \n", "ысык-көл", "Other"]
     want = [hashlib.sha1(" ".join(v.split()).lower().encode()).hexdigest() for v in values]
