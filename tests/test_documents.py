@@ -209,6 +209,46 @@ def test_toc_entries(spark):
     assert got == [(3, "1. Общие ...."), (4, "Содержаниее"), (7, "Очень длинное название раздела на три строки"), (9, "Пункт")]
 
 
+@pytest.mark.parametrize("block", [1, 2, 7, 4096])
+def test_entries_wrapped_over_blocks_match_the_plain_loop(spark, block):
+    rng = random.Random(block)
+    rows = [(d, p, n * 3, rng.choice(["Глава", "о земле", "раздел 4", "Пункт .... 9", "12", "СОДЕРЖАНИЕ", " часть  2 ", "b 77"]))
+            for d in range(3) for p in (1, 2) for n in range(rng.randint(0, 25))]
+    want = {}
+    for d in range(3):
+        for p in (1, 2):
+            waiting = []
+            for line in (" ".join(t.split()) for doc, page, _, t in rows if (doc, page) == (d, p)):
+                if line in ("12", "СОДЕРЖАНИЕ"):
+                    continue
+                waiting.append(line)
+                if re.search(r"[^ ] \d+$", line):
+                    title, number = " ".join(waiting).rsplit(" ", 1)
+                    waiting = []
+                    if int(number) <= 50:
+                        want.setdefault((d, title.lower(), int(number)), title)
+    df = spark.createDataFrame(rows, "doc_id bigint, toc_page int, line_no bigint, text string")
+    counts = spark.createDataFrame([(d, 50) for d in range(3)], "doc_id bigint, page_count int")
+    got = toc.toc_entries(df, counts, block=block).collect()
+    assert sorted((r.doc_id, r.title, r.start_page) for r in got) == sorted((d, t, n) for (d, _, n), t in want.items())
+
+
+def test_contents_are_read_once(spark):
+    """Sections by contents take every raw line once, however many steps need the entries."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(t):
+        seen.add(1)
+        return t
+
+    _, toc_lines, counts = toc_of(spark, ["Aa 3", "Bb 4", "Cc", "Dd 6"], count=9)
+    seen_lines = toc_lines.withColumn("text", F.udf(look, "string").asNondeterministic()("text"))
+    lines = lines_of(spark, [(1, "left", i, i, f"line {i}", False, 1.0) for i in range(1, 9)])
+    got = pdf_corpus.toc_sections(lines, seen_lines, counts).collect()
+    assert sorted(r.name for r in got) == ["Aa", "Bb", "Cc Dd"]
+    assert seen.value == 4
+
+
 def test_toc_last_entry_of_a_page_wins_and_early_lines_are_dropped(spark):
     _, toc_lines, counts = toc_of(spark, ["A 3", "B 3", "C 5", "D 8"], count=9)
     rows = [(1, "full", p * 10 + i, p, f"p{p} {i}", False, 1.0) for p in range(1, 8) for i in range(2)]
