@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from korpusmill.operators import dedupe, layout, naming, ordering, pairing, sections, toc
 from korpusmill.plans import pdf_corpus
+from korpusmill.sinks.files import read_section_files, write_section_files
 
 LINE = "doc_id bigint, side string, line_no bigint, page int, text string, is_bold boolean, font_size double"
 SECTION = "doc_id bigint, side string, section_no bigint, name string, section_key string, page_numbers array<int>, content string"
@@ -151,6 +152,54 @@ def test_one_text_in_very_many_sections(spark):
     assert {r.section_no for r in dedupe.dedupe_contained(df, 5000, 20000).collect()} == set(range(1500))
 
 
+def test_sections_meet_without_pages_only_where_one_has_none(spark, monkeypatch):
+    """Sections of sides where all have pages go to their ranges alone."""
+    passed = spark.sparkContext.accumulator(0)
+    plain = dedupe._contained_in_stream
+
+    def counted(batches):
+        def look():
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+
+        return plain(look())
+
+    monkeypatch.setattr(dedupe, "_contained_in_stream", counted)
+    rows = [(1, "left", i, "n", None, [i * 20], f"text {i}", i) for i in range(30)]
+    rows += [(2, "left", 0, "n", None, [3, 40], "long text", 0), (2, "left", 1, "n", None, [], "text", 1), (2, "right", 0, "n", None, [1], "text", 0)]
+    df = spark.createDataFrame(rows, SECTION + ", position bigint")
+    assert [tuple(r) for r in dedupe.contained(df).collect()] == [(2, "left", 1)]
+    assert passed.value == 30 + 2 + 2 + 1
+
+
+def watched(spark, df, column):
+    """The table, and how many of its rows were computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(v):
+        seen.add(1)
+        return v
+
+    return df.withColumn(column, F.udf(look, dict(df.dtypes)[column]).asNondeterministic()(column)), seen
+
+
+def test_placed_sections_are_computed_once(spark):
+    rows = [(1, "left", i, f"n{i % 7}", None, [1], f"text {i}", i) for i in range(40)]
+    df, seen = watched(spark, spark.createDataFrame(rows, SECTION + ", position bigint"), "content")
+    assert pairing.number_sections(df).count() == 40
+    assert seen.value == 40
+
+
+def test_written_records_are_computed_once(spark, tmp_path):
+    rows = [("f", f"{i}.json", (f"s{i}", "text", ("n", [1], "ru", "h"))) for i in range(12)]
+    schema = "folder string, file_name string, record struct<source_name: string, content: string, metadata: struct<section_name: string, page_numbers: array<int>, language: string, rag_header: string>>"
+    df, seen = watched(spark, spark.createDataFrame(rows, schema), "file_name")
+    write_section_files(df, str(tmp_path / "out"))
+    assert read_section_files(spark, str(tmp_path / "out")).count() == 12
+    assert seen.value == 12
+
+
 def test_exact_dedupe_keeps_the_first_and_is_stable(spark):
     rows = [(1, "left", 3, "c", None, [2], "Text  a"), (1, "left", 1, "a", None, [1], "text A"), (1, "right", 2, "b", None, [1], "text a"), (1, "left", 2, "x", None, [1], "İ"), (1, "left", 4, "e", None, [], "")]
     once = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
