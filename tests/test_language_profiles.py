@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from korpusmill.operators import language_profiles as lp
 from korpusmill.operators.language_profiles import BUCKETS, detect_statistically, label_language, language_scores, learn_profiles
 from korpusmill.operators.naming import majority_language
 
@@ -94,3 +95,19 @@ def test_majority_by_profiles(spark, profiles):
     sections = spark.createDataFrame([(1, text("ky", 9)), (1, text("ky", 9)), (1, text("en", 9)), (2, text("ru", 9))], "doc_id bigint, content string")
     got = majority_language(sections, lambda c: label_language(c, profiles)).orderBy("doc_id").collect()
     assert [(r["doc_id"], r["language"], r["folder"]) for r in got] == [(1, "ky", "kyrgyz"), (2, "ru", "russian")]
+
+
+def test_texts_are_not_dealt_by_language(spark):
+    """The rows to learn from are those of one ranking of all; only texts of the last digest are shuffled."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["en", "ru", None]), f"text {i}", rng.choice([None, "a", "b", "c", "d", "e", "f"])) for i in range(90)]
+    known = spark.createDataFrame(rows, "lang string, text string, digest string")
+    for n in (1, 7, 20, 500):
+        sure, tied = lp._first_by_digest(known, n)
+        assert "Exchange" not in sure._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.lang, r.text) for r in sure.unionByName(tied).collect())
+        want = []
+        for lang in ("en", "ru"):
+            of = sorted((r[2] or "", r[1]) for r in rows if r[0] == lang)[:n]
+            want += [(lang, t) for _, t in of]
+        assert got == sorted(want)
