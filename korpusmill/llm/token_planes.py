@@ -17,6 +17,7 @@ a lost task leaves nothing behind and files go wherever Spark can write.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from array import array
@@ -54,6 +55,12 @@ _NORMAL = ["NFC", "Replace", "Lowercase"]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+#: Letters of one piece each, in Latin-1: no case or composition of theirs reaches beyond them.
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: What the pattern makes of plain chunks: printable ASCII without capitals, apostrophes (contractions) and "<" (added tokens).
+_PLAIN, _PARTS = re.compile(rb"[!-&(-;=-@\[-~]+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 def encodes_chunks(tokenizer: str) -> bool:
     """Whether no token crosses a blank or line feed, blanks leave none, and A-Z count as a-z."""
     spec = json.loads(tokenizer)
@@ -64,13 +71,26 @@ def encodes_chunks(tokenizer: str) -> bool:
     return normal == _NORMAL and cut == ("Split", {"Regex": _PATTERN}, "Removed", True) and not added
 
 
+def last_tokens(tokenizer: str) -> np.ndarray | None:
+    """By id, whether a token ends a piece of the pattern; none if the model does not mark such."""
+    model = json.loads(tokenizer)["model"]
+    mark = model.get("end_of_word_suffix")
+    if not mark:
+        return None
+    marked = [i for t, i in model["vocab"].items() if t.endswith(mark)]
+    return np.isin(np.arange(1 << 16 if max(model["vocab"].values()) < 1 << 16 else max(model["vocab"].values()) + 1), marked)
+
+
 class Encoder(dict):
     """Ids of whole texts as packed little-endian numbers, by the tokenizers library.
 
     With the default tokenizer, chunks between blanks are encoded each for
     itself and remembered here, and one mark after an ASCII letter and before a
-    blank is a chunk of its own. Other tokenizers encode each text at once. A
-    broadcast encoder lives, with its memory, as long as a Python worker.
+    blank is a chunk of its own. A new chunk of ASCII without apostrophe and
+    ``<`` is put together from its letters, digits and marks, as its pattern
+    cuts it. New words of a batch are encoded in one call, half as dear as one
+    a word: the library marks the last token of each. Other tokenizers encode each text at once. A broadcast encoder
+    lives, with its memory, as long as a Python worker.
     """
 
     def __init__(self, tokenizer: str, width: int):
@@ -83,16 +103,29 @@ class Encoder(dict):
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self._encode(chunk.decode())
+        parts = _PARTS.findall(chunk) if _PLAIN.fullmatch(chunk) else ()
+        ids = b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk.decode())
         if len(chunk) <= LONGEST_KEPT:
             self[chunk] = ids
         return ids
 
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Remembers the words among chunks that are not known, and those that plain chunks hold."""
+        words = [c for c in chunks if _WORD.fullmatch(c)]
+        parts = {p for c in chunks if _PLAIN.fullmatch(c) for p in _PARTS.findall(c) if p.isalpha()}
+        words = [w for w in {*words, *parts}.difference(self) if len(w) <= LONGEST_KEPT]
+        ids = self._encode(b" ".join(words).decode())
+        ends = np.flatnonzero(self.last[np.frombuffer(ids, self.kind)]) + 1
+        if len(ends) == len(words):
+            at = [0, *(ends * (2 if self.kind == "H" else 4)).tolist()]
+            self.update(zip(words, map(ids.__getitem__, map(slice, at, at[1:]))))
+
     def __call__(self, texts: list[str | None], end_id: int) -> list[bytes]:
         if not self.tokenizer:
             from tokenizers import Tokenizer
 
             self.tokenizer, self.chunked = Tokenizer.from_str(self.model), encodes_chunks(self.model)
+            self.last = last_tokens(self.model) if self.chunked else None
         end = array(self.kind, [end_id]).tobytes()
         if not self.chunked:
             return [self._encode(t or "") + end for t in texts]
@@ -103,6 +136,8 @@ class Encoder(dict):
         x = np.frombuffer(blob.replace(b"\n", b" "), np.uint8)
         apart = _MARK[x[1:-1]] & _LETTER[x[:-2]] & _BLANK[x[2:]] if len(x) > 2 else np.zeros(0, bool)
         blob = np.insert(x, np.flatnonzero(apart) + 1, 32).tobytes()
+        if self.last is not None:
+            self._learn(set(blob.replace(b"\xff", b" ").split(b" ")).difference(self))
         return [b"".join([*map(self.__getitem__, t.split(b" ")), end]) for t in blob.split(b"\xff")[:-1]]
 
 

@@ -124,3 +124,17 @@ def test_one_id_fills_several_ranges(spark, documents, tmp_path):
 
 def test_no_documents(spark, documents, tmp_path):
     assert written(spark, documents([]), tmp_path) == []
+
+
+def test_new_words_of_a_batch_are_encoded_in_one_call():
+    texts = ["ab12cd", "x_1,y--z", "A1B2 c3.", "don't1 it's2", "<|endoftext|>9z", "a<b3", "$5.00/ab~c", "é1 a½b", "q7" * 40, "1" * 70, "[x](y)!?", "ÉÀß × ÷ ñandú a×b İi", "aö aª º"]
+    for batch in (texts, texts + [prose(300) for _ in range(3)], ["\x00 ab</w>c </w> a\xffb"]):
+        assert [np.frombuffer(g, "<u2").tolist() for g in Encoder(MODEL, 2)(batch, 1)] == [ids_of(t) for t in batch]
+    encoder, asked = Encoder(MODEL, 2), []
+    encoder([""], 1)
+    encode = encoder._encode
+    encoder._encode = lambda text: asked.append(text) or encode(text)
+    words = ["".join(rng.choice("bcdfgkéü") for _ in range(9)) for _ in range(500)]
+    got = encoder([" ".join(words[:300]), " ".join(f"{w}k." for w in words[300:])], 1)
+    assert len(asked) <= 3
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(" ".join(words[:300])), ids_of(" ".join(f"{w}k." for w in words[300:]))]
