@@ -16,16 +16,20 @@ a lost task leaves nothing behind and files go wherever Spark can write.
 
 from __future__ import annotations
 
+import codecs
 import json
+import os
 import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +42,8 @@ END_ID = 1
 BLOCK_IDS, FILE_IDS, RANGE_CHARS, MAX_RANGES = 1 << 16, 1 << 21, 8 << 20, 4096
 #: Chunks between blanks whose ids a task remembers; when there are more it forgets all. Longer chunks are not kept.
 REMEMBERED, LONGEST_KEPT = 500_000, 64
+#: Bytes of text, about, that a task encodes at once.
+SLICE_BYTES = 4 << 20
 LEVEL = 3
 _MAGIC, _VERSION = b"KMBP", 1
 _HEADER, _FOOTER = "<4sBBBxI", "<QQQQQQII4s"
@@ -55,10 +61,13 @@ _NORMAL = ["NFC", "Replace", "Lowercase"]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-#: Letters of one piece each, in Latin-1: no case or composition of theirs reaches beyond them.
-_WORD = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: What the pattern makes of plain chunks: printable ASCII without capitals, apostrophes (contractions) and "<" (added tokens).
-_PLAIN, _PARTS = re.compile(rb"[!-&(-;=-@\[-~]+"), re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Letters of Latin-1 in lower case, in UTF-8: no composition of theirs reaches beyond them.
+_LOW = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
+#: Plain chunks: such letters and printable ASCII without capitals, apostrophes (contractions) and "<" (added tokens); their pieces, as the pattern cuts them.
+_PLAIN, _PIECES = re.compile(rb"(?:[!-&(-;=-@\[-~]|\xc3[\x9f-\xb6\xb8-\xbf])+"), re.compile(rb"(?:" + _LOW + rb")+|[0-9]|[^a-z0-9\x80-\xff]+")
+#: Characters that stand for bytes in the model's words, as the library's step "ByteLevel" writes them.
+_OWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = "".join(" " if b == 32 else chr(b if b in _OWN else 256 + b - sum(o < b for o in _OWN)) for b in range(256))
 
 
 def encodes_chunks(tokenizer: str) -> bool:
@@ -85,12 +94,14 @@ class Encoder(dict):
     """Ids of whole texts as packed little-endian numbers, by the tokenizers library.
 
     With the default tokenizer, chunks between blanks are encoded each for
-    itself and remembered here, and one mark after an ASCII letter and before a
-    blank is a chunk of its own. A new chunk of ASCII without apostrophe and
-    ``<`` is put together from its letters, digits and marks, as its pattern
-    cuts it. New words of a batch are encoded in one call, half as dear as one
-    a word: the library marks the last token of each. Other tokenizers encode each text at once. A broadcast encoder
-    lives, with its memory, as long as a Python worker.
+    itself and remembered here, by their place in ``ids``; one mark after a
+    letter and before a blank is a chunk of its own. Arrow numbers the chunks of
+    all texts of a call, so each is looked up once a call, and numpy puts the
+    ids together. New plain chunks are cut to pieces as the pattern does, and
+    new pieces are encoded in one call of the model alone, less than half as
+    dear: the library marks the last token of each. Other tokenizers encode each
+    text at once. A broadcast encoder lives, with its memory, as long as a
+    Python worker.
     """
 
     def __init__(self, tokenizer: str, width: int):
@@ -99,54 +110,130 @@ class Encoder(dict):
     def __reduce__(self):
         return Encoder, (self.model, {"H": 2, "I": 4}[self.kind])
 
+    def _open(self) -> None:
+        # Spark has a worker a core; the library's own threads would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.chunked = Tokenizer.from_str(self.model), encodes_chunks(self.model)
+        self.last = last_tokens(self.model) if self.chunked else None
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.ids, self.places = np.zeros(1 << 16, self.kind), np.zeros(1 << 14, np.int64)  # of chunk k: ids[places[k] : places[k + 1]]
+        self.n = 0
+
     def _encode(self, text: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        parts = _PARTS.findall(chunk) if _PLAIN.fullmatch(chunk) else ()
-        ids = b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else self._encode(chunk.decode())
-        if len(chunk) <= LONGEST_KEPT:
-            self[chunk] = ids
-        return ids
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Remembers the words among chunks that are not known, and those that plain chunks hold."""
-        words = [c for c in chunks if _WORD.fullmatch(c)]
-        parts = {p for c in chunks if _PLAIN.fullmatch(c) for p in _PARTS.findall(c) if p.isalpha()}
-        words = [w for w in {*words, *parts}.difference(self) if len(w) <= LONGEST_KEPT]
-        ids = self._encode(b" ".join(words).decode())
-        ends = np.flatnonzero(self.last[np.frombuffer(ids, self.kind)]) + 1
-        if len(ends) == len(words):
-            at = [0, *(ends * (2 if self.kind == "H" else 4)).tolist()]
-            self.update(zip(words, map(ids.__getitem__, map(slice, at, at[1:]))))
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """Numbers of new chunks with so many of these ids each."""
+        first, at = self.n, int(self.places[self.n])
+        self.n += len(sizes)
+        while len(self.places) <= self.n:
+            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
+        self.places[first + 1 : self.n + 1] = at + np.cumsum(sizes)
+        while len(self.ids) < at + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[at : at + len(ids)] = ids
+        return range(first, self.n)
+
+    def _of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these chunks, one chunk after the other, and how many each has."""
+        first = self.places[numbers]
+        sizes = self.places[numbers + 1] - first
+        until = np.cumsum(sizes)
+        return self.ids[np.repeat(first - until + sizes, sizes) + np.arange(sizes.sum())], sizes
+
+    def _join(self, some: list) -> tuple[np.ndarray, np.ndarray]:
+        return np.fromiter(chain.from_iterable(some), self.kind), np.fromiter(map(len, some), np.int64, len(some))
+
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self.last is not None and pieces:
+            text = codecs.charmap_decode(b" ".join(pieces), "strict", _BYTE_CHARS)[0]
+            ids = np.array(self.pieces.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(pieces):
+                return ids, np.diff(ends, prepend=0)
+        return self._join([np.frombuffer(self._encode(p.decode()), self.kind) for p in pieces])
+
+    def _learn(self, chunks: list[bytes], end_id: int) -> list[int]:
+        """Numbers of chunks that are not known; long ones and the end of a text come last and are not remembered."""
+        cut = {c: _PIECES.findall(c) for c in chunks if _PLAIN.fullmatch(c)}
+        pieces = [p for p in dict.fromkeys(chain.from_iterable(cut.values())) if p not in self]
+        short = [p for p in pieces if len(p) <= LONGEST_KEPT]
+        self.update(zip(short, self._add(*self._encode_pieces(short))))
+        # Plain chunks of several pieces, and long ones after them.
+        known, passing = self.n, {}
+        if len(short) < len(pieces):
+            long = [p for p in pieces if len(p) > LONGEST_KEPT]
+            passing = dict(zip(long, self._add(*self._encode_pieces(long))))
+        made = [c for c, parts in cut.items() if len(parts) > 1 and len(c) <= LONGEST_KEPT]
+        made, kept = made + [c for c in cut if len(c) > LONGEST_KEPT], len(made)
+        parts = [passing[p] if p in passing else self[p] for c in made for p in cut[c]]
+        ids, sizes = self._of(np.array(parts, np.int64))
+        sizes = np.diff(np.cumsum(sizes)[np.cumsum([len(cut[c]) for c in made], dtype=np.int64) - 1], prepend=0)
+        self.n, at = known, int(sizes[:kept].sum())
+        self.update(zip(made[:kept], self._add(ids[:at], sizes[:kept])))
+        others = [c for c in chunks if c not in cut and c != b"\xff"]
+        others.sort(key=lambda c: len(c) > LONGEST_KEPT)
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in others], add_special_tokens=False)] if others else []
+        few = sum(len(c) <= LONGEST_KEPT for c in others)
+        self.update(zip(others[:few], self._add(*self._join(coded[:few]))))
+        self.kept = self.n
+        passing = dict(zip(made[kept:], self._add(ids[at:], sizes[kept:])))
+        passing |= zip([*others[few:], b"\xff"], self._add(*self._join([*coded[few:], [end_id]])))
+        return [passing[c] if c in passing else self[c] for c in chunks]
 
     def __call__(self, texts: list[str | None], end_id: int) -> list[bytes]:
         if not self.tokenizer:
-            from tokenizers import Tokenizer
-
-            self.tokenizer, self.chunked = Tokenizer.from_str(self.model), encodes_chunks(self.model)
-            self.last = last_tokens(self.model) if self.chunked else None
-        end = array(self.kind, [end_id]).tobytes()
+            self._open()
         if not self.chunked:
+            end = array(self.kind, [end_id]).tobytes()
             return [self._encode(t or "") + end for t in texts]
+        if not texts:
+            return []
         if len(self) > REMEMBERED:
-            self.clear()
+            self._forget()
         raw = [(t or "").encode() for t in texts]
-        blob = b"\xff".join([t if b"<|" in t else t.lower() for t in raw] + [b""])  # A-Z alone; a byte that no text holds
-        x = np.frombuffer(blob.replace(b"\n", b" "), np.uint8)
-        apart = _MARK[x[1:-1]] & _LETTER[x[:-2]] & _BLANK[x[2:]] if len(x) > 2 else np.zeros(0, bool)
-        blob = np.insert(x, np.flatnonzero(apart) + 1, 32).tobytes()
-        if self.last is not None:
-            self._learn(set(blob.replace(b"\xff", b" ").split(b" ")).difference(self))
-        return [b"".join([*map(self.__getitem__, t.split(b" ")), end]) for t in blob.split(b"\xff")[:-1]]
-
-
-def _bytes_of(some: bytes) -> np.ndarray:
+        blob = b" \xff ".join([t if b"<|" in t else t.lower() for t in raw] + [b""])  # A-Z alone; a byte that no text holds
+        x = np.frombuffer(bytearray(blob.replace(b"\n", b" ")), np.uint8)
+        # Some small letters compose with other marks than their capitals: such capitals stay before other scripts and marks.
+        stay = np.flatnonzero(x >= 0xC4) - 1
+        stay = stay[_UNPAIRED[x[stay]]]
+        if stay.size:
+            x[stay] = np.frombuffer(b" \xff ".join([*raw, b""]), np.uint8)[stay]
+        two = np.flatnonzero(x == 0xC3) + 1  # capitals of Latin-1
+        x[two[_CAPITAL[x[two]]]] += 32
+        marks = np.flatnonzero(_MARK[x[1:-1]] & (x[2:] == 32)) + 1
+        before = x[marks - 1]
+        marks = marks[_LETTER[before] | _LOW_SECOND[before] & (x[marks - 2] == 0xC3)]
+        x = np.insert(x, marks, 32)
+        ends = np.concatenate([[0], np.flatnonzero(x == 32) + 1])
+        coded = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(x)]).dictionary_encode()
+        chunks = b"".join(coded.dictionary.buffers()[2:]).split(b" ", len(coded.dictionary))[:-1]
+        numbers = np.fromiter(map(self.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = self._learn([chunks[k] for k in new.tolist()], end_id)
+        of = numbers[coded.indices.to_numpy()]
+        ids, sizes = self._of(of)
+        self.n = self.kept
+        stops = np.cumsum(sizes)[of == numbers[chunks.index(b"\xff")]].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops)]
+
+
+def _bytes_of(some) -> np.ndarray:
     return np.isin(np.arange(256), list(some))
 
 
-_MARK, _BLANK = _bytes_of(b".,;:!?"), _bytes_of(b" \xff")
-_LETTER = _bytes_of(bytes(range(97, 123)) + bytes(range(65, 91)))
+_MARK, _LETTER = _bytes_of(b".,;:!?"), _bytes_of([*range(97, 123), *range(65, 91)])
+#: What follows 0xC3 in capitals and in small letters of Latin-1.
+_CAPITAL, _LOW_SECOND = _bytes_of({*range(0x80, 0x9F)} - {0x97}), _bytes_of({*range(0x9F, 0xC0)} - {0xB7})
+#: Small letters of ASCII that compose with other marks than their capitals do.
+_UNPAIRED = _bytes_of(b"hijtwy")
 
 
 def id_width(tokenizer: str, end_id: int = END_ID) -> int:
@@ -268,11 +355,13 @@ def _encode(encoder, end_id: int, bounds: np.ndarray):
             share = (ties.astype(np.float64) + 2.0**63) / 2.0**64
             bucket = np.minimum(low + (share * (high - low + 1)).astype(np.int64), high)
             bucket = np.where(high > low, bucket, high)
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encode([t.as_py() for t in part.column(3)], end_id)
+            slices = np.cumsum(pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(), dtype=np.int64) // SLICE_BYTES
+            at = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(at, at[1:]):
+                part = batch.slice(start, stop - start)
+                ids = encode(part.column(3).to_pylist(), end_id)
                 yield pa.record_batch({
-                    "bucket": pa.array(bucket[at : at + 256].astype(np.int32)), "key": part.column(0), "tie": part.column(1),
+                    "bucket": pa.array(bucket[start:stop].astype(np.int32)), "key": part.column(0), "tie": part.column(1),
                     "doc_id": part.column(2), "ids": pa.array(ids, pa.binary()),
                 })
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -138,3 +139,35 @@ def test_new_words_of_a_batch_are_encoded_in_one_call():
     got = encoder([" ".join(words[:300]), " ".join(f"{w}k." for w in words[300:])], 1)
     assert len(asked) <= 3
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(" ".join(words[:300])), ids_of(" ".join(f"{w}k." for w in words[300:]))]
+
+
+def test_small_letters_that_compose_with_more_than_capitals():
+    marks = [chr(c) for c in (0x300, 0x301, 0x307, 0x308, 0x30A, 0x30C, 0x316, 0x323, 0x331, 0x344)]
+    texts = [f"a{c}{m}b {c}{m}. {c}\u0316{m} {c}é{m} x" for c in [*map(chr, range(65, 91)), *map(chr, range(0xC0, 0xE0))] for m in marks]
+    assert [np.frombuffer(g, "<u2").tolist() for g in Encoder(MODEL, 2)(texts, 1)] == [ids_of(t) for t in texts]
+
+
+def test_words_with_accents_and_marks_are_not_asked_for_one_by_one():
+    encoder, asked = Encoder(MODEL, 2), []
+    encoder([""], 1)
+    encode = encoder._encode
+    encoder._encode = lambda text: asked.append(text) or encode(text)
+    words = ["".join(rng.choice("ÉÀbkéüßø") for _ in range(7)) for _ in range(300)] + ["é" * 40, "x" * 70 + "-1"]
+    texts = [" ".join(f"{w}{rng.choice(['.', ',!!', '-7', ''])}" for w in words)] * 2
+    got = encoder(texts, 1)
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [ids_of(t) for t in texts]
+    assert len(asked) <= 3
+    assert max(map(len, encoder)) <= token_planes.LONGEST_KEPT and encoder.n == len(set(encoder.values()))
+
+
+def test_slices_of_a_batch(monkeypatch):
+    monkeypatch.setattr(token_planes, "SLICE_BYTES", 50)
+    bounds = np.array([], np.int64)
+    texts = [None, "", prose(3), prose(60), None, prose(40)] * 3
+    batch = pa.record_batch({"key": [*range(18)], "tie": [0] * 18, "doc_id": [*range(18)], "text": pa.array(texts, pa.string())})
+    empty = batch.slice(0, 0)
+    broadcast = type("Broadcast", (), {"value": Encoder(MODEL, 2)})
+    out = list(token_planes._encode(broadcast, 1, bounds)(iter([batch, empty])))
+    assert len(out) > 4
+    got = [(d, np.frombuffer(i, "<u2").tolist()) for b in out for d, i in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist())]
+    assert got == [(k, ids_of(t)) for k, t in enumerate(texts)]
