@@ -69,12 +69,19 @@ def _decode_reference(piece: Column, names: Column) -> Column:
         return F.when(valid & unused, "").when(valid, plain).otherwise(chr(0xFFFD))
 
     def replace(ref: Column) -> Column:
-        def known(name: Column) -> Column:
-            char = F.when(ref.startswith("#"), numeric(ref)).otherwise(F.try_element_at(names, name))
-            return F.concat(char, F.substring(piece, F.length(name) + 1, F.length(piece)))
-
-        starts = [F.when(F.length(ref) > n, known(F.left(ref, F.lit(n)))) for n in range(6, 1, -1)]
-        return F.coalesce(known(ref), *starts, F.concat(F.lit("&"), piece))
+        def rest(name: Column) -> Column:
+            return F.substring(piece, F.length(name) + 1, F.length(piece))
+
+        # One look at the names for all starts: each one written out would carry all names into the plan and every task.
+        starts = F.array(ref, *[F.when(F.length(ref) > n, F.left(ref, F.lit(n))) for n in range(6, 1, -1)])
+        named = F.aggregate(
+            starts,
+            F.lit(None).cast("string"),
+            lambda done, name: F.coalesce(done, F.concat(F.try_element_at(names, name), rest(name))),
+        )
+        return F.when(ref.startswith("#"), F.concat(numeric(ref), rest(ref))).otherwise(
+            F.coalesce(named, F.concat(F.lit("&"), piece))
+        )
 
     return let(F.regexp_extract(piece, pattern, 0), replace)
 

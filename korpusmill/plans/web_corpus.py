@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korpusmill.functions.url import canonical_url
+from korpusmill.functions.url import canonical_url, scope_path, url_host, url_path
 from korpusmill.operators import webdocs
-from korpusmill.operators.crawl import discover
+from korpusmill.operators.crawl import admitted, discover
 from korpusmill.profiles import SiteProfile
 from korpusmill.session import shared_folder, store
 
@@ -26,9 +26,14 @@ def collect_site(
     spark = pages.sparkSession
     ports = profile.strip_default_ports
     seeds = spark.range(1).select(F.lit(root_url).alias("root_url"))
+    # A crawl never leaves its root's host and scope: pages elsewhere are set aside before their links are read.
+    root = spark.range(1, numPartitions=1).select(canonical_url(F.lit(root_url), ports).alias("url")).first()["url"]
+    asked = canonical_url(F.col("url"), ports)
+    scope, root_scope = (scope_path(url_path(u), profile, strict_parity) for u in (asked, F.lit(root)))
+    pages = pages.where(admitted(url_host(asked), url_host(F.lit(root)), scope, root_scope))
     found = discover(pages, seeds, profile, max_pages, strict_parity)
     # Keys first: page_id and canonical URL of the pages found, then their rows.
-    asked = canonical_url(F.col("url"), ports).alias("_asked")
+    asked = asked.alias("_asked")
     keys = pages.select(F.col("page_id").alias("_id"), asked).join(found.select(F.col("url").alias("_asked"), "level"), "_asked")
     keys = store(keys.distinct(), shared_folder(spark, "site-keys"))
     keyed = pages.withColumn("_asked", asked)

@@ -84,6 +84,13 @@ def test_collect_site(spark):
     assert {d.root_category_url for d in docs} == {"https://h.example.org/kg"}
 
 
+def test_collect_site_reads_no_links_elsewhere(spark):
+    graph = GRAPH | {"https://other.example.org/kg/a": [], "https://h.example.org/elsewhere": []}
+    read = F.when(F.col("url").rlike("//other|/elsewhere"), F.raise_error(F.lit("read"))).otherwise(F.col("html"))
+    docs = collect_site(site(spark, graph).withColumn("html", read), "https://h.example.org/kg/", RU)
+    assert {d.source_url for d in docs.collect()} >= {"https://h.example.org/kg", "https://h.example.org/kg/a"}
+
+
 def test_pdf_spans_to_lines(spark, tmp_path):
     def fake_reader(content, page_from, page_to):
         for page in range(page_from, (page_to or 3) + 1):

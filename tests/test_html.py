@@ -17,6 +17,11 @@ def test_unescape_agrees_with_the_standard_library(apply):
     assert apply(H.unescape, values) == [html.unescape(v) for v in values]
 
 
+def test_names_are_in_the_plan_once(spark):
+    plan = spark.range(1).select(H.unescape(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("keys:") == 1
+
+
 @pytest.mark.parametrize("piece", [
     "<a ", "<a x>", "<h1>", "<h1 ", "<title>", "<p>", "<script>", "<script ", "<style>", "<!--", "<nav>", "<footer ", "<li>", "<div class=x>", "</h1", "<head>",
     '<nav aria-label="breadcrumb">', '<ul class="breadcrumb">', "&", "&#", "&a",
