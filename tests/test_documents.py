@@ -200,6 +200,22 @@ def test_written_records_are_computed_once(spark, tmp_path):
     assert seen.value == 12
 
 
+def test_files_are_listed_and_read_in_tasks(spark, tmp_path):
+    names = ["a+b %20.json", "\"Мыйзам\" #1?.json", "_Закон_.json", *(f"{i}.json" for i in range(60))]
+    rows = [(f, n, (f"s{n}", "текст\n" * i, ("n", [1, i], None, "h"))) for f in ("kyrgyz", "other") for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "folder string, file_name string, record struct<source_name: string, content: string, metadata: struct<section_name: string, page_numbers: array<int>, language: string, rag_header: string>>")
+    path = str(tmp_path / "out %41 +")
+    write_section_files(df, path)
+    (tmp_path / "out %41 +" / "_SUCCESS").touch()
+    (tmp_path / "out %41 +" / ".spare-x").mkdir()
+    (tmp_path / "out %41 +" / ".spare-x" / "half").write_text("{")
+    for place in (path, path + "/", "file://" + path, "file:" + path):
+        back = read_section_files(spark, place)
+        assert back.inputFiles() == []  # the driver holds no list of files
+        assert back.rdd.getNumPartitions() == 4
+        assert sorted(back.collect()) == sorted(df.collect())
+
+
 def test_exact_dedupe_keeps_the_first_and_is_stable(spark):
     rows = [(1, "left", 3, "c", None, [2], "Text  a"), (1, "left", 1, "a", None, [1], "text A"), (1, "right", 2, "b", None, [1], "text a"), (1, "left", 2, "x", None, [1], "İ"), (1, "left", 4, "e", None, [], "")]
     once = dedupe.dedupe_exact(spark.createDataFrame(rows, SECTION))
