@@ -200,6 +200,15 @@ def test_written_records_are_computed_once(spark, tmp_path):
     assert seen.value == 12
 
 
+def test_texts_of_whole_documents_are_dealt_twice(spark):
+    lines = spark.createDataFrame([(d, s, 5000 * i, i, f"{d} {s} {i}") for d in (1, 2) for s in ("left", "right") for i in range(3)],
+                                  "doc_id bigint, side string, line_no bigint, page int, text string")
+    named = sections.whole_document(lines).join(spark.range(3).withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")
+    # By block, by document, and the names by document.
+    assert named._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 3
+    assert sorted(r.content for r in named.collect()) == [f"{d} {s} 0\n{d} {s} 1\n{d} {s} 2" for d in (1, 2) for s in ("left", "right")]
+
+
 def test_files_are_listed_and_read_in_tasks(spark, tmp_path):
     names = ["a+b %20.json", "\"Мыйзам\" #1?.json", "_Закон_.json", *(f"{i}.json" for i in range(60))]
     rows = [(f, n, (f"s{n}", "текст\n" * i, ("n", [1, i], None, "h"))) for f in ("kyrgyz", "other") for i, n in enumerate(names)]
